@@ -19,6 +19,7 @@ from rinkflow.functions.similarity import lengths_agree
 from rinkflow.functions.text import (
     family_name, given_name, has_text, name_prefix, normalize_name, trim_or_empty, upper_country,
 )
+from rinkflow.session import materialize
 
 
 def first_candidates(rows: DataFrame, block, order, limit=fixed.CANDIDATES_PER_LOOKUP):
@@ -104,7 +105,7 @@ def resolve_entities(names: DataFrame, registry: DataFrame, name="Name", country
     Pass 1 looks up the whole family name; pass 2, for names still without an
     id and a family of at least four characters, its first four.
     """
-    index = prefix_index(registry)
+    index = materialize(prefix_index(registry))  # read by both passes
     people = (
         names.select(trim_or_empty(name).alias(name), trim_or_empty(country).alias(country))
         .distinct()

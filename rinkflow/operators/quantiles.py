@@ -10,7 +10,6 @@ hundred-thousandths of its rows.
 """
 
 from pyspark.sql import DataFrame
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from rinkflow import fixed_values as fixed
@@ -21,18 +20,15 @@ SKETCH_ACCURACY = 100_000
 
 
 def _present(df, by, col):
-    value = F.col(col).cast("double")
-    return df.select(*by, value.alias("_v")).where(F.col("_v").isNotNull() & ~F.isnan("_v"))
+    return df.select(*by, F.col(col).cast("double").alias("_v")).where("_v IS NOT NULL AND NOT isnan(_v)")
 
 
 def _order_statistic(rank):
-    at_rank = (F.col("_start") <= rank) & (rank < F.col("_end"))
-    value = (
-        F.when(rank == F.col("_start"), F.col("_min"))
-        .when((rank == F.col("_end") - 1) | (F.col("_min") == F.col("_max")), F.col("_max"))
-        .otherwise(F.raise_error(F.lit("quantile rank outside its bracket")).cast("double"))
-    )
-    return F.max(F.when(at_rank, value))
+    """Aggregate: the value at ``rank`` (from 0) of the cumulated lumps."""
+    return f"""max(CASE WHEN _start <= {rank} AND {rank} < _end THEN
+        CASE WHEN {rank} = _start THEN _min
+             WHEN {rank} = _end - 1 OR _min = _max THEN _max
+             ELSE raise_error('quantile rank outside its bracket') END END)"""
 
 
 def exact_quantiles(df: DataFrame, col, probabilities, by=(), accuracy=SKETCH_ACCURACY):
@@ -43,8 +39,9 @@ def exact_quantiles(df: DataFrame, col, probabilities, by=(), accuracy=SKETCH_AC
     group without values has no row.
     """
     by = list(by)
-    margin = 4.0 / accuracy
     probabilities = list(probabilities)
+    every = range(len(probabilities))
+    margin = 4.0 / accuracy
     bounds = [
         min(1.0, max(0.0, p + side)) for p in probabilities for side in (-margin, margin)
     ]
@@ -57,50 +54,42 @@ def exact_quantiles(df: DataFrame, col, probabilities, by=(), accuracy=SKETCH_AC
     counts = values.groupBy(*by, "_v").agg(F.count("*").alias("_c"))
     if by:
         brackets = sketch.withColumnsRenamed({k: f"_{k}" for k in by})
-        condition = [counts[k].eqNullSafe(brackets[f"_{k}"]) for k in by]
-        bracketed = counts.join(brackets, condition, "inner")
+        same = [counts[k].eqNullSafe(brackets[f"_{k}"]) for k in by]
+        bracketed = counts.join(brackets, same, "inner")
     else:
-        row = sketch.select(F.struct("_bounds", "_n").alias("s")).scalar()
+        row = sketch.select(F.expr("struct(_bounds, _n) AS s")).scalar()
         bracketed = counts.withColumn("_s", row).select("_v", "_c", "_s._bounds", "_s._n")
 
-    low = [F.get("_bounds", F.lit(2 * i)) for i in range(len(probabilities))]
-    high = [F.get("_bounds", F.lit(2 * i + 1)) for i in range(len(probabilities))]
-    passed = sum(((F.col("_v") > h).cast("int") for h in high), F.lit(0))
-    entered = sum(((F.col("_v") >= lo).cast("int") for lo in low), F.lit(0))
+    entered = " + ".join(f"int(_v >= _bounds[{2 * i}])" for i in every)
+    passed = " + ".join(f"int(_v > _bounds[{2 * i + 1}])" for i in every)
+    group = [*[f"`{k}`" for k in by], "_n"]
     lumps = (
-        bracketed.select(
-            *by, "_v", "_c", "_n",
-            F.when(entered > passed, F.col("_v")).alias("_inside"),
-            passed.alias("_gap"),
+        bracketed.selectExpr(
+            *group, "_v", "_c", f"{passed} AS _gap",
+            f"CASE WHEN {entered} > {passed} THEN _v END AS _inside",
         )
         .groupBy(*by, "_n", "_gap", "_inside")
-        .agg(
-            F.min("_v").alias("_min"), F.max("_v").alias("_max"), F.sum("_c").alias("_count"),
-        )
+        .agg(F.expr("min(_v) AS _min"), F.expr("max(_v) AS _max"), F.expr("sum(_c) AS _count"))
     )
-    so_far = (
-        Window.partitionBy(*by, "_n").orderBy("_min")
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    ranked = lumps.withColumn("_end", F.sum("_count").over(so_far)).withColumn(
-        "_start", F.col("_end") - F.col("_count")
+    over = f"OVER (PARTITION BY {', '.join(group)} ORDER BY _min ROWS UNBOUNDED PRECEDING)"
+    ranked = lumps.selectExpr("*", f"sum(_count) {over} AS _end").selectExpr(
+        "*", "_end - _count AS _start"
     )
 
-    positions = [F.lit(p) * (F.col("_n") - 1) for p in probabilities]
+    position = [f"({p!r}D * (_n - 1))" for p in probabilities]
     picked = ranked.groupBy(*by, "_n").agg(
-        F.min("_min").alias("min"),
-        F.max("_max").alias("max"),
-        *[_order_statistic(F.floor(p)).alias(f"_lo{i}") for i, p in enumerate(positions)],
-        *[_order_statistic(F.ceil(p)).alias(f"_hi{i}") for i, p in enumerate(positions)],
+        F.expr("min(_min) AS min"),
+        F.expr("max(_max) AS max"),
+        *[F.expr(f"{_order_statistic(f'floor({position[i]})')} AS _lo{i}") for i in every],
+        *[F.expr(f"{_order_statistic(f'ceil({position[i]})')} AS _hi{i}") for i in every],
+    )
+    return picked.selectExpr(
+        *group[:-1], "_n AS n", "min", "max",
+        *[
+            f"_lo{i} + (_hi{i} - _lo{i}) * ({position[i]} - floor({position[i]})) AS q{i}"
+            for i in every
+        ],
     )
-    quantiles = [
-        (
-            F.col(f"_lo{i}")
-            + (F.col(f"_hi{i}") - F.col(f"_lo{i}")) * (p - F.floor(p))
-        ).alias(f"q{i}")
-        for i, p in enumerate(positions)
-    ]
-    return picked.select(*by, F.col("_n").alias("n"), "min", "max", *quantiles)
 
 
 def approximate_quantiles(df: DataFrame, col, probabilities, by=(), accuracy=10_000):
@@ -125,21 +114,18 @@ def quartiles(df: DataFrame, col, by=(), approximate=False):
     )
 
 
-def outlier_condition(df: DataFrame, col, k=fixed.OUTLIER_FACTOR):
-    """True for values strictly outside the fences of the whole of ``df``."""
+def mark_outliers(df: DataFrame, col, k=fixed.OUTLIER_FACTOR, flag="is_outlier"):
+    """Flag values strictly outside the fences of the whole of ``df``."""
     q = quartiles(df, col)
-    fences = q.select(
-        F.struct(
-            (F.col("q1") - F.lit(k) * F.col("iqr")).alias("low"),
-            (F.col("q3") + F.lit(k) * F.col("iqr")).alias("high"),
-        ).alias("s")
-    ).scalar()
-    return (F.col(col) < fences["low"]) | (F.col(col) > fences["high"])
+    fences = q.selectExpr(f"struct(q1 - {k!r}D * iqr AS low, q3 + {k!r}D * iqr AS high) AS s").scalar()
+    outside = f"coalesce(`{col}` < _fences.low OR `{col}` > _fences.high, false) AS `{flag}`"
+    columns = [f"`{c}`" for c in df.columns]
+    return df.withColumn("_fences", fences).selectExpr(*columns, outside)
 
 
 def outliers(df: DataFrame, col, k=fixed.OUTLIER_FACTOR):
     """Rows outside the fences of the current selection."""
-    return df.where(outlier_condition(df, col, k))
+    return mark_outliers(df, col, k, "_out").where("_out").drop("_out")
 
 
 def outlier_count(df: DataFrame, col, k=fixed.OUTLIER_FACTOR):
@@ -150,15 +136,9 @@ def box_by(df: DataFrame, by, value, k=fixed.OUTLIER_FACTOR):
     """Box-plot numbers per group: extremes, quartiles, fences."""
     by = [by] if isinstance(by, str) else list(by)
     q = exact_quantiles(df, value, [0.25, 0.5, 0.75], by)
-    spread = F.lit(k) * (F.col("q2") - F.col("q0"))
-    return q.select(
-        *by,
-        "n",
-        "min",
-        F.col("q0").alias("q1"),
-        F.col("q1").alias("median"),
-        F.col("q2").alias("q3"),
-        "max",
-        (F.col("q0") - spread).alias("lower_fence"),
-        (F.col("q2") + spread).alias("upper_fence"),
+    return q.selectExpr(
+        *[f"`{c}`" for c in by],
+        "n", "min", "q0 AS q1", "q1 AS median", "q2 AS q3", "max",
+        f"q0 - {k!r}D * (q2 - q0) AS lower_fence",
+        f"q2 + {k!r}D * (q2 - q0) AS upper_fence",
     )

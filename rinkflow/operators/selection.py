@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rinkflow import fixed_values as fixed
-from rinkflow.operators.quantiles import outlier_condition
+from rinkflow.operators.quantiles import mark_outliers
 
 
 def select_rows(
@@ -84,9 +84,8 @@ def selection_count(df: DataFrame, distance, stadium=fixed.ALL_STADIUMS, countri
 
 def scatter_points(df: DataFrame, y="RaceTime"):
     """Points of the temperature plot, with outliers marked."""
-    return df.select(
-        "TempIce", y, "Name", "Stadium", "Date", "Year",
-        F.coalesce(outlier_condition(df, y), F.lit(False)).alias("is_outlier"),
+    return mark_outliers(df, y).select(
+        "TempIce", y, "Name", "Stadium", "Date", "Year", "is_outlier"
     )
 
 

@@ -17,67 +17,64 @@ MAX_DISTINCT_X = 2_000
 
 def _snap(points, grid):
     """Replace x by the centre of its bin among ``grid`` equal-width bins."""
-    ends = points.agg(F.struct(F.min("x").alias("low"), F.max("x").alias("high")).alias("s")).scalar()
-    width = (F.col("e.high") - F.col("e.low")) / grid
-    bin_no = F.least(F.floor((F.col("x") - F.col("e.low")) / width), F.lit(grid - 1))
-    centre = F.col("e.low") + (bin_no + 0.5) * width
-    return points.withColumn("e", ends).select(
-        F.when(width > 0, centre).otherwise(F.col("x")).alias("x"), "y"
+    ends = points.selectExpr("struct(min(x) AS low, max(x) AS high) AS s").scalar()
+    return (
+        points.withColumn("e", ends)
+        .selectExpr("x", "y", "e.low", f"(e.high - e.low) / {grid} AS width")
+        .selectExpr(
+            f"""CASE WHEN width > 0
+                THEN low + (least(floor((x - low) / width), {grid - 1}) + 0.5D) * width
+                ELSE x END AS x""",
+            "y",
+        )
     )
 
 
 def _sums(weighted):
     """One row per distinct x: number of points, sum of weights, of weighted y."""
     return weighted.groupBy("x").agg(
-        F.count("*").alias("n"),
-        F.sum("w").alias("w"),
-        F.sum(F.col("w") * F.col("y")).alias("wy"),
-    )
-
-
-def _bandwidth(table, x, neighbours):
-    """Distance from ``x`` to its ``neighbours``-th nearest point."""
-    by_distance = F.array_sort(
-        F.transform(table, lambda p: F.struct(F.abs(p["x"] - x).alias("d"), p["n"].alias("n")))
-    )
-    start = F.struct(F.lit(0).cast("bigint").alias("seen"), F.lit(0.0).alias("d"))
-    reached = F.aggregate(
-        by_distance,
-        start,
-        lambda acc, p: F.when(acc["seen"] >= neighbours, acc).otherwise(
-            F.struct((acc["seen"] + p["n"]).alias("seen"), p["d"].alias("d"))
-        ),
+        F.expr("count(*) AS n"), F.expr("sum(w) AS w"), F.expr("sum(w * y) AS wy")
     )
-    return reached["d"]
 
 
-def _local_line(table, x, h):
-    """Value at ``x`` of the tricube-weighted line; the weighted mean if flat."""
-    names = ["w", "t", "tt", "y", "ty"]
-    zero = F.struct(*[F.lit(0.0).alias(n) for n in names])
-
-    def add(acc, p):
-        t = p["x"] - x
-        u = F.when(h > 0, F.abs(t) / h).otherwise(F.when(t == 0, 0.0).otherwise(1.0))
-        cube = F.lit(1.0) - u * u * u
-        k = F.when(u < 1, cube * cube * cube).otherwise(0.0)
-        terms = [k * p["w"], k * p["w"] * t, k * p["w"] * t * t, k * p["wy"], k * p["wy"] * t]
-        return F.struct(*[(acc[n] + v).alias(n) for n, v in zip(names, terms)])
-
-    s = F.aggregate(table, zero, add)
-    spread = s["w"] * s["tt"] - s["t"] * s["t"]
-    line = (s["tt"] * s["y"] - s["t"] * s["ty"]) / spread
-    mean = s["y"] / s["w"]
-    return F.when(spread > 1e-12 * s["w"] * s["tt"], line).otherwise(F.when(s["w"] > 0, mean))
+# Distance from x to its k-th nearest point, given all rows of _sums.
+_BANDWIDTH = """
+aggregate(
+  array_sort(transform(rows, p -> struct(abs(p.x - x) AS d, p.n AS n))),
+  struct(0L AS seen, 0D AS d),
+  (a, p) -> CASE WHEN a.seen >= {k} THEN a ELSE struct(a.seen + p.n AS seen, p.d AS d) END,
+  a -> a.d)"""
+
+# Tricube-weighted sums around x within bandwidth h.
+_LOCAL_SUMS = """
+aggregate(
+  transform(
+    transform(
+      transform(rows, p -> struct(p.x - x AS t, p.w AS w, p.wy AS wy)),
+      p -> struct(p.t AS t, p.w AS w, p.wy AS wy,
+        pow(1D - pow(CASE WHEN h > 0 THEN least(abs(p.t) / h, 1D) ELSE double(p.t != 0) END, 3), 3) AS k)),
+    p -> struct(p.t AS t, p.k * p.w AS w, p.k * p.wy AS y)),
+  struct(0D AS w, 0D AS t, 0D AS tt, 0D AS y, 0D AS ty),
+  (a, p) -> struct(a.w + p.w AS w, a.t + p.w * p.t AS t, a.tt + p.w * p.t * p.t AS tt,
+    a.y + p.y AS y, a.ty + p.y * p.t AS ty))"""
+
+# Value at its centre of the line through those sums; the weighted mean if flat.
+_LINE_VALUE = """
+CASE WHEN s.w * s.tt - s.t * s.t > 1e-12 * s.w * s.tt
+       THEN (s.tt * s.y - s.t * s.ty) / (s.w * s.tt - s.t * s.t)
+     WHEN s.w > 0 THEN s.y / s.w END"""
 
 
 def _fit(sums, neighbours):
     # At most MAX_DISTINCT_X rows, checked by the caller.
-    rows = F.array_sort(F.collect_list(F.struct("x", "n", "w", "wy")))
-    table = sums.agg(rows.alias("rows")).scalar()
-    at = sums.select("x").withColumn("rows", table)
-    banded = at.withColumn("h", _bandwidth(F.col("rows"), F.col("x"), neighbours))
-    return banded.select("x", _local_line(F.col("rows"), F.col("x"), F.col("h")).alias("trend"))
+    table = sums.selectExpr("array_sort(collect_list(struct(x, n, w, wy))) AS rows").scalar()
+    return (
+        sums.select("x")
+        .withColumn("rows", table)
+        .selectExpr("x", "rows", f"{_BANDWIDTH.format(k=neighbours)} AS h")
+        .selectExpr("x", f"{_LOCAL_SUMS} AS s")
+        .selectExpr("x", f"{_LINE_VALUE} AS trend")
+    )
 
 
 def lowess_trend(df: DataFrame, x, y, frac=2 / 3, iters=3, grid=None):
@@ -88,10 +85,9 @@ def lowess_trend(df: DataFrame, x, y, frac=2 / 3, iters=3, grid=None):
     of distinct x: a column with more than ``MAX_DISTINCT_X`` needs ``grid``,
     which snaps x to that many bin centres; every point still counts.
     """
-    points = (
-        df.select(F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y"))
-        .where("x IS NOT NULL AND y IS NOT NULL AND NOT isnan(x) AND NOT isnan(y)")
-    )
+    points = df.select(
+        F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y")
+    ).where("x IS NOT NULL AND y IS NOT NULL AND NOT isnan(x) AND NOT isnan(y)")
     if grid:
         if grid > MAX_DISTINCT_X:
             raise ValueError(f"grid may not exceed {MAX_DISTINCT_X}")
@@ -104,19 +100,17 @@ def lowess_trend(df: DataFrame, x, y, frac=2 / 3, iters=3, grid=None):
     neighbours = max(2, int(frac * points.count()))
     fit = materialize(_fit(_sums(points.withColumn("w", F.lit(1.0))), neighbours))
     for _ in range(iters):
-        residual = F.abs(F.col("y") - F.col("trend"))
         # ``fit`` has one row per distinct x, checked above.
-        rows = points.join(F.broadcast(fit), "x").select("x", "y", "trend", residual.alias("r"))
-        scale = exact_quantiles(rows, "r", [0.5]).select((F.col("q0") * 6).alias("s")).scalar()
-        u = F.when(scale > 0, F.col("r") / scale).otherwise(
-            F.when(F.col("r") == 0, 0.0).otherwise(1.0)
+        rows = points.join(F.broadcast(fit), "x").selectExpr("x", "y", "abs(y - trend) AS r")
+        scale = exact_quantiles(rows, "r", [0.5]).selectExpr("6 * q0 AS s").scalar()
+        share = "CASE WHEN scale > 0 THEN least(r / scale, 1D) ELSE double(r != 0) END"
+        weighted = rows.withColumn("scale", scale).selectExpr(
+            "x", "y", f"pow(1D - pow({share}, 2), 2) AS w"
         )
-        square = F.lit(1.0) - u * u
-        weighted = rows.select("x", "y", F.when(u < 1, square * square).otherwise(0.0).alias("w"))
-        previous = fit.withColumnRenamed("trend", "before")
+        before = fit.withColumnRenamed("trend", "before")
         fit = materialize(
             _fit(_sums(weighted), neighbours)
-            .join(previous, "x", "left")
-            .select("x", F.coalesce("trend", "before").alias("trend"))
+            .join(F.broadcast(before), "x", "left")
+            .selectExpr("x", "coalesce(trend, before) AS trend")
         )
     return fit

@@ -2,11 +2,13 @@
 
 from pyspark.sql import functions as F
 
-from rinkflow.plans import curated, dashboard
+from rinkflow.plans import curated, dashboard, enrichment
+from rinkflow.plans.catalog import landing
 from rinkflow.plans.catalog.joined import _wanted
 from rinkflow.plans.catalog.registry import plain, query
 from rinkflow.plans.catalog.standins import FULL, full_view
 from rinkflow.plans.catalog.statistics import box_sql, histogram_sql
+from rinkflow.session import scratch_folder
 
 
 @query("WITH " + FULL + """
@@ -35,25 +37,25 @@ MAIN = (
 chosen AS (SELECT * FROM full_view WHERE "Gender" IN ('Men', 'Women') AND "Distance" = 500),
 fences AS (SELECT quantile_cont("RaceTime", 0.25) AS a, quantile_cont("RaceTime", 0.75) AS b FROM chosen),
 """ + histogram_sql("chosen", '"TempIce"') + " " + " UNION ALL ".join([
-        long_sql("summary", "''", """SELECT count(*) AS n, round(avg("RaceTime"), 4) AS "mean_RaceTime",
-          round(stddev_samp("RaceTime"), 4) AS "std_RaceTime", round(avg("TempIce"), 4) AS "mean_TempIce",
-          round(stddev_samp("TempIce"), 4) AS "std_TempIce" FROM chosen""",
+        long_sql("summary", "''", """SELECT count(*) AS n, round(avg("RaceTime"), 6) AS "mean_RaceTime",
+          round(stddev_samp("RaceTime"), 6) AS "std_RaceTime", round(avg("TempIce"), 6) AS "mean_TempIce",
+          round(stddev_samp("TempIce"), 6) AS "std_TempIce" FROM chosen""",
                  ["n", "mean_RaceTime", "std_RaceTime", "mean_TempIce", "std_TempIce"]),
         long_sql("outlier_count", "''", """SELECT count(*) AS n_outliers FROM chosen, fences
           WHERE "RaceTime" < a - 1.5 * (b - a) OR "RaceTime" > b + 1.5 * (b - a)""", ["n_outliers"]),
         long_sql("time_by_year", 'CAST("Year" AS VARCHAR)',
                  'SELECT "Year", ' + box_sql('"RaceTime"') + " FROM chosen GROUP BY 1", _BOX_NAMES),
         long_sql("ice_histogram", "CAST(bin AS VARCHAR)",
-                 """SELECT bin, round(low + (bin - 1) * ((high - low) / 20), 4) AS bin_start,
-                 round(low + bin * ((high - low) / 20), 4) AS bin_end, count(*) AS count
+                 """SELECT bin, round(low + (bin - 1) * ((high - low) / 20), 6) AS bin_start,
+                 round(low + bin * ((high - low) / 20), 6) AS bin_end, count(*) AS count
                  FROM binned GROUP BY bin, low, high""", ["bin_start", "bin_end", "count"]),
         long_sql("ice_box", "''", "SELECT " + box_sql('"TempIce"') + " FROM chosen", _BOX_NAMES),
         long_sql("time_by_stadium", '"Stadium"',
                  'SELECT "Stadium", ' + box_sql('"RaceTime"') + " FROM chosen GROUP BY 1", _BOX_NAMES),
         long_sql("stadium_order", '"Stadium"',
-                 'SELECT "Stadium", round(sum("RaceTime"), 4) AS total FROM chosen GROUP BY 1', ["total"]),
+                 'SELECT "Stadium", round(sum("RaceTime"), 6) AS total FROM chosen GROUP BY 1', ["total"]),
         long_sql("ice_by_stadium", '"Stadium"',
-                 'SELECT "Stadium", round(avg("TempIce"), 4) AS "avg_TempIce" FROM chosen GROUP BY 1',
+                 'SELECT "Stadium", round(avg("TempIce"), 6) AS "avg_TempIce" FROM chosen GROUP BY 1',
                  ["avg_TempIce"]),
     ])
 )
@@ -69,7 +71,7 @@ def q3_main_page(spark, folder):
         "ice_box": None, "time_by_stadium": "Stadium", "stadium_order": "Stadium",
         "ice_by_stadium": "Stadium",
     }
-    return plain(dashboard.as_long_form(figures, parts))
+    return plain(dashboard.as_long_form(figures, parts), 6)
 
 
 @query("WITH " + FULL + """,
@@ -110,3 +112,63 @@ def q5_cascading_facets(spark, folder):
         )
     ]
     return labelled[0].union(labelled[1]).union(labelled[2])
+
+
+_LANDED = """
+landed AS (
+  SELECT o_orderkey AS k, c_custkey AS c, c_acctbal, c_nationkey, o_totalprice,
+    CAST(o_orderdate AS DATE) AS day, CAST(o_orderdate AS DATE) + CAST(o_orderkey % 3 AS INTEGER) AS later,
+    ([500, 1000, 1500, 3000, 5000, 10000])[o_orderkey % 6 + 1] AS d,
+    o_orderkey % 23 <> 0 AS titled, c_custkey % 7 <> 0 AS placed,
+    CASE WHEN placed THEN 'Rink_' || c_mktsegment END AS "Stadium",
+    CASE WHEN c_custkey % 5 = 0 THEN 'Tromsø_' || c_name ELSE c_name END AS "Event",
+    CASE WHEN titled THEN d || 'm_' || CASE WHEN o_orderkey % 2 = 0 THEN 'Men' ELSE 'Women' END
+      ELSE 'Competition_' || (o_orderkey + 1) END AS "Race"
+  FROM orders JOIN customer ON o_custkey = c_custkey WHERE o_orderkey % 13 <> 0)
+"""
+
+
+@query("WITH " + _LANDED + """
+SELECT "Stadium", CAST(later AS VARCHAR) AS "Date", "Event", "Race", p AS "Rank", CAST(p AS VARCHAR) AS "Nr",
+  CASE WHEN p = 1 THEN 'Anna_Van_' || translate(CAST(c AS VARCHAR), '0123456789', 'abcdefghij')
+    ELSE 'Zed_Nobody' END AS "Name",
+  'n' || (c % 5) AS "Country", p AS "Pair", NULL::VARCHAR AS "Lane", (k % 60 + 30) || ',5' AS "Time",
+  NULL::VARCHAR AS "Behind", 'Women' AS "Gender", CASE WHEN p = 1 THEN CAST(c AS VARCHAR) END AS "SkaterID",
+  CASE WHEN p = 1 AND titled AND year(later) - 1 = 1995 + c % 4 THEN CAST(
+    CASE d WHEN 500 THEN c % 50 + 37 WHEN 1000 THEN c % 50 + 75 END + 0.25 AS DOUBLE) END AS "SeasonalBest",
+  CASE WHEN titled THEN (p - 1) * CASE d WHEN 500 THEN 135 WHEN 1000 THEN 165 WHEN 1500 THEN 200
+    WHEN 3000 THEN 330 WHEN 5000 THEN 480 ELSE 0 END END AS "EstimatedTFM",
+  "EstimatedTFM" + 60 AS "EstimatedTFMBuffer"
+FROM landed, (VALUES (1), (2)) v(p) WHERE p = 1 OR (k % 3 <> 0 AND k % 4 <> 0)""")
+def q2_enriched_results(spark, folder):
+    """Landed documents to enriched results.
+
+    A 10000 m of two pairs has its break after the first, so the second pair
+    is back at 0.
+    """
+    path = landing.landing_folder(spark, folder, scratch_folder(spark))
+    results, _ = enrichment.read_and_enrich(spark, path)
+    return plain(results)
+
+
+@query("WITH " + _LANDED + """,
+measured AS (
+  SELECT *, CASE WHEN p = 0 THEN day ELSE later END AS at FROM landed, (VALUES (0), (1)) v(p)
+  WHERE p = 0 OR k % 2 = 1),
+weather AS (SELECT DISTINCT c_acctbal AS lat, c_nationkey AS lon, CAST(o_orderdate AS DATE) AS at
+            FROM orders JOIN customer ON o_custkey = c_custkey)
+SELECT "Stadium", CAST(m.at AS VARCHAR) AS "Date", "Event", "Race",
+  CASE WHEN placed THEN 'N' || c_nationkey END AS "Country", k % 6 AS "Distance",
+  CASE WHEN p = 0 THEN 'start' ELSE 'end' END AS "Occasion",
+  CASE WHEN p = 0 THEN '10:11:12' ELSE '11:30:00' END AS "Time",
+  round(o_totalprice + p, 4) AS "TempIndoors", -5.5::DOUBLE AS "IceTemperature",
+  CAST(40 + p AS DOUBLE) AS "Humidity",
+  CASE WHEN w.at IS NOT NULL THEN CAST(day(m.at) + p AS DOUBLE) END AS "TempOutdoors",
+  CASE WHEN w.at IS NOT NULL THEN CAST(1000 + c_nationkey + p AS DOUBLE) END AS "AirpressureSurface",
+  CASE WHEN w.at IS NOT NULL THEN CAST(1010 + p AS DOUBLE) END AS "AirpressureSealevel"
+FROM measured m LEFT JOIN weather w ON placed AND c_acctbal = lat AND c_nationkey = lon AND m.at = w.at""")
+def q2_enriched_conditions(spark, folder):
+    """Landed documents to conditions with outdoor weather."""
+    path = landing.landing_folder(spark, folder, scratch_folder(spark))
+    _, conditions = enrichment.read_and_enrich(spark, path)
+    return plain(conditions)

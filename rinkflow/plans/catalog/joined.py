@@ -194,8 +194,8 @@ def j7_attach_event(spark, folder):
 
 @query("WITH " + RACES + """
 SELECT l_orderkey, l_linenumber, l_partkey, d AS "Distance",
-  CASE d WHEN 500 THEN 3.362 WHEN 1000 THEN 9.894 WHEN 1500 THEN 11.47 WHEN 3000 THEN 61.88
-    WHEN 5000 THEN -51.62 END AS gender
+  CAST(CASE d WHEN 500 THEN 3.362 WHEN 1000 THEN 9.894 WHEN 1500 THEN 11.47 WHEN 3000 THEN 61.88
+    WHEN 5000 THEN -51.62 END AS DOUBLE) AS gender
 FROM (SELECT *, CASE WHEN "RaceDistance" = 10000 THEN 800 ELSE "RaceDistance" END AS d FROM races)""")
 def j8_lookup_coefficients(spark, folder):
     distance = F.when(F.col("RaceDistance") == 10000, 800).otherwise(F.col("RaceDistance"))

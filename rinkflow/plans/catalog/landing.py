@@ -161,3 +161,133 @@ def weather(spark, folder):
     return table(spark, folder, "customer").select(
         F.col("c_acctbal").alias("latitude"), key.cast("double").alias("longitude"), hourly.alias("hourly")
     )
+
+
+# --- a whole landing folder: customers are events and skaters, orders are races
+
+
+def _races(spark, folder):
+    customers = table(spark, folder, "customer")
+    orders = table(spark, folder, "orders")
+    return orders.join(customers, orders["o_custkey"] == customers["c_custkey"])
+
+
+def _event_id(key):
+    return F.concat(F.lit("E"), F.col(key).cast("string")).alias("event_id")
+
+
+def _family(key):
+    """Customer number in letters, as part of a family name."""
+    return F.concat(F.lit("Van "), F.translate(F.col(key).cast("string"), "0123456789", "abcdefghij"))
+
+
+def _land_country(key):
+    return F.concat(F.lit("n"), (F.col(key) % 5).cast("string"))
+
+
+def race_competitions(spark, folder):
+    """One individual race per order, a team race and one without a number."""
+    key = F.col("o_orderkey")
+    distances = F.array(*[F.lit(d) for d in (500, 1000, 1500, 3000, 5000, 10000)])
+    title = F.concat(
+        F.get(distances, (key % 6).cast("int")).cast("string"), F.lit("m "),
+        F.when(key % 2 == 0, "Men").otherwise("Women"),
+    )
+    entry = lambda number, text: F.struct(
+        number.cast("int").alias("scheduleNumber"), text.alias("title")
+    )
+    return table(spark, folder, "orders").select(
+        _event_id("o_custkey"),
+        F.array(
+            entry(key + 1, F.when(key % 23 != 0, title)),
+            entry(key + 1, F.lit("TEAM Pursuit")),
+            entry(F.lit(0), title),
+        ).alias("competitions"),
+    )
+
+
+def race_details(spark, folder):
+    """Start and end measurement per order; the end often lacks its humidity."""
+    key = F.col("o_orderkey")
+    stamp = lambda day, clock: F.concat(F.date_format(day, "yyyy-MM-dd"), F.lit(clock))
+    measured = lambda at, extra, humidity, occasion: F.struct(
+        at.alias("timeStamp"),
+        (F.col("o_totalprice") + extra).alias("airTemperature"),
+        F.lit(-5.5).alias("iceTemperature"),
+        humidity.alias("humidity"),
+        F.lit(occasion).alias("occasion"),
+    )
+    later = F.date_add(F.col("o_orderdate").cast("date"), (key % 3).cast("int"))
+    both = F.array(
+        measured(stamp("o_orderdate", "T10:11:12Z"), 0.0, F.lit(40.0), "start"),
+        measured(stamp(later, "T11:30:00"), 1.0, F.when(key % 2 == 1, 41.0), "end"),
+    )
+    return table(spark, folder, "orders").select(
+        _event_id("o_custkey"), (key + 1).cast("int").alias("schedule_number"),
+        F.struct((key % 6).cast("int").alias("distance")).alias("distance"),
+        F.when(key % 13 != 0, both).otherwise(F.slice(both, 1, 0)).alias("conditions"),
+    )
+
+
+def race_results(spark, folder):
+    """The customer, and mostly an unknown second skater, per order."""
+    key = F.col("o_orderkey")
+
+    def result(pair, first, last, time):
+        skater = F.struct(
+            F.lit(first).alias("firstName"), last.alias("lastName"),
+            _land_country("o_custkey").alias("country"), F.lit("F").alias("gender"),
+        )
+        return F.struct(
+            F.lit(pair).alias("rank"), time.alias("time"), F.lit(pair).alias("startNumber"),
+            F.struct(F.lit(str(pair)).alias("number"), skater.alias("skater")).alias("competitor"),
+        )
+
+    time = F.concat((key % 60 + 30).cast("string"), F.lit(",5"))
+    one = result(1, "Anna", _family("o_custkey"), time)
+    two = result(2, "Zed", F.lit("Nobody"), F.when(key % 4 != 0, time).otherwise(""))
+    document = F.when(key % 3 == 0, F.to_json(one)).otherwise(F.to_json(F.array(one, two)))
+    head = F.format_string('{"event_id":"E%d","schedule_number":%d,"results":', F.col("o_custkey"), key + 1)
+    return table(spark, folder, "orders").select(F.concat(head, document, F.lit("}")).alias("value"))
+
+
+def race_skaters(spark, folder):
+    skater = F.struct(
+        F.col("c_custkey").cast("string").alias("id"), F.lit("Anna").alias("givenname"),
+        _family("c_custkey").alias("familyname"),
+    )
+    return table(spark, folder, "customer").select(
+        _land_country("c_custkey").alias("country"), F.array(skater).alias("skaters")
+    )
+
+
+def race_weather(spark, folder):
+    """Two hours at the rink of each order's day."""
+    day = F.date_format("o_orderdate", "yyyy-MM-dd")
+    pair = lambda value: F.array(value, value + 1.0)
+    hourly = F.struct(
+        F.array(F.concat(day, F.lit("T10:00")), F.concat(day, F.lit("T11:00"))).alias("time"),
+        pair(F.dayofmonth("o_orderdate").cast("double")).alias("temperature_2m"),
+        pair(F.col("c_nationkey") + 1000.0).alias("surface_pressure"),
+        pair(F.lit(1010.0)).alias("pressure_msl"),
+    )
+    return _races(spark, folder).select(
+        F.col("c_acctbal").alias("latitude"), F.col("c_nationkey").cast("double").alias("longitude"),
+        hourly.alias("hourly"),
+    )
+
+
+def landing_folder(spark, folder, path):
+    """Write all document kinds under ``path``."""
+    pages = table(spark, folder, "customer").select(
+        F.to_json(F.array(F.struct(_event_id("c_custkey").alias("isuId")))).alias("value")
+    )
+    write_text_documents(pages, f"{path}/event_pages")
+    write_text_documents(race_results(spark, folder), f"{path}/competition_results")
+    for name, documents in (
+        ("event_details", event_details), ("competitions", race_competitions),
+        ("competition_details", race_details), ("skaters", race_skaters),
+        ("season_bests", season_bests), ("weather", race_weather),
+    ):
+        documents(spark, folder).write.json(f"{path}/{name}")
+    return path

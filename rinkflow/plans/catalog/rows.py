@@ -360,9 +360,9 @@ def f8_parse_timestamp(spark, folder):
 
 
 @query("""
-SELECT l_orderkey, l_linenumber, l_partkey, CASE l_partkey % 7
+SELECT l_orderkey, l_linenumber, l_partkey, round(CAST(CASE l_partkey % 7
     WHEN 0 THEN l_quantity + 0.07 WHEN 1 THEN 60 + l_quantity + 0.55 WHEN 2 THEN 240 + l_quantity + 0.39
-    WHEN 3 THEN l_quantity END AS seconds
+    WHEN 3 THEN l_quantity END AS DOUBLE), 4) AS seconds
 FROM (SELECT * REPLACE (CAST(l_quantity AS INTEGER) AS l_quantity) FROM lineitem)""")
 def f9_time_to_seconds(spark, folder):
     whole = F.col("l_quantity").cast("int").cast("string")
@@ -501,8 +501,8 @@ def f25_formatted_texts(spark, folder):
 
 @query("WITH " + RACES + """
 SELECT 'results' AS "table", "Stadium", CAST("Date" AS VARCHAR) AS "Date", "Event", "Race",
-  l_returnflag AS "Country", CAST("Pair" AS VARCHAR) AS "Rank", NULL AS "Distance",
-  NULL AS "TempIndoors", NULL AS "Location" FROM races
+  l_returnflag AS "Country", CAST("Pair" AS VARCHAR) AS "Rank", NULL::BIGINT AS "Distance",
+  NULL::DOUBLE AS "TempIndoors", NULL::VARCHAR AS "Location" FROM races
 UNION ALL
 SELECT 'conditions', "Stadium", CAST("Date" AS VARCHAR), "Event", "Race", l_returnflag, NULL,
   "RaceDistance", l_tax, NULL FROM races""")

@@ -10,11 +10,11 @@ from rinkflow.plans.catalog.standins import (
     CONDITIONS, LIGHT, RACES, conditions, light_view, races, table,
 )
 
-_BOX = """count(*) AS n, round(min({v}), 4) AS min, round(quantile_cont({v}, 0.25), 4) AS q1,
-  round(quantile_cont({v}, 0.5), 4) AS median, round(quantile_cont({v}, 0.75), 4) AS q3,
-  round(max({v}), 4) AS max,
-  round(quantile_cont({v}, 0.25) - 1.5 * (quantile_cont({v}, 0.75) - quantile_cont({v}, 0.25)), 4) AS lower_fence,
-  round(quantile_cont({v}, 0.75) + 1.5 * (quantile_cont({v}, 0.75) - quantile_cont({v}, 0.25)), 4) AS upper_fence"""
+_BOX = """count(*) AS n, round(min({v}), 6) AS min, round(quantile_cont({v}, 0.25), 6) AS q1,
+  round(quantile_cont({v}, 0.5), 6) AS median, round(quantile_cont({v}, 0.75), 6) AS q3,
+  round(max({v}), 6) AS max,
+  round(quantile_cont({v}, 0.25) - 1.5 * (quantile_cont({v}, 0.75) - quantile_cont({v}, 0.25)), 6) AS lower_fence,
+  round(quantile_cont({v}, 0.75) + 1.5 * (quantile_cont({v}, 0.75) - quantile_cont({v}, 0.25)), 6) AS upper_fence"""
 
 
 def box_sql(value):
@@ -54,10 +54,10 @@ def a4_quartiles(spark, folder):
 
 
 @query("WITH " + RACES + """
-SELECT "Stadium", round(quantile_cont("RaceTime", 0.25), 4) AS q1, round(quantile_cont("RaceTime", 0.75), 4) AS q3,
-  round(quantile_cont("RaceTime", 0.75) - quantile_cont("RaceTime", 0.25), 4) AS iqr FROM races GROUP BY 1""")
+SELECT "Stadium", round(quantile_cont("RaceTime", 0.25), 6) AS q1, round(quantile_cont("RaceTime", 0.75), 6) AS q3,
+  round(quantile_cont("RaceTime", 0.75) - quantile_cont("RaceTime", 0.25), 6) AS iqr FROM races GROUP BY 1""")
 def a4_quartiles_grouped(spark, folder):
-    return plain(quantiles.quartiles(races(spark, folder), "RaceTime", ["Stadium"]))
+    return plain(quantiles.quartiles(races(spark, folder), "RaceTime", ["Stadium"]), 6)
 
 
 _FENCES = """q AS (
@@ -78,12 +78,12 @@ def a5_outlier_count(spark, folder):
 
 @query("WITH " + LIGHT + 'SELECT "Year", ' + box_sql('"RaceTime"') + " FROM light GROUP BY 1")
 def a6_box_by_year(spark, folder):
-    return plain(quantiles.box_by(light_view(spark, folder), "Year", "RaceTime"))
+    return plain(quantiles.box_by(light_view(spark, folder), "Year", "RaceTime"), 6)
 
 
 @query("WITH " + LIGHT + 'SELECT "Stadium", ' + box_sql('"RaceTime"') + " FROM light GROUP BY 1")
 def a7_box_by_stadium(spark, folder):
-    return plain(quantiles.box_by(light_view(spark, folder), "Stadium", "RaceTime"))
+    return plain(quantiles.box_by(light_view(spark, folder), "Stadium", "RaceTime"), 6)
 
 
 def histogram_sql(source, value):
@@ -106,13 +106,13 @@ def a8_histogram(spark, folder):
 
 @query("WITH " + LIGHT + "SELECT " + box_sql('"TempIce"') + " FROM light")
 def a8_histogram_marginal(spark, folder):
-    return plain(stats.histogram_marginal(light_view(spark, folder), "TempIce"))
+    return plain(stats.histogram_marginal(light_view(spark, folder), "TempIce"), 6)
 
 
 @query("""
 SELECT round(regr_slope(l_extendedprice, l_quantity), 4) AS slope,
   round(regr_intercept(l_extendedprice, l_quantity), 4) AS intercept,
-  round(regr_r2(l_extendedprice, l_quantity), 6) AS r2, regr_count(l_extendedprice, l_quantity) AS n
+  round(regr_r2(l_extendedprice, l_quantity), 6) AS r2, CAST(regr_count(l_extendedprice, l_quantity) AS BIGINT) AS n
 FROM lineitem""")
 def a9_linear_trend(spark, folder):
     line = stats.linear_trend(table(spark, folder, "lineitem"), "l_quantity", "l_extendedprice")
@@ -130,7 +130,7 @@ def a10_lowess_trend(spark, folder):
 @query("WITH " + CONDITIONS + """,
 marks AS (SELECT year("Date") AS batch, 1 AS r, 0 AS c FROM races
           UNION ALL SELECT year("Date"), 0, 1 FROM conditions)
-SELECT batch, sum(r) AS n_results, sum(c) AS n_conditions FROM marks GROUP BY ROLLUP (batch)""")
+SELECT batch, CAST(sum(r) AS BIGINT) AS n_results, CAST(sum(c) AS BIGINT) AS n_conditions FROM marks GROUP BY ROLLUP (batch)""")
 def a15_batch_totals(spark, folder):
     year = F.year("Date").alias("batch")
     return plain(

@@ -17,6 +17,15 @@ TABLES = (
 ).split()
 
 
+KINDS = {
+    "string": ["VARCHAR"],
+    "bigint": ["BIGINT", "INTEGER"],
+    "int": ["BIGINT", "INTEGER"],
+    "double": ["DOUBLE"],
+    "boolean": ["BOOLEAN"],
+}
+
+
 def duck(folder):
     connection = duckdb.connect()
     for name in TABLES:
@@ -54,6 +63,10 @@ def compare(connection, spark, folder, name):
         return f"{len(ours[1])} / {len(theirs[1])} rows; {ours[1][:2]} / {theirs[1][:2]}"
     if not ours[1]:
         return "no rows on either side"
+    for column, dtype in dict(df.dtypes).items():
+        other = str(dict(zip(relation.columns, relation.types))[column])
+        if other not in KINDS[dtype]:
+            return f"type of {column}: {dtype} / {other}"
     wrong = [(a, b) for a, b in zip(*[ours[1], theirs[1]]) if a != b]
     return f"{len(wrong)} of {len(ours[1])} rows differ, first {wrong[0]}" if wrong else None
 
