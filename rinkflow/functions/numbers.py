@@ -76,30 +76,35 @@ def stamp_time(c) -> Column:
     )
 
 
+def unrounded_seconds(c) -> Column:
+    """``time_to_seconds`` before rounding."""
+    c = F.trim(_col(c))
+    dots, colons = F.split(c, "\\."), F.split(c, ":")
+    has = lambda sign: F.contains(c, F.lit(sign))
+    minutes = lambda parts: to_integer(F.get(parts, F.lit(0))) * 60
+    rest = lambda parts: to_double(F.translate(F.get(parts, F.lit(1)), ",", "."))
+    return (
+        F.when(has(".") & has(","), minutes(dots) + rest(dots))
+        .when(has(","), to_double(F.translate(c, ",", ".")))
+        .when(has(":"), F.when(F.size(colons) == 2, minutes(colons) + rest(colons)))
+        .otherwise(to_double(c))
+    )
+
+
 def time_to_seconds(c) -> Column:
     """Race time text -> seconds with two decimals.
 
     ``1.11,55`` (minutes, seconds), ``36,07``, ``4:00.393`` or a plain number;
     anything else is NULL.
     """
-    c = F.trim(_col(c))
-    dots = F.split(c, "\\.")
-    colons = F.split(c, ":")
-    comma_to_dot = lambda text: F.translate(text, ",", ".")
-    minutes_dot = to_integer(F.get(dots, F.lit(0))) * 60 + to_double(
-        comma_to_dot(F.get(dots, F.lit(1)))
-    )
-    minutes_colon = to_integer(F.get(colons, F.lit(0))) * 60 + to_double(
-        F.get(colons, F.lit(1))
-    )
-    has = lambda sign: F.contains(c, F.lit(sign))
-    seconds = (
-        F.when(has(".") & has(","), minutes_dot)
-        .when(has(","), to_double(comma_to_dot(c)))
-        .when(has(":"), F.when(F.size(colons) == 2, minutes_colon))
-        .otherwise(to_double(c))
-    )
-    return round_half_even(seconds)
+    return round_half_even(unrounded_seconds(c))
+
+
+def with_seconds(df, text, out):
+    """``time_to_seconds`` as a column of ``df``, in two compiled steps."""
+    return df.withColumn("_seconds", unrounded_seconds(text)).withColumn(
+        out, rounded("_seconds")
+    ).drop("_seconds")
 
 
 def first_integer(c) -> Column:

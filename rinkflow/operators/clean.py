@@ -8,7 +8,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from rinkflow import fixed_values as fixed
-from rinkflow.functions.numbers import date_text_is_valid, hour_of, time_to_seconds
+from rinkflow.functions.numbers import date_text_is_valid, hour_of, with_seconds
 from rinkflow.functions.text import has_text
 
 
@@ -78,9 +78,8 @@ def ensure_columns(df: DataFrame, cols, dtype="double"):
 def to_curated_results(df: DataFrame):
     """Names that stay unambiguous in the joined view; result times in seconds."""
     out = df.withColumnsRenamed({"Time": "RaceTime", "Country": "SkaterCountry"})
-    if dict(out.dtypes).get("RaceTime") == "string":
-        out = out.withColumn("RaceTime", time_to_seconds("RaceTime"))
-    return out
+    is_text = dict(out.dtypes).get("RaceTime") == "string"
+    return with_seconds(out, "RaceTime", "RaceTime") if is_text else out
 
 
 def to_curated_conditions(df: DataFrame):

@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rinkflow.functions.numbers import hour_of, time_to_seconds, year_of_text
+from rinkflow.functions.numbers import hour_of, with_seconds, year_of_text
 from rinkflow.functions.text import trim_or_empty
 from rinkflow.operators.clean import flag_valid_request
 
@@ -47,7 +47,7 @@ def season_best_table(records: DataFrame):
     readable record of a distance wins.
     """
     first = records.groupBy("skater_id", "start").agg(F.min("season_pos").alias("season_pos"))
-    timed = records.withColumn("seconds", time_to_seconds("time_text")).where(
+    timed = with_seconds(records, "time_text", "seconds").where(
         (F.col("distance") != 0) & F.col("seconds").isNotNull()
     )
     # Reduced per season entry before the join, so no long record list is shuffled.

@@ -18,15 +18,16 @@ _BLOCK_BITS = 16
 def pair_positions(df: DataFrame, keys=fixed.RACE_KEY, pair="Pair"):
     """Distinct (race, pair) with ``pair_index`` (from 0) and ``pairs_in_race``.
 
-    Rows are reduced to the set of pairs per block before anything is ordered.
+    Rows are reduced to distinct pairs before anything is gathered or ordered.
     The index is the position in the block plus the pairs of lower blocks.
     """
     keys = list(keys)
     blocks = (
         df.where(F.col(pair).isNotNull())
         .select(*keys, F.col(pair).cast("int").alias(pair))
+        .distinct()
         .groupBy(*keys, F.shiftright(pair, _BLOCK_BITS).alias("_block"))
-        .agg(F.array_sort(F.collect_set(pair)).alias("_pairs"))
+        .agg(F.array_sort(F.collect_list(pair)).alias("_pairs"))
     )
     race = Window.partitionBy(*keys)
     up_to_here = race.orderBy("_block").rowsBetween(Window.unboundedPreceding, 0)
@@ -78,13 +79,13 @@ def tfm_break_reset(
     The break comes halfway; races of 4 or 6 pairs have none, nor do races of
     a single pair.
     """
+    # All rows keep their pair in the join key, so a race spreads over its pairs.
     is_long = distance_of(distance_col) == str(fixed.BREAK_DISTANCE)
-    number = F.when(is_long, whole_pair(df, pair))
-    # Rows of other distances match nothing; their own hash spreads them out.
-    own = F.when(F.col("_pair").isNull(), F.xxhash64(*df.columns)).otherwise(F.lit(0))
-    rows = df.withColumn("_pair", number).withColumn("_spread", own)
-    positions = pair_positions(rows, keys, "_pair").withColumn("_spread", F.lit(0).cast("bigint"))
-    placed = null_safe_left_join(rows, positions, [*keys, "_pair", "_spread"])
+    rows = df.withColumns(
+        {"_pair": whole_pair(df, pair), "_long": F.coalesce(is_long, F.lit(False))}
+    )
+    positions = pair_positions(rows.where("_long"), keys, "_pair").withColumn("_long", F.lit(True))
+    placed = null_safe_left_join(rows, positions, [*keys, "_pair", "_long"])
     half = F.floor((F.col("pairs_in_race") + 1) / 2)
     resets = (
         F.col("pair_index").isNotNull()

@@ -2,11 +2,11 @@
 
 from pyspark.sql import functions as F
 
-from rinkflow.plans import curated, dashboard, enrichment
+from rinkflow.plans import dashboard, enrichment
 from rinkflow.plans.catalog import landing
 from rinkflow.plans.catalog.joined import _wanted
 from rinkflow.plans.catalog.registry import plain, query
-from rinkflow.plans.catalog.standins import FULL, full_view
+from rinkflow.plans.catalog.standins import FULL, full_view, stored_view
 from rinkflow.plans.catalog.statistics import box_sql, histogram_sql
 from rinkflow.session import scratch_folder
 
@@ -64,7 +64,7 @@ fences AS (SELECT quantile_cont("RaceTime", 0.25) AS a, quantile_cont("RaceTime"
 @query(MAIN)
 def q3_main_page(spark, folder):
     """All single-value and per-group figures of the main page, 500 m."""
-    view = curated.store_view(full_view(spark, folder))
+    view = stored_view(spark, folder)
     figures = dashboard.main_figures(view, trend=False)
     parts = {
         "summary": None, "outlier_count": None, "time_by_year": "Year", "ice_histogram": "bin",
@@ -84,7 +84,7 @@ line AS (SELECT round(regr_slope("Prediction", "RaceTime"), 4) AS slope,
     long_sql("trend", "''", "SELECT * FROM line", ["slope", "intercept", "r2", "n"]),
 ]))
 def q4_prediction_page(spark, folder):
-    view = curated.store_view(full_view(spark, folder))
+    view = stored_view(spark, folder)
     figures = dashboard.prediction_figures(view, 1000, countries=["Land_0", "Land_1"])
     return plain(dashboard.as_long_form(figures, {"count": None, "trend": None}))
 
@@ -99,7 +99,7 @@ SELECT 'athlete option', "Name" FROM full_view
 WHERE "Gender" = 'Women' AND "Distance" = 3000 AND "Year" BETWEEN 1995 AND 1997 AND "Stadium" = 'Rink_4'
 GROUP BY ALL""")
 def q5_cascading_facets(spark, folder):
-    view = curated.store_view(full_view(spark, folder))
+    view = stored_view(spark, folder)
     stadiums, kept = dashboard.stadium_facet(view, ["Land_1"], _wanted(spark, ["Rink_1", "Rink_2"]))
     athletes, _ = dashboard.athlete_facet(
         view, gender=["Women"], distance=3000, years=(1995, 1997), stadiums=["Rink_4"]

@@ -6,7 +6,7 @@ from rinkflow.functions import model, numbers, similarity, text
 from rinkflow.operators import clean, requests, selection
 from rinkflow.plans.catalog.registry import plain, query
 from rinkflow.plans.catalog.standins import (
-    CONDITIONS, FULL, LIGHT, RACES, conditions, full_view, light_view, races, table,
+    CONDITIONS, FULL, LIGHT, RACES, conditions, light_view, races, stored_view, table,
 )
 from rinkflow.sources import legacy
 
@@ -141,7 +141,7 @@ FROM full_view WHERE "Gender" IN ('Men', 'Women') AND "Distance" = 1500
   AND "Year" BETWEEN 1996 AND 1999 AND "RinkCountry" IN ('Land_0', 'Land_1')""")
 def p9_select_rows(spark, folder):
     rows = selection.select_rows(
-        full_view(spark, folder), distance=1500, years=(1996, 1999), countries=["Land_0", "Land_1"]
+        stored_view(spark, folder), distance=1500, years=(1996, 1999), countries=["Land_0", "Land_1"]
     )
     return plain(rows.select("Name", "Stadium", "RinkCountry", "Date", "Distance", "RaceTime"))
 
@@ -234,9 +234,7 @@ SELECT "TempIce", round("RaceTime", 4) AS "RaceTime", "Name", "Stadium",
   "RaceTime" < a - 1.5 * (b - a) OR "RaceTime" > b + 1.5 * (b - a) AS is_outlier
 FROM full_view, q WHERE "Distance" = 500""")
 def p15_scatter_points(spark, folder):
-    from rinkflow.plans.curated import store_view
-
-    rows = selection.select_rows(store_view(full_view(spark, folder)))
+    rows = selection.select_rows(stored_view(spark, folder))
     return plain(selection.scatter_points(rows))
 
 
@@ -244,7 +242,7 @@ def p15_scatter_points(spark, folder):
 SELECT round("RaceTime", 4) AS "RaceTime", round("Prediction", 4) AS "Prediction", "Name", "Gender"
 FROM full_view WHERE "Distance" = 500""")
 def p16_prediction_points(spark, folder):
-    return plain(selection.prediction_points(full_view(spark, folder), 500))
+    return plain(selection.prediction_points(stored_view(spark, folder), 500))
 
 
 # --- column functions --------------------------------------------------------
@@ -375,12 +373,9 @@ def f9_time_to_seconds(spark, folder):
         .when(kind == 4, F.concat(F.lit("1:"), whole, F.lit(",55")))
         .when(kind == 5, F.concat(F.lit("1:02:"), whole))
     )
-    return plain(
-        table(spark, folder, "lineitem").select(
-            "l_orderkey", "l_linenumber", "l_partkey",
-            numbers.time_to_seconds(shown).alias("seconds"),
-        )
-    )
+    rows = table(spark, folder, "lineitem").withColumn("shown", shown)
+    timed = numbers.with_seconds(rows, "shown", "seconds")
+    return plain(timed.select("l_orderkey", "l_linenumber", "l_partkey", "seconds"))
 
 
 @query("""

@@ -87,9 +87,8 @@ def light_view(spark, folder):
     from rinkflow.functions.model import fix_ice_sign
     from rinkflow.operators import clean
 
-    view = curated.joined_view(
-        entries(races(spark, folder)), conditions(spark, folder), LINEITEM_COLUMNS
-    )
+    first = curated.first_conditions(conditions(spark, folder), LINEITEM_COLUMNS)
+    view = curated.joined_view(entries(races(spark, folder)), first)
     view = view.withColumn("TempIce", fix_ice_sign("TempIce")).withColumn("Year", F.year("Date"))
     return clean.plausible(view)
 
@@ -107,6 +106,17 @@ def full_view(spark, folder):
     )
 
 
+_STORED = {}
+
+
+def stored_view(spark, folder):
+    """The curated view as a stored table, written once per session and folder."""
+    key = (spark.sparkContext.applicationId, folder)
+    if key not in _STORED:
+        _STORED[key] = curated.store_view(full_view(spark, folder))
+    return _STORED[key]
+
+
 # --- the same in SQL ---------------------------------------------------------
 
 _ORDER = ", ".join(LINEITEM_COLUMNS)

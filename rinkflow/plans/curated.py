@@ -16,12 +16,15 @@ def typed_date(df: DataFrame, col="Date"):
     return df.withColumn(col, day_first_date(col)) if dict(df.dtypes)[col] == "string" else df
 
 
-def joined_view(results: DataFrame, conditions: DataFrame, order=None):
-    """Results with the first start measurement of their race, complete rows only."""
+def first_conditions(conditions: DataFrame, order=None):
+    """The first start measurement of each race, without the ``order`` columns."""
     start = clean.occasion_filter(conditions)
-    first = clean.first_per_key(start, fixed.RACE_KEY, order)
-    joined = joins.join_conditions(results, first.drop(*(order or [])))
-    return clean.require_columns(joined)
+    return clean.first_per_key(start, fixed.RACE_KEY, order).drop(*(order or []))
+
+
+def joined_view(results: DataFrame, first: DataFrame):
+    """Results with the first start measurement of their race, complete rows only."""
+    return clean.require_columns(joins.join_conditions(results, first))
 
 
 def add_prediction(df: DataFrame, out="Prediction"):
@@ -41,10 +44,11 @@ def curated_view(results: DataFrame, conditions: DataFrame, order=None):
 
     The correction of the differences looks at the whole joined view, before
     implausible times go.  ``order`` names the condition columns that decide
-    which measurement of a race is first; they are not kept.  Both inputs are
-    read twice, so they should be stored tables.
+    which measurement of a race is first; they are not kept.  The joined view is
+    evaluated twice: ``results`` should be a stored table, and the conditions,
+    once reduced to a row per race, are stored here.
     """
-    view = joined_view(results, conditions, order)
+    view = joined_view(results, materialize(first_conditions(conditions, order)))
     view = stats.add_corrected_difference(view)
     view = typed_date(view).withColumns(
         {

@@ -22,6 +22,8 @@ def local_session(cores="*", shuffle_partitions=8, app_name="rinkflow"):
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
         .config("spark.ui.enabled", "false")
+        # HotSpot never compiles a method beyond this size; smaller ones it does.
+        .config("spark.sql.codegen.hugeMethodLimit", "8000")
         # Python call sites in error texts cost a call per column expression.
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .getOrCreate()
