@@ -60,8 +60,9 @@ def require_columns(df: DataFrame, cols=fixed.REQUIRED_VIEW_COLUMNS):
 
 
 def plausible(df: DataFrame, time="RaceTime", best="SeasonalBest", factor=fixed.PLAUSIBLE_FACTOR):
-    """Keep times under ``factor`` x the season best; NULL is dropped."""
-    return df.where(F.col(time) < F.lit(factor) * F.col(best))
+    """Keep times under ``factor`` x the season best; NULL and NaN are dropped."""
+    limit = F.lit(factor) * F.col(best)
+    return df.where((F.col(time) < limit) & ~F.isnan(limit))
 
 
 def drop_helper_columns(df: DataFrame, cols=fixed.WEATHER_HELPER_COLUMNS):

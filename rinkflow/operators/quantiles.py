@@ -118,7 +118,11 @@ def mark_outliers(df: DataFrame, col, k=fixed.OUTLIER_FACTOR, flag="is_outlier")
     """Flag values strictly outside the fences of the whole of ``df``."""
     q = quartiles(df, col)
     fences = q.selectExpr(f"struct(q1 - {k!r}D * iqr AS low, q3 + {k!r}D * iqr AS high) AS s").scalar()
-    outside = f"coalesce(`{col}` < _fences.low OR `{col}` > _fences.high, false) AS `{flag}`"
+    # NaN sorts above everything here; it is no outlier.
+    outside = (
+        f"coalesce((`{col}` < _fences.low OR `{col}` > _fences.high)"
+        f" AND NOT isnan(double(`{col}`)), false) AS `{flag}`"
+    )
     columns = [f"`{c}`" for c in df.columns]
     return df.withColumn("_fences", fences).selectExpr(*columns, outside)
 
