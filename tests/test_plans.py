@@ -85,3 +85,56 @@ def test_row_order_does_not_matter(spark):
         return view.selectExpr("count(*)", "sum(hash(*))").first()
 
     assert digest(["l_orderkey"]) == digest(["l_shipdate", "l_partkey"])
+
+
+def test_hot_key_of_a_join_is_split(spark):
+    """Half of all rows in one race, and no side small enough to broadcast."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "32KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.shuffle.partitions": "8",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        results = spark.range(0, 80_000, 1, 16).selectExpr(
+            "IF(id % 2 = 0, 'hot', 'r' || id % 500) AS Stadium", "'d' AS Date", "'e' AS Event", "'500m' AS Race",
+            "id", "uuid() AS Name")
+        first = spark.range(0, 500).selectExpr(
+            "IF(id = 0, 'hot', 'r' || id) AS Stadium", "'d' AS Date", "'e' AS Event", "'500m' AS Race", "id AS TempIce")
+        joined = joins.join_conditions(results, first)
+        assert joined.where("Stadium = 'hot' AND TempIce = 0").count() == 40_000
+        joined.collect()
+        assert "skew=true" in plan(joined)
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_from_landed_documents_to_figures(spark):
+    """All plans in one go: enrichment, curated view, figures."""
+    from rinkflow.plans import dashboard, enrichment
+    from rinkflow.plans.catalog import landing
+    from rinkflow.session import scratch_folder
+
+    path = landing.landing_folder(spark, FOLDER, scratch_folder(spark))
+    results, conditions = enrichment.read_and_enrich(spark, path)
+    view = curated.store_view(curated.curated_view(
+        clean.to_curated_results(results), clean.to_curated_conditions(conditions)))
+    n = view.count()
+    assert n > 0
+    distance = view.first().Distance
+    figures = dashboard.main_figures(view, distance=distance)
+    kept = figures["summary"].first().n
+    assert kept == view.where(view["Distance"] == distance).count()
+    assert figures["scatter"].count() == kept
+    assert sum(r["count"] for r in figures["ice_histogram"].collect()) == kept
+    assert sum(r.n for r in figures["time_by_stadium"].collect()) <= kept
+    assert figures["trend"].count() == view.where(view["Distance"] == distance).select("TempIce").distinct().count()
+    nothing = dashboard.main_figures(view, gender=[], distance=distance)
+    assert nothing["summary"].first().n == 0
+    assert all(nothing[k].count() == 0 for k in ("outliers", "time_by_year", "ice_histogram", "ice_box", "trend"))
