@@ -122,7 +122,38 @@ def a9_linear_trend(spark, folder):
     )
 
 
-@query()
+def lowess_sql(rounds=3):
+    """One pair of statements per round: sums per x, then the lines at every x."""
+    steps = [RACES, """
+w0 AS (SELECT "SeasonalBest" AS x, "RaceTime" AS y, 1.0::DOUBLE AS w FROM races),
+dense AS (SELECT x, count(*) AS n FROM w0 GROUP BY 1),
+reach AS (
+  SELECT a.x, abs(p.x - a.x) AS d,
+    sum(p.n) OVER (PARTITION BY a.x ORDER BY abs(p.x - a.x), p.x ROWS UNBOUNDED PRECEDING) AS seen
+  FROM dense a, dense p),
+width AS (
+  SELECT x, min(d) AS h FROM reach
+  WHERE seen >= (SELECT greatest(2, floor(2.0::DOUBLE / 3 * count(*))) FROM w0) GROUP BY 1)"""]
+    for i in range(rounds + 1):
+        steps.append(f"""
+s{i} AS (SELECT x, sum(w) AS w, sum(w * y) AS wy FROM w{i} GROUP BY 1),
+m{i} AS (
+  SELECT x, sum(k * w) AS sw, sum(k * w * t) AS st, sum(k * w * t * t) AS stt,
+    sum(k * wy) AS sy, sum(k * wy * t) AS sty
+  FROM (SELECT a.x, p.x - a.x AS t, p.w, p.wy,
+          pow(1 - pow(least(abs(p.x - a.x) / h, 1), 3), 3) AS k FROM width a, s{i} p)
+  GROUP BY 1),
+f{i} AS (SELECT x, (stt * sy - st * sty) / (sw * stt - st * st) AS trend FROM m{i})""")
+        if i < rounds:
+            steps.append(f"""
+r{i} AS (SELECT x, y, abs(y - trend) AS r FROM w{i} JOIN f{i} USING (x)),
+w{i + 1} AS (
+  SELECT x, y, pow(1 - pow(least(r / (SELECT 6 * quantile_cont(r, 0.5) FROM r{i}), 1), 2), 2) AS w
+  FROM r{i})""")
+    return "WITH " + ",".join(steps) + f" SELECT x, round(trend, 4) AS trend FROM f{rounds}"
+
+
+@query(lowess_sql())
 def a10_lowess_trend(spark, folder):
     return plain(lowess_trend(races(spark, folder), "SeasonalBest", "RaceTime"))
 

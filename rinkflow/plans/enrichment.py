@@ -79,10 +79,13 @@ def add_weather(conditions: DataFrame, hourly: DataFrame):
 
 
 def enrich(events, competitions, details, results, registry, season_records, hourly):
-    """All steps on parsed inputs: (results, conditions), still lazy but for the
-    stored identities."""
+    """All steps on parsed inputs: (results, conditions).
+
+    The parsed results are stored once: names, identities and start order all
+    read them.
+    """
     result_rows, condition_rows = race_rows(events, competitions, details, results)
-    result_rows = add_identities(result_rows, registry)
+    result_rows = add_identities(materialize(result_rows), registry)
     result_rows = add_season_bests(result_rows, season_records)
     result_rows = sequence.estimate_tfm(result_rows)
     return result_rows, add_weather(condition_rows, hourly)
