@@ -60,12 +60,13 @@ def w4_first_per_key(spark, folder):
     return plain(first.select(*fixed.RACE_KEY, "l_orderkey", "l_linenumber", "TempIce"))
 
 
-# Positions are unique per order; every fifth row has no stamp, every seventh
-# an unreadable one.
+# Rows of one position have one date; every fifth row has no stamp, every
+# seventh an unreadable one.
 @query("""
 SELECT l_orderkey AS event_id, arg_max_null(CASE WHEN l_partkey % 7 <> 0 THEN day END, position) AS "Date"
 FROM (SELECT l_orderkey, l_partkey, strftime(l_shipdate, '%Y-%m-%d') AS day,
-        l_linenumber * 100000000 + l_partkey * 10000 + l_suppkey AS position
+        (l_linenumber * 100000000 + l_partkey * 10000 + l_suppkey) * 20000
+          + datediff('day', DATE '1970-01-01', l_shipdate) AS position
       FROM lineitem WHERE l_partkey % 5 <> 0)
 GROUP BY 1""")
 def w5_last_condition_date(spark, folder):
@@ -76,7 +77,9 @@ def w5_last_condition_date(spark, folder):
         F.when(part % 5 == 0, "").when(part % 7 == 0, "soon").otherwise(day).alias("time_stamp"),
         F.when((part % 5 != 0) & (part % 7 != 0), F.col("l_shipdate").cast("date")).alias("Date"),
         (
-            F.col("l_linenumber").cast("bigint") * 100000000 + part * 10000 + F.col("l_suppkey")
+            (F.col("l_linenumber").cast("bigint") * 100000000 + part * 10000 + F.col("l_suppkey"))
+            * 20000
+            + F.datediff("l_shipdate", F.lit("1970-01-01"))
         ).alias("position"),
     )
     return plain(clean.last_condition_date(rows, ["event_id"]))
