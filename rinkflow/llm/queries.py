@@ -3,7 +3,8 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from rinkflow.llm import byte_bpe, url_filters
+from rinkflow.llm import byte_bpe, token_files, url_filters
+from rinkflow.session import materialize, scratch_folder
 
 QUERIES = {}
 SQL = {}
@@ -31,6 +32,17 @@ def op2_byte_bpe(spark, folder):
     )
 
 
+@query
+def op5_token_files(spark, folder):
+    """Every document written as token ids and read back from the files."""
+    files = scratch_folder(spark)
+    model = public_tokenizers.path("word_bpe_49k.json")
+    token_files.write_token_files(table(spark, folder, "documents"), files, model, end_id=1)
+    read = token_files.read_token_files(spark, files)
+    read = materialize(read.select("shard", "number", "doc_id", "place", "n_tokens", F.crc32("ids").alias("ids_crc32")))
+    return token_files.with_starts(read).select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
 #: The rules of the query: host, path, verdict.
 URL_RULES = [
     ("com", "/", "allow"),
