@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from rinkflow.llm import byte_bpe, token_files, url_filters
+from rinkflow.llm import byte_bpe, languages, quality, token_files, url_filters
 from rinkflow.session import materialize, scratch_folder
 
 QUERIES = {}
@@ -43,6 +43,28 @@ def op5_token_files(spark, folder):
     return token_files.with_starts(read).select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
+def bucket(n):
+    """crc32 of the document id as text, modulo n."""
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % n
+
+
+@query
+def op7_quality(spark, folder):
+    """Every document's quality, learned from the labelled rows that are not held out."""
+    docs = table(spark, folder, "documents").withColumn("held_out", bucket(3) == 1)
+    measured = materialize(quality.measure(docs, ("doc_id", "held_out")))
+    model = quality.fit(measured.where("not held_out"), table(spark, folder, "labels"))
+    return quality.score(measured, model)
+
+
+@query
+def op8_language_id(spark, folder):
+    """Every document's language, learned from the rows that are not held out."""
+    docs = table(spark, folder, "documents").withColumn("held_out", bucket(4) == 2)
+    model = languages.fit(docs.where("not held_out"))
+    return languages.identify(docs, model, ("doc_id", "held_out"))
+
+
 #: The rules of the query: host, path, verdict.
 URL_RULES = [
     ("com", "/", "allow"),
