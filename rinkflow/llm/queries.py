@@ -1,9 +1,11 @@
 """The operators as registered queries over the tables of a folder, with SQL where it can say the same."""
 
+import re
+
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from rinkflow.llm import byte_bpe, languages, quality, token_files, url_filters
+from rinkflow.llm import byte_bpe, languages, licenses, near_copies, quality, token_files, url_filters
 from rinkflow.session import materialize, scratch_folder
 
 QUERIES = {}
@@ -32,6 +34,12 @@ def op2_byte_bpe(spark, folder):
     )
 
 
+@query
+def op4_near_copies(spark, folder):
+    """Every document's near-copy group: three-word shingles, 85 percent."""
+    return near_copies.near_copies(table(spark, folder, "documents"), shingle=3, percent=85)
+
+
 @query
 def op5_token_files(spark, folder):
     """Every document written as token ids and read back from the files."""
@@ -43,6 +51,62 @@ def op5_token_files(spark, folder):
     return token_files.with_starts(read).select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
+#: Templates of the query: name, notice.
+LICENSE_TEMPLATES = [
+    ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
+    ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
+    ("MIT", "Released under the MIT License."),
+    ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
+]
+
+
+@query
+def op6_licenses(spark, folder):
+    """Every document's license notices."""
+    templates = spark.createDataFrame(LICENSE_TEMPLATES, "license_id string, text string")
+    return licenses.scan_licenses(table(spark, folder, "documents"), templates)
+
+
+def _license_sql():
+    rows = []
+    for name, text in LICENSE_TEMPLATES:
+        n = len(re.findall(r"[a-z0-9]+", text.lower()))
+        shingle = min(licenses.SHINGLE, n)
+        stride, blocks = licenses._plan(licenses.window_size(n), shingle)
+        rows.append((name, text, shingle, stride, blocks))
+    words = r"""regexp_extract_all(translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-/:-@\[-`{{-\x7f]+')"""
+    return f"""
+WITH templates AS (
+  SELECT *, {words.format("text")} AS w FROM (VALUES {", ".join(map(str, rows))}) t(license_id, text, k, stride, blocks)
+),
+wanted AS (
+  SELECT DISTINCT license_id, k, stride, blocks, array_to_string(w[i:i + k - 1], ' ') AS s
+  FROM templates, unnest(range(1, len(w) - k + 2)) u(i)
+),
+sizes AS (SELECT license_id, count(*) AS n FROM wanted GROUP BY ALL),
+docs AS (SELECT doc_id, {words.format("text")} AS w FROM documents),
+hits AS (
+  SELECT d.doc_id, t.license_id, t.stride, t.blocks, t.s, d.i - 1 AS place
+  FROM (SELECT doc_id, k, i, array_to_string(w[i:i + k - 1], ' ') AS s
+        FROM docs, (SELECT DISTINCT k FROM wanted), unnest(range(1, len(w) - k + 2)) u(i)) d
+  JOIN wanted t ON d.k = t.k AND d.s = t.s
+),
+windows AS (
+  SELECT doc_id, license_id, b * stride AS word, count(DISTINCT s) AS held
+  FROM hits, unnest(range(greatest(0, place // stride - blocks + 1), place // stride + 1)) u(b)
+  GROUP BY ALL
+)
+SELECT doc_id, license_id, arg_max(held, (held, -word)) / any_value(n) AS containment,
+  arg_max(word, (held, -word)) AS word
+FROM windows JOIN sizes USING (license_id)
+WHERE 100 * held >= 80 * n GROUP BY doc_id, license_id
+"""
+
+
+SQL["op6_licenses"] = _license_sql()
+
+
 def bucket(n):
     """crc32 of the document id as text, modulo n."""
     return F.crc32(F.col("doc_id").cast("string").cast("binary")) % n

@@ -10,6 +10,8 @@ import pyarrow as pa
 
 SPACE = np.zeros(256, bool)
 SPACE[[9, 10, 11, 12, 13, 32]] = True
+#: White space and every other ASCII byte but letters and digits.
+MARKS = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
 LOWER = np.arange(256, dtype=np.uint64)
 LOWER[65:91] += np.uint64(32)
 LOWER += np.uint64(1)
@@ -64,13 +66,13 @@ def chunks(column, most=4 << 20):
         at = to
 
 
-def word_hashes(column):
-    """(hashes of all words in order, offsets of the rows in them)."""
+def word_hashes(column, apart=SPACE):
+    """(hashes of all words in order, offsets of the rows in them); ``apart`` marks the bytes between words."""
     data, offsets = column_bytes(column)
     n = len(data)
     if not n:
         return np.zeros(0, np.uint64), np.zeros(len(offsets), np.int64)
-    solid = ~SPACE[data]
+    solid = ~apart[data]
     begins = solid.copy()
     begins[1:] &= ~solid[:-1]
     heads = offsets[:-1][offsets[:-1] < n]
