@@ -5,7 +5,7 @@ import re
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from rinkflow.llm import byte_bpe, languages, licenses, near_copies, quality, token_files, url_filters
+from rinkflow.llm import byte_bpe, languages, licenses, near_copies, neighbours, quality, token_files, url_filters
 from rinkflow.session import materialize, scratch_folder
 
 QUERIES = {}
@@ -21,6 +21,12 @@ def query(function):
     return function
 
 
+@query
+def op1_neighbours(spark, folder):
+    """The 20 nearest of every twentieth vector."""
+    return neighbours.nearest(table(spark, folder, "embeddings"))
+
+
 @query
 def op2_byte_bpe(spark, folder):
     """Every document encoded and decoded, as digests."""
