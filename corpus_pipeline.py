@@ -1,11 +1,101 @@
-"""Corpus pipeline: stages over documents, each written as Parquet and read again by the next."""
+"""Corpus pipeline: stages over documents, each written as Parquet and read again by the next.
 
-STAGES = []
+A stage gets all rows that its predecessor kept and returns those it keeps,
+with the columns of documents; the last one returns the token ids.
+"""
+
+import public_tokenizers
+from pyspark.sql import functions as F
+
+from rinkflow.llm import byte_bpe, decontamination, languages, near_copies, quality
+from rinkflow.session import materialize
+
+#: Share of the likeliest language, and probability of good quality, below which a document goes.
+LEAST_SHARE = 0.5
+LEAST_QUALITY = 0.5
+
+
+def _without(docs, gone, on):
+    """``docs`` without the rows whose columns ``on`` equal a row of ``gone``, nulls equal to nulls.
+
+    The list is broadcast if it is short; the documents then stay where they are.
+    """
+    gone = gone.select(*[F.col(c).alias(f"_gone_{c}") for c in on]).distinct()
+    gone = materialize(gone)
+    if gone.count() <= near_copies.FEW_IDS:
+        gone = F.broadcast(gone)
+    same = None
+    for c in on:
+        here = docs[c].eqNullSafe(gone[f"_gone_{c}"])
+        same = here if same is None else same & here
+    return docs.join(gone, same, "left_anti")
+
+
+def language_id(spark, docs, sf_dir):
+    """Keeps documents whose language is told with at least LEAST_SHARE; learns from all that name one."""
+    model = languages.fit(docs)
+    judged = languages.identify(docs, model, docs.columns)
+    kept = judged.where((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_SHARE))
+    return kept.select(*docs.columns)
+
+
+def quality_classifier(spark, docs, sf_dir):
+    """Keeps documents of a quality of at least LEAST_QUALITY; learns from all labelled ones."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    ids = labels.select("doc_id").distinct()
+    ids = F.broadcast(ids) if ids.count() <= near_copies.FEW_IDS else ids
+    model = quality.fit(quality.measure(docs.join(ids, "doc_id", "left_semi")), labels)
+    judged = quality.score(quality.measure(docs, docs.columns), model)
+    return judged.where(F.col("score") >= LEAST_QUALITY).select(*docs.columns)
+
+
+def near_dedup(spark, docs, sf_dir):
+    """Keeps the document with the smallest id of each group of near copies: five-word shingles, 80 percent.
+
+    Of rows that repeat an id one stays.
+    """
+    found = materialize(near_copies.near_copies(docs))
+    ids = docs.where("doc_id is not null").groupBy("doc_id").count().where("count > 1")
+    repeated = materialize(ids.select("doc_id"))
+    kept = _without(docs, found.where("not kept").select("doc_id"), ["doc_id"])
+    if repeated.isEmpty():
+        return kept
+    once = _without(kept, repeated, ["doc_id"])
+    several = kept.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return once.unionByName(several)
+
+
+def benchmark_decontamination(spark, docs, sf_dir):
+    """Keeps documents that hold no benchmark item."""
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    found = decontamination.contaminated(docs, items).select("doc_id", "text_key")
+    keyed = docs.withColumn("text_key", F.xxhash64("text"))
+    return _without(keyed, found, ["doc_id", "text_key"]).select(*docs.columns)
+
+
+def byte_level_bpe(spark, docs, sf_dir):
+    """doc_id, n_tokens, ids (little-endian unsigned 32-bit) and the digest of what they decode to."""
+    model = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+    decoded = byte_bpe.decode_documents(byte_bpe.encode_documents(docs, *model), *model)
+    return decoded.select("doc_id", "n_tokens", "ids", F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+STAGES = [
+    ("language_id", language_id),
+    ("quality_classifier", quality_classifier),
+    ("near_dedup", near_dedup),
+    ("benchmark_decontamination", benchmark_decontamination),
+    ("byte_level_bpe", byte_level_bpe),
+]
+
+#: SQL cannot express the classifiers; the tests hold the stages against brute force.
 ORACLE_SQL = None
 
 
 def run(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
+    for i, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
+        if i < len(STAGES) - 1:
+            docs = materialize(docs)
     return docs

@@ -5,7 +5,7 @@ import re
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from rinkflow.llm import byte_bpe, languages, licenses, near_copies, neighbours, quality, token_files, url_filters
+from rinkflow.llm import byte_bpe, decontamination, languages, licenses, near_copies, neighbours, quality, token_files, url_filters
 from rinkflow.session import materialize, scratch_folder
 
 QUERIES = {}
@@ -135,6 +135,53 @@ def op8_language_id(spark, folder):
     return languages.identify(docs, model, ("doc_id", "held_out"))
 
 
+@query
+def op9_decontamination(spark, folder):
+    """The benchmark items that documents hold."""
+    found = decontamination.contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return found.select("doc_id", "item_id", "similarity", "word")
+
+
+_LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_WORDS = f"regexp_extract_all({_LOWER.format('text')}, '[^\\x20\\x09-\\x0D]+')"
+
+SQL["op9_decontamination"] = f"""
+WITH docs AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+items AS (SELECT item_id, {_WORDS} AS w FROM benchmark),
+spots AS (
+  SELECT doc_id, len(w) AS n, i - 1 AS place, array_to_string(w[i:i + 4], ' ') AS s
+  FROM docs, unnest(range(1, greatest(len(w) - 4, least(len(w), 1)) + 1)) u(i)
+),
+parts AS (
+  SELECT item_id, len(w) AS n, i - 1 AS place, array_to_string(w[i:i + 4], ' ') AS s
+  FROM items, unnest(range(1, greatest(len(w) - 4, least(len(w), 1)) + 1)) u(i)
+),
+windows AS (
+  SELECT DISTINCT doc_id, greatest(0, least(d.place - p.place, d.n - p.n)) AS word, p.n AS size
+  FROM spots d JOIN parts p USING (s)
+),
+own AS (
+  SELECT v.doc_id, v.word, v.size, d.s, count(*) AS k
+  FROM windows v JOIN spots d ON d.doc_id = v.doc_id AND d.place >= v.word AND d.place < v.word + greatest(1, v.size - 4)
+  GROUP BY ALL
+),
+theirs AS (SELECT item_id, s, count(*) AS k FROM parts GROUP BY ALL),
+sizes AS (SELECT item_id, sum(k) AS n FROM theirs GROUP BY ALL),
+own_sizes AS (SELECT doc_id, word, size, sum(k) AS n FROM own GROUP BY ALL),
+shared AS (
+  SELECT o.doc_id, o.word, o.size, t.item_id, sum(least(o.k, t.k)) AS k
+  FROM own o JOIN theirs t USING (s) GROUP BY ALL
+),
+fit AS (
+  SELECT h.doc_id, h.item_id, h.word, h.k / (o.n + i.n - h.k) AS similarity
+  FROM shared h JOIN own_sizes o USING (doc_id, word, size) JOIN sizes i USING (item_id)
+  WHERE 100 * h.k >= 80 * (o.n + i.n - h.k)
+)
+SELECT doc_id, item_id, max(similarity) AS similarity, arg_max(word, (similarity, -word))::BIGINT AS word
+FROM fit GROUP BY doc_id, item_id
+"""
+
+
 #: The rules of the query: host, path, verdict.
 URL_RULES = [
     ("com", "/", "allow"),
