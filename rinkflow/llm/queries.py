@@ -5,7 +5,7 @@ import re
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from rinkflow.llm import byte_bpe, decontamination, languages, licenses, near_copies, neighbours, quality, token_files, url_filters
+from rinkflow.llm import byte_bpe, decontamination, katz, languages, licenses, near_copies, neighbours, quality, token_files, url_filters
 from rinkflow.session import materialize, scratch_folder
 
 QUERIES = {}
@@ -21,6 +21,11 @@ def query(function):
     return function
 
 
+def bucket(n):
+    """crc32 of the document id as text, modulo n."""
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % n
+
+
 @query
 def op1_neighbours(spark, folder):
     """The 20 nearest of every twentieth vector."""
@@ -40,6 +45,13 @@ def op2_byte_bpe(spark, folder):
     )
 
 
+@query
+def op3_katz(spark, folder):
+    """Every document's probability by the bigrams of those that are not held out."""
+    docs = table(spark, folder, "documents").withColumn("held_out", bucket(5) == 1)
+    return katz.score_documents(docs)
+
+
 @query
 def op4_near_copies(spark, folder):
     """Every document's near-copy group: three-word shingles, 85 percent."""
@@ -113,11 +125,6 @@ WHERE 100 * held >= 80 * n GROUP BY doc_id, license_id
 SQL["op6_licenses"] = _license_sql()
 
 
-def bucket(n):
-    """crc32 of the document id as text, modulo n."""
-    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % n
-
-
 @query
 def op7_quality(spark, folder):
     """Every document's quality, learned from the labelled rows that are not held out."""
