@@ -5,8 +5,7 @@ from pyspark.sql import functions as F
 
 from rinkflow.functions.text import _col
 
-# At most 200 characters and two exponent digits: such a number is finite.
-_DECIMAL = "^(?=.{1,200}$)[+-]?([0-9]+\\.?[0-9]*|\\.[0-9]+)([eE][+-]?[0-9]{1,2})?$"
+_DECIMAL = "^[+-]?([0-9]+\\.?[0-9]*|\\.[0-9]+)([eE][+-]?[0-9]+)?$"
 _INTEGER = "^[+-]?[0-9]+$"
 
 
@@ -19,7 +18,7 @@ def to_double(c) -> Column:
 def to_integer(c) -> Column:
     """A plain whole number, else NULL."""
     c = F.trim(_col(c).cast("string"))
-    return F.when(c.rlike(_INTEGER), c.try_cast("int"))
+    return F.when(c.rlike(_INTEGER), c.try_cast("bigint"))
 
 
 def rounded(c, digits=2) -> Column:
@@ -29,9 +28,13 @@ def rounded(c, digits=2) -> Column:
     2.675 (really 2.67499...) up.  Here the rounding error of ``c * 10^digits``
     is recovered by splitting the factors, so a product that looks like a tie
     can be told from a true one.  ``c`` is used many times: pass a column, and
-    an expression to ``round_half_even``.
+    an expression to ``round_half_even``.  From 2^46 on, neighbouring doubles
+    are farther apart than a hundredth, so the value is its own rounding; below
+    it the product stays far from overflow.
     """
-    c = _col(c)
+    whole = _col(c)
+    large = F.abs(whole) >= float(2**46)
+    c = F.when(large, F.lit(0.0)).otherwise(whole)
     scale = F.lit(float(10**digits))
     product = c * scale
     split = c * F.lit(134217729.0)
@@ -41,7 +44,7 @@ def rounded(c, digits=2) -> Column:
     part = product - floor
     tie_up = (error > 0) | ((error == 0) & (floor % 2 != 0))
     up = (part > 0.5) | ((part == 0.5) & tie_up)
-    return (floor + up.cast("int")) / scale
+    return F.when(large, whole).otherwise((floor + up.cast("int")) / scale)
 
 
 def round_half_even(c, digits=2) -> Column:
@@ -109,7 +112,7 @@ def with_seconds(df, text, out):
 
 def first_integer(c) -> Column:
     """First run of digits in a text, as a number."""
-    return F.regexp_extract(_col(c), "([0-9]+)", 1).try_cast("int")
+    return F.regexp_extract(_col(c), "([0-9]+)", 1).try_cast("bigint")
 
 
 def distance_of(c) -> Column:
@@ -125,7 +128,7 @@ def hour_of(c) -> Column:
 
 def to_int_via_float(c) -> Column:
     """``3.7`` -> 3: whole part of a number text, NULL if it is none."""
-    return to_double(c).try_cast("int")
+    return to_double(c).try_cast("bigint")
 
 
 def day_first_date(c) -> Column:

@@ -49,7 +49,7 @@ def prefix_index(registry: DataFrame):
     prefixes = F.transform(lengths, lambda n: F.substring("family", F.lit(1), n))
     blocks = rows.withColumn("block", F.explode(prefixes))
     block = ["block_country", "block"]
-    kept = first_candidates(blocks, block, ["pos", "id"])
+    kept = first_candidates(blocks, block, ["pos", "id", "given", "family"])
     entry = F.struct("pos", "id", "given", "family")
     return kept.groupBy(*block).agg(F.array_sort(F.collect_list(entry)).alias("candidates"))
 

@@ -20,9 +20,14 @@ def join_conditions(results: DataFrame, conditions: DataFrame, keys=fixed.RACE_K
 
 
 def hours_by_key(hourly: DataFrame, keys=("Latitude", "Longitude", "HourKey")):
-    """One row per place and hour: the last one of the landed arrays wins."""
+    """One row per place and hour: the last one of the landed arrays wins.
+
+    Documents that land the same place and hour tie; the larger values win,
+    whatever the order of the rows.
+    """
     measures = F.struct(*fixed.WEATHER_COLUMNS)
-    picked = hourly.groupBy(*keys).agg(F.max_by(measures, "position").alias("weather"))
+    last = F.struct("position", *fixed.WEATHER_COLUMNS)
+    picked = hourly.groupBy(*keys).agg(F.max_by(measures, last).alias("weather"))
     return picked.select(*keys, "weather")
 
 

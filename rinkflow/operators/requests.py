@@ -44,7 +44,8 @@ def season_best_table(records: DataFrame):
     """Best per (skater, start year, distance) from landed season records.
 
     Only the first season entry of a start year counts; in it the last
-    readable record of a distance wins.
+    readable record of a distance wins; of records that tie, the slower one,
+    whatever the order of the rows.
     """
     first = records.groupBy("skater_id", "start").agg(F.min("season_pos").alias("season_pos"))
     timed = with_seconds(records, "time_text", "seconds").where(
@@ -52,6 +53,6 @@ def season_best_table(records: DataFrame):
     )
     # Reduced per season entry before the join, so no long record list is shuffled.
     best = timed.groupBy("skater_id", "start", "season_pos", "distance").agg(
-        F.max_by("seconds", "rec_pos").alias("seconds")
+        F.max_by("seconds", F.struct("rec_pos", "seconds")).alias("seconds")
     )
     return best.join(first, ["skater_id", "start", "season_pos"], "left_semi").drop("season_pos")

@@ -9,9 +9,8 @@ from rinkflow.functions.model import standard_tfm, tfm_buffer
 from rinkflow.functions.numbers import distance_of, to_int_via_float
 from rinkflow.operators.clean import null_safe_left_join
 
-# Pair numbers are 32-bit, so a block holds at most 2^16 distinct ones and a
-# race has at most 2^16 blocks: these bound every array and window below,
-# whatever the size of a race.
+# A block holds at most 2^16 distinct pair numbers, which bounds every array
+# below; a window runs over one row per block of a race.
 _BLOCK_BITS = 16
 
 
@@ -24,7 +23,7 @@ def pair_positions(df: DataFrame, keys=fixed.RACE_KEY, pair="Pair"):
     keys = list(keys)
     blocks = (
         df.where(F.col(pair).isNotNull())
-        .select(*keys, F.col(pair).cast("int").alias(pair))
+        .select(*keys, F.col(pair).cast("bigint").alias(pair))
         .distinct()
         .groupBy(*keys, F.shiftright(pair, _BLOCK_BITS).alias("_block"))
         .agg(F.array_sort(F.collect_list(pair)).alias("_pairs"))

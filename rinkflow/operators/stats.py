@@ -43,19 +43,17 @@ def histogram(df: DataFrame, col, bins=fixed.HISTOGRAM_BINS):
     """
     values = df.select(F.col(col).cast("double").alias("v")).where("v IS NOT NULL AND NOT isnan(v)")
     ends = values.agg(F.struct(F.min("v").alias("low"), F.max("v").alias("high")).alias("s")).scalar()
-    # Values are counted before they meet the ends: few distinct rows remain.
-    counted = values.groupBy("v").agg(F.count("*").alias("c")).withColumn("e", ends)
+    # Each row is binned against the scalar ends, so a task shuffles at most ``bins`` rows.
+    placed = values.withColumn("e", ends)
     bucket = F.least(F.width_bucket("v", "e.low", "e.high", F.lit(bins)), F.lit(bins))
-    width = (F.col("e.high") - F.col("e.low")) / bins
-    binned = counted.select(
-        "c",
+    binned = placed.select(
         F.when(F.col("e.low") == F.col("e.high"), 1).otherwise(bucket).cast("int").alias("bin"),
         F.col("e.low").alias("low"),
-        width.alias("width"),
+        ((F.col("e.high") - F.col("e.low")) / bins).alias("width"),
     )
     return (
         binned.groupBy("bin", "low", "width")
-        .agg(F.sum("c").alias("count"))
+        .agg(F.count("*").alias("count"))
         .select(
             "bin",
             (F.col("low") + (F.col("bin") - 1) * F.col("width")).alias("bin_start"),

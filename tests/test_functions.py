@@ -102,3 +102,14 @@ def test_similarity_against_difflib(spark, pairs):
 def test_rounding_is_that_of_python(column, values):
     got = column(numbers.round_half_even, values, "double")
     assert got == [round(v, 2) for v in values]
+
+
+def test_large_numbers_do_not_abort(column):
+    texts = ["1e17", "99999999999999999999", "1e99", "-1e17", "3" * 250, "2.675", "70368744177664.5"]
+    got = column(numbers.time_to_seconds, texts)
+    assert got == [1e17, 1e20, 1e99, -1e17, float("3" * 250), 2.67, 70368744177664.5]
+
+
+def test_whole_numbers_beyond_32_bits(column):
+    assert column(numbers.to_int_via_float, ["3000000000", "1e400", "-5e9"]) == [3000000000, None, -5000000000]
+    assert column(numbers.first_integer, ["race 3000000000 m"]) == [3000000000]
