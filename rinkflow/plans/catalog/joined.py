@@ -25,10 +25,10 @@ def j1_join_conditions(spark, folder):
 
 
 def _observations(spark, folder):
-    """Error events as condition rows, view events as hourly weather."""
+    """All events as condition rows, the view events as hourly weather."""
     events = table(spark, folder, "events")
     place = (F.col("user_id") % 10).cast("string").alias("Latitude")
-    observed = events.where("event_type = 'error'").select(
+    observed = events.select(
         "event_id", place, F.lit("5.0").alias("Longitude"),
         F.col("ts").cast("date").alias("Date"), F.date_format("ts", "HH:mm:ss").alias("Time"),
         F.col("value").alias("AirpressureSurface"),
@@ -56,7 +56,7 @@ hourly AS (
 looked_up AS (
   SELECT event_id, t, CASE WHEN n IS NULL THEN value ELSE n + 1000 END AS surface, n + 1010 AS sea,
     n IS NOT NULL AS matched
-  FROM (SELECT *, user_id % 10 AS place, date_trunc('hour', ts) AS h FROM events WHERE event_type = 'error')
+  FROM (SELECT *, user_id % 10 AS place, date_trunc('hour', ts) AS h FROM events)
   LEFT JOIN hourly USING (place, h))
 """
 

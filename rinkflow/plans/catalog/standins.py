@@ -58,8 +58,8 @@ def results(spark, folder):
 
 
 def conditions(spark, folder):
-    """Entries of pairs 1 and 2 as condition rows, some without outdoor weather."""
-    rows = races(spark, folder).where("l_linenumber <= 2")
+    """Every entry as a condition row, some without outdoor weather."""
+    rows = races(spark, folder)
     pair = F.col("l_linenumber")
     return rows.select(
         *LINEITEM_COLUMNS,
@@ -156,7 +156,7 @@ conditions AS (
     CASE WHEN l_orderkey % 11 <> 0 THEN CAST(l_linenumber * 2 AS DOUBLE) END AS "TempOutdoors",
     CAST(l_linenumber + 1000 AS DOUBLE) AS "AirpressureSurface",
     CAST(l_linenumber + 1010 AS DOUBLE) AS "AirpressureSealevel"
-  FROM races WHERE l_linenumber <= 2),
+  FROM races),
 firsts AS (
   SELECT * FROM conditions WHERE "Occasion" = 'start'
   QUALIFY row_number() OVER (

@@ -1,5 +1,6 @@
 """Session settings and the shared scratch folder."""
 
+import re
 import tempfile
 import uuid
 
@@ -33,14 +34,15 @@ def local_session(cores="*", shuffle_partitions=8, app_name="rinkflow"):
 def scratch_folder(spark):
     """A new sub-folder of the folder that ``spark.checkpoint.dir`` names.
 
-    Where the setting is absent a local session gets a temporary folder of its
-    own; any other session must name a folder that all executors share.
+    Where the setting is absent a session of one process (``local`` or
+    ``local[...]``) gets a temporary folder of its own; any other session must
+    name a folder that all executors share.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         base = spark.sparkContext.getCheckpointDir()
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.fullmatch(r"local(\[[^]]*\])?", spark.sparkContext.master):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         base = tempfile.mkdtemp(prefix="rinkflow-")
         spark.sparkContext.setCheckpointDir(base)
