@@ -57,11 +57,10 @@ def column_bytes(column):
 
 def chunks(column, most=4 << 20):
     """(first row, one past the last row) of runs of rows with about ``most`` bytes of text."""
-    sizes = np.cumsum(column_bytes(column)[1][1:])
-    at, n = 0, len(sizes)
+    offsets = column_bytes(column)[1]
+    at, n = 0, len(offsets) - 1
     while at < n:
-        done = sizes[at - 1] if at else 0
-        to = max(at + 1, int(np.searchsorted(sizes, done + most, "right")))
+        to = max(at + 1, int(np.searchsorted(offsets, offsets[at] + most, "right")) - 1)
         yield at, to
         at = to
 
