@@ -28,7 +28,7 @@ def components(links):
         least = both.groupBy("a").agg(F.min("b").alias("least"))
         least = least.select("a", F.least("a", "least").alias("least"))
         large = both.where("b > a").join(least, "a")
-        edges = materialize(_pairs(large, "b", "least"))
+        edges = _pairs(large, "b", "least")
         # Small star: the smaller neighbours of an id and itself go to the smallest of them.
         least = edges.groupBy("a").agg(F.min("b").alias("least"))
         small = edges.join(least, "a")
