@@ -11,8 +11,9 @@
    WINDOW places that are not yet in one component.
 3. Candidates are compared by whole signatures, then confirmed on whole sets.
 4. Regions that hold more than a window's representatives, of several
-   components, are searched exactly: by a prefix filter on their rarest
-   shingles, again only across components.
+   components, are searched exactly: what is not in the region's largest
+   component is compared on whole sets with everything in the region, in
+   blocks, and only links between components come out.
 
 A region is a range of a sorted list that Spark may cut anywhere; rows next to
 a cut are compared in a step of their own. No group is gathered or paired off.
@@ -41,8 +42,8 @@ MISS = 1e-5
 DEVIATIONS = 5.5
 #: Ids of candidates up to this number are broadcast (8 bytes each), more are joined by a shuffle.
 FEW_IDS = 4_000_000
-#: Slots of the table of shingle frequencies that orders a set for the exact search.
-SLOTS = 1 << 16
+#: Rows of a region that are compared with as many others in one task of the exact search.
+BLOCK = 512
 
 
 def trees_for(percent):
@@ -252,62 +253,73 @@ def _linked(pairs, sets, percent):
     return _both(pairs, sets, "set").mapInArrow(run, "a long, b long")
 
 
-def _prefixes(sets, percent):
-    """(token, id, n): the rarest shingles of each set, of which two linked sets share one at least.
+def _rest(docs, scanned, labels, shingle, percent, id_column, text_column):
+    """Links that the windows left out: in wide regions of several components, by whole sets.
 
-    Any order that is the same for all sets is right; rarity makes it cheap. It
-    is the frequency of the shingle's slot among SLOTS, a table of fixed size.
+    Rows outside a region's largest component are compared with all its rows,
+    in blocks of BLOCK by BLOCK rows, so a task holds a bounded part of a
+    region; of a row's links to one component in a block, one comes out.
     """
-    spark = sets.sparkSession
-
-    def count(batches):
-        total = np.zeros(SLOTS, np.int64)
-        for batch in batches:
-            for s in batch.column(0):
-                total += np.bincount(np.frombuffer(s.as_buffer(), np.uint64) % np.uint64(SLOTS), minlength=SLOTS)
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(SLOTS)), pa.array(total)], names=["slot", "n"])
-
-    slots = sets.select("set").mapInArrow(count, "slot long, n long").where("n > 0").groupBy("slot").agg(F.sum("n"))
-    table = np.zeros(SLOTS, np.int64)
-    for slot, n in slots.collect():
-        table[slot] = n
-    held = spark.sparkContext.broadcast(table)
-
-    def run(batches):
-        for batch in batches:
-            tokens, ids, sizes = [], [], []
-            for i, s in zip(batch.column(0).to_pylist(), batch.column(1)):
-                h = np.frombuffer(s.as_buffer(), np.uint64)
-                keep = len(h) - -(-percent * len(h) // 100) + 1
-                order = np.lexsort((h, held.value[h % np.uint64(SLOTS)]))[:keep]
-                tokens.append(h[order].view(np.int64))
-                ids.append(np.full(len(order), i))
-                sizes.append(np.full(len(order), len(h)))
-            if tokens:
-                columns = [pa.array(np.concatenate(x)) for x in (tokens, ids, sizes)]
-                yield pa.RecordBatch.from_arrays(columns, names=["token", "id", "n"])
-
-    return sets.select("id", "set").mapInArrow(run, "token long, id long, n long")
-
-
-def _rest(scanned, nodes, sets, percent):
-    """All pairs that can be linked among the rows of wide regions with several components."""
-    edges = scanned.where(F.col("kind") == EDGE)
+    rows = _relabelled(scanned, labels)
+    edges = rows.where(F.col("kind") == EDGE)
     cut = edges.groupBy("tree", "high").agg(F.min("part").alias("x"), F.max("part").alias("y")).where("x <> y")
-    wide = scanned.where(F.col("kind") == WIDE).select("tree", "high", "a", "component")
-    wide = wide.unionByName(edges.join(cut, ["tree", "high"]).select("tree", "high", "a", "component"))
-    mixed = wide.groupBy("tree", "high").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y")
-    ids = materialize(wide.join(mixed, ["tree", "high"], "left_semi").select(F.col("a").alias("id")).distinct())
-    if ids.isEmpty():
+    columns = ["tree", "high", "a", "n", "component"]
+    wide = rows.where(F.col("kind") == WIDE).select(*columns)
+    wide = wide.unionByName(edges.join(cut, ["tree", "high"], "left_semi").select(*columns)).distinct()
+    sizes = wide.groupBy("tree", "high", "component").agg(F.count("*").alias("k"))
+    regions = (
+        sizes.groupBy("tree", "high")
+        .agg(F.sum("k").alias("rows"), F.max(F.struct("k", "component")).alias("top"), F.count("*").alias("components"))
+        .where("components > 1")
+        .select("tree", "high", F.col("top.component").alias("main"), (F.col("rows") - F.col("top.k")).alias("strays"), "rows")
+    )
+    mixed = materialize(wide.join(regions, ["tree", "high"]).withColumnRenamed("a", "id"))
+    if mixed.isEmpty():
         return None
-    tokens = _prefixes(sets.join(_few(ids), "id", "left_semi"), percent).join(nodes.select("id", "component"), "id")
-    tokens = materialize(tokens)
-    shared = tokens.groupBy("token").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y")
-    tokens = tokens.join(shared, "token", "left_semi")
-    other = tokens.select("token", F.col("id").alias("b"), F.col("n").alias("m"), F.col("component").alias("other"))
-    fit = (F.col("id") < F.col("b")) & (F.col("component") != F.col("other"))
-    fit &= 100 * F.least("n", "m") >= percent * F.greatest("n", "m")
-    return tokens.join(other, "token").where(fit).select(F.col("id").alias("a"), "b").distinct()
+    sets = _sets(docs, mixed.select("id").distinct(), shingle, id_column, text_column)
+    blocks = lambda c: F.ceil(F.col(c) / BLOCK).cast("int")
+    every = lambda c: F.explode(F.sequence(F.lit(0), blocks(c) - 1))
+    own = lambda c: F.pmod(F.xxhash64("id"), blocks(c)).cast("int")
+    keep = ["tree", "high", "s", "r", "id", "component"]
+    strays = mixed.where("component <> main").withColumn("s", own("strays")).withColumn("r", every("rows"))
+    others = mixed.withColumn("r", own("rows")).withColumn("s", every("strays"))
+    strays, others = (x.select(*keep).join(sets, "id") for x in (strays, others))
+    others = others.select(*[F.col(c).alias(c) for c in others.columns])  # columns of its own
+
+    def compare(left, right):
+        if not left.num_rows or not right.num_rows:
+            return pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64())})
+        (ids, parts, n, x), (others, their, m, y) = _dense(left, right)
+        both = x @ y.T
+        fit = (100 * both >= percent * (n[:, None] + m[None, :] - both)) & (parts[:, None] != their[None, :])
+        at, to = np.nonzero(fit)
+        _, first = np.unique(np.stack([at, their[to]]), axis=1, return_index=True)
+        at, to = ids[at[first]], others[to[first]]
+        return pa.table({"a": pa.array(np.minimum(at, to)), "b": pa.array(np.maximum(at, to))})
+
+    key = ["tree", "high", "s", "r"]
+    found = strays.groupBy(*key).cogroup(others.groupBy(*key)).applyInArrow(compare, "a long, b long")
+    return materialize(found.distinct())
+
+
+def _dense(left, right):
+    """(ids, components, sizes, 0/1 matrix over the shingles that both sides have) of either side."""
+    sides = []
+    for table in (left, right):
+        sets = [np.frombuffer(s.as_buffer(), np.uint64) for s in table.column("set").combine_chunks()]
+        sides.append((table.column("id").to_numpy(), table.column("component").to_numpy(), sets))
+    flat = [np.concatenate(sets) for *_, sets in sides]
+    common = np.intersect1d(*flat)
+    out = []
+    for (ids, component, sets), tokens in zip(sides, flat):
+        sizes = np.array([len(s) for s in sets])
+        row = np.repeat(np.arange(len(sets)), sizes)
+        at = np.searchsorted(common, tokens)
+        has = (at < len(common)) & (common[np.minimum(at, len(common) - 1)] == tokens) if len(common) else np.zeros(len(tokens), bool)
+        matrix = np.zeros((len(sets), len(common)), np.float32)
+        matrix[row[has], at[has]] = 1
+        out.append((ids, component, sizes, matrix))
+    return out
 
 
 def near_copies(docs, shingle=5, percent=80, id_column="doc_id", text_column="text"):
@@ -336,7 +348,7 @@ def near_copies(docs, shingle=5, percent=80, id_column="doc_id", text_column="te
         .select(F.col("doc_id").alias("id"), F.col("n_shingles").alias("n"), "signature")
         .dropDuplicates(["id"])
     )
-    links, sets, labels = [], None, None
+    links, labels = [], None
     for window in (1, WINDOW):
         labelled = nodes.withColumn("component", F.col("id")) if labels is None else _labelled(nodes, labels)
         scanned = _scan(labelled, trees, window, percent)
@@ -345,18 +357,10 @@ def near_copies(docs, shingle=5, percent=80, id_column="doc_id", text_column="te
         alike = materialize(_alike(pairs, nodes, percent))
         links.append(_confirmed(docs, alike, shingle, percent, id_column, text_column))
         labels = materialize(components(_all(links)))
-    # The exact search goes by the components of both rounds.
-    labelled = _labelled(nodes, labels)
-    relabelled = _relabelled(scanned, labels)
-    rest_ids = relabelled.where(F.col("kind") != PAIR).select(F.col("a").alias("id")).distinct()
-    sets = None
-    wide = scanned.where(F.col("kind") == WIDE)
-    if not wide.isEmpty():
-        sets = _sets(docs, rest_ids, shingle, id_column, text_column)
-        rest = _rest(relabelled, labelled, sets, percent)
+    if not scanned.where(F.col("kind") == WIDE).isEmpty():
+        rest = _rest(docs, scanned, labels, shingle, percent, id_column, text_column)
         if rest is not None:
-            alike = materialize(_alike(rest, nodes, percent))
-            links.append(materialize(_linked(alike, sets, percent)))
+            links.append(rest)
             labels = materialize(components(_all(links)))
     found = rows.select("set_a", "set_b", "n_shingles", "doc_id").join(classes, ["set_a", "set_b", "n_shingles"])
     found = found.join(labels, "id", "left").select(
