@@ -41,7 +41,7 @@ from rinkflow.session import materialize
 #: Counts up to K are discounted.
 K = 5
 #: Tokens in a block: what a task holds at once (one longer document may exceed it).
-BLOCK_TOKENS = 2_500_000
+BLOCK_TOKENS = 1_200_000
 #: A context with more than one in so many training tokens is spread over the partitions.
 SPREAD = 1_000
 END = np.uint64(0x9D1F3C5B7A2E4680)
@@ -370,15 +370,21 @@ def _score(parts, words, d, spread_facts):
         v = own.bigrams >> np.uint64(32)
         n = own.context_counts[own.first].astype(float)
         single = words.probability(own.word_counts[own.first])
-        at = np.minimum(np.searchsorted(contexts, v), max(len(contexts) - 1, 0))
-        has = contexts[at] == v if len(contexts) else np.zeros(len(v), bool)
-        f = np.where(has[:, None], facts[at], 0.0) if len(contexts) else np.zeros((len(v), K + 2))
-        used = f[:, :K] @ (d[1:] * np.arange(1, K + 1)) + f[:, K]
+        # Of each context: the share its seen followers use, whether none is discounted, their P(w).
+        used = facts[:, :K] @ (d[1:] * np.arange(1, K + 1)) + facts[:, K]
+        plain = ~facts[:, :K].any(axis=1)
+        single_used = facts[:, K + 1]
+        # A last row stands for contexts that nothing is known of and nothing asked.
+        at = np.searchsorted(contexts, v)
+        contexts = np.append(contexts, np.uint64(1) << np.uint64(63))
+        at[contexts[at] != v] = len(used)
+        has = at < len(used)
+        used, plain, single_used = np.append(used, 0.0), np.append(plain, False), np.append(single_used, 0.0)
         # Without a discounted count, the context's own count grows by one.
-        n = n + (has & ~f[:, :K].any(axis=1))
+        n += plain[at]
         discount = np.where(counts <= K, d[np.minimum(counts, K)], 1.0)
         safe = np.maximum(n, 1)
-        backoff = np.where(has, (1 - used / safe) / np.maximum(1 - f[:, K + 1], 1e-300), 1.0)
+        backoff = np.where(has, (1 - used[at] / safe) / np.maximum(1 - single_used[at], 1e-300), 1.0)
         p = np.where(counts > 0, discount * counts / safe, backoff * single)
         logs = np.log10(p)[own.place]
         base = np.log10((own.word_counts + 0.5) / (words.total + 0.5 * (words.distinct + 1)))
