@@ -18,6 +18,8 @@ from rinkflow.session import materialize
 #: Vectors that the trees are fitted on at most, and those of them in a leaf.
 SAMPLE, LEAF = 65_536, 128
 TREES = 12
+#: Vectors whose margins to all planes are held at once.
+ROWS = 1024
 #: Queries and recall by which the number of leaves to visit is set.
 PROBES, RECALL = 200, 0.95
 #: Vectors and queries that meet in one task; larger leaves are dealt out in parts.
@@ -68,13 +70,16 @@ class Forest:
         return (points @ flat.T).reshape(len(points), TREES, -1) - self.cuts
 
     def assign(self, vectors):
-        """The leaf of each vector in each tree."""
-        margins = self.margins(self.filled(vectors))
-        node = np.zeros((len(vectors), TREES), np.int64)
-        for _ in range(self.depth):
-            up = np.take_along_axis(margins, node[:, :, None], 2)[:, :, 0] >= 0
-            node = 2 * node + 1 + up
-        return node - (self.leaves - 1)
+        """The leaf of each vector in each tree; margins are held for ROWS vectors at a time."""
+        out = [np.zeros((0, TREES), np.int64)]
+        for a in range(0, len(vectors), ROWS):
+            margins = self.margins(self.filled(vectors[a : a + ROWS]))
+            node = np.zeros((len(margins), TREES), np.int64)
+            for _ in range(self.depth):
+                up = np.take_along_axis(margins, node[:, :, None], 2)[:, :, 0] >= 0
+                node = 2 * node + 1 + up
+            out.append(node - (self.leaves - 1))
+        return np.concatenate(out)
 
     def search(self, margins, visits):
         """(tree, leaf) of the ``visits`` leaves nearest to a query: one queue for all trees."""
@@ -93,8 +98,8 @@ class Forest:
     def leaves_of(self, queries, visits=None):
         points = np.column_stack([queries, np.zeros(len(queries))]).astype(np.float32)
         scale = np.linalg.norm(points, axis=1, keepdims=True)
-        margins = self.margins(points * (self.norm / np.where(scale > 0, scale, 1))).tolist()
-        return [self.search(m, visits or self.visits) for m in margins]
+        points *= self.norm / np.where(scale > 0, scale, 1)
+        return [self.search(m.tolist(), visits or self.visits) for p in points for m in self.margins(p[None])]
 
     def _calibrated(self, sample, rng):
         """The fewest leaves, a sixth more each time, that find RECALL of the sample's neighbours."""
