@@ -17,7 +17,7 @@ LETTERS = re.compile(r"[^\W\d_]+")
 MAX_WORDS = 200_000
 MAX_GRAMS = 100_000
 ORDERS = (5, 4, 3, 2, 1)
-#: Count that a language gets for what only others have.
+#: Count, in the language with the most text, that any language gets for what only others have.
 FLOOR = 0.05
 #: Entries that a worker holds before it flushes counts or forgets unseen words.
 HELD = 300_000
@@ -86,20 +86,22 @@ class Model:
     def __init__(self, word_rows, gram_rows, word_totals, gram_totals):
         self.langs = sorted(word_totals)
         place = {lang: i for i, lang in enumerate(self.langs)}
-        self.words, self.word_logs = self._table(word_rows, place, lambda lang, _: word_totals[lang])
+        most = max(word_totals.values(), default=0)
+        self.words, self.word_logs = self._table(word_rows, place, lambda lang, _: word_totals[lang], lambda _: most)
+        most_grams = {order: max((n for (_, o), n in gram_totals.items() if o == order), default=0) for order in ORDERS}
         self.grams, self.gram_logs = self._table(
-            gram_rows, place, lambda lang, item: gram_totals.get((lang, len(item)), 1)
+            gram_rows, place, lambda lang, item: gram_totals[lang, len(item)], lambda item: most_grams[len(item)]
         )
         self.reset()
 
-    def _table(self, rows, place, total):
+    def _table(self, rows, place, total, most):
+        """Log frequencies; what a language lacks has the same one, below all others, in every language."""
         items = {item: i for i, item in enumerate(dict.fromkeys(r[1] for r in rows))}
-        counts = np.full((len(items), len(place)), FLOOR)
-        for lang, item, n in rows:
-            counts[items[item], place[lang]] += n
-        logs = counts
+        logs = np.empty((len(items), len(place)))
         for item, i in items.items():
-            logs[i] = [math.log(c / (total(lang, item) + 1)) for lang, c in zip(self.langs, counts[i])]
+            logs[i] = math.log(FLOOR / (most(item) + 1))
+        for lang, item, n in rows:
+            logs[items[item], place[lang]] = math.log((n + FLOOR) / (total(lang, item) + 1))
         return items, logs
 
     def reset(self):

@@ -111,6 +111,16 @@ def test_unseen_words_go_by_their_longest_known_grams(spark):
     assert [x[0] for x in model.predict(["brime", "stelto", "zz"])][:2] == ["aa", "bb"]
 
 
+def test_a_language_of_one_short_document_wins_its_own_text_only(spark, documents):
+    rows = [(r.lang, r.text) for r in documents.where("lang is not null and text is not null").collect()]
+    tiny = "qorva zelim takku dorr vispa hulan mertto oskil yaddu penzor"
+    for own in (tiny, " ".join(rows[0][1].split()[:10])):
+        model = languages.fit(spark.createDataFrame([*rows, ("xx", own)], "lang string, text string"))
+        got = [x[0] for x in model.predict([text for _, text in rows])]
+        assert np.mean([g == lang for g, (lang, _) in zip(got, rows)]) > 0.97
+        assert model.predict([own])[0][0] == "xx"
+
+
 def test_op7_held_out_accuracy(spark):
     got = {r.doc_id: r for r in queries.op7_quality(spark, "/root/testdata/sf0.01").collect()}
     labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet").collect()
