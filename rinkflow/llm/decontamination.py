@@ -9,6 +9,7 @@ side the others). Candidates are confirmed by the exact weighted similarity of
 their shingles.
 """
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from rinkflow.session import materialize
@@ -103,18 +104,61 @@ def _probes(fingerprints, flips):
     return rows.withColumn("value", F.col("value").bitwiseXOR(F.col("mask"))).drop("mask")
 
 
+def _windows(spots, seeds, percent):
+    """doc_id, text_key, word, size of all windows that can reach ``percent``.
+
+    With n shingles an item needs 2 n percent / (100 + percent) of them in a
+    window. One that starts outside the diagonals of its shared shingles gains
+    by moving towards them. One between two neighbouring diagonals that lie g
+    apart holds 2 n - g at most, so wider gaps need no windows. Nor do windows
+    with fewer places that share a shingle with items of their size.
+    """
+    key = ["doc_id", "text_key", "size"]
+    start = F.greatest(F.lit(0), F.least(F.col("at") - F.col("place"), F.col("n_words") - F.col("size")))
+    marks = F.array(
+        F.struct(F.lit(True).alias("is_hit"), F.col("at").alias("x")),
+        F.struct(F.lit(False).alias("is_hit"), start.alias("x")),
+    )
+    marks = spots.join(_few(seeds), "shingle").select(*key, "n_words", F.inline(marks))
+    marks = materialize(marks.distinct())
+
+    # Whole windows on the diagonals of shared shingles, moved inside the text, and between them.
+    n = F.greatest(F.lit(1), F.col("size") - (SHINGLE - 1))
+    following = F.lead("x").over(Window.partitionBy(*key).orderBy("x"))
+    starts = marks.where("not is_hit").withColumn("gap", following - F.col("x")).withColumn("n", n)
+    near = F.col("gap") * (100 + percent) <= 200 * F.col("n")
+    last = F.col("x") + F.when(near, F.col("gap") - 1).otherwise(F.lit(0))
+    starts = starts.select(*key, "n_words", "n", F.explode(F.sequence("x", last)).alias("word"))
+
+    # Places that share a shingle inside each window: those before its end less those before it.
+    no = F.lit(None).cast("int")
+    before = starts.select(*key, "n_words", "n", "word", F.inline(F.array(
+        F.struct(F.col("word").alias("x"), F.lit(-1).alias("sign")),
+        F.struct((F.col("word") + F.col("n")).alias("x"), F.lit(1).alias("sign")),
+    )))
+    places = marks.where("is_hit").select(*key, "n_words", no.alias("n"), no.alias("word"), "x", F.lit(0).alias("sign"))
+    so_far = Window.partitionBy(*key).orderBy("x").rangeBetween(Window.unboundedPreceding, -1)
+    counted = before.unionByName(places).withColumn("so_far", F.count(F.when(F.col("sign") == 0, 1)).over(so_far))
+    counted = counted.where("sign <> 0").groupBy(*key, "n_words", "n", "word")
+    counted = counted.agg(F.sum(F.col("sign") * F.col("so_far")).alias("hits"))
+    own = F.greatest(F.lit(1), F.least(F.col("size"), F.col("n_words")) - (SHINGLE - 1))
+    enough = F.col("hits") * (100 + percent) >= percent * (own + F.col("n"))
+    return counted.where(enough).select("doc_id", "text_key", "word", "size")
+
+
 def contaminated(docs, items, percent=80, id_column="doc_id", text_column="text", item_id="item_id", item_text="text"):
     """doc_id, text_key, item_id, similarity, word: benchmark items that documents hold.
 
-    A document holds an item if a window of as many words as the item, on a
-    diagonal of some shingle that it shares with the benchmark, has a weighted
-    Jaccard similarity of at least ``percent`` in 100 with it: the sum of the
+    A document holds an item if a window of as many words as the item (of all
+    words where the document has fewer) has a weighted Jaccard similarity of at least ``percent`` in 100 with it: the sum of the
     smaller over the sum of the larger numbers of occurrences of every shingle
     of SHINGLE words. The row gives the best window's similarity and first word
     (the first of equal ones); ``text_key`` is the xxhash64 of the text.
 
-    A window that shares no shingle with any item is similar to none, so only
-    windows around shared shingles are fingerprinted: that leaves out nothing.
+    Only windows on the diagonals of shared shingles and between neighbouring
+    ones are fingerprinted, and of those the ones with enough shared places
+    (see ``_windows``): others are not better than these. Where a window
+    outside the diagonals is as good, the row gives the one inside.
 
     Defined results: null, empty and blank texts and items hold nothing; items
     with a null id are left out; items with the same id count as one, the best
@@ -133,12 +177,9 @@ def contaminated(docs, items, percent=80, id_column="doc_id", text_column="text"
     item_rows = listed.select("item_id", "variant", "n_words", F.posexplode("shingles").alias("place", "shingle"))
     seeds = item_rows.select("shingle", "place", F.col("n_words").alias("size")).distinct()
 
-    # Whole windows on the diagonals of shared shingles, moved inside the text.
     own = _shingled(texts, ["doc_id", "text_key"])
     spots = own.select("doc_id", "text_key", "n_words", F.posexplode("shingles").alias("at", "shingle"))
-    start = F.greatest(F.lit(0), F.least(F.col("at") - F.col("place"), F.col("n_words") - F.col("size")))
-    windows = spots.join(_few(seeds), "shingle").select("doc_id", "text_key", start.alias("word"), "size")
-    windows = materialize(windows.distinct())
+    windows = materialize(_windows(spots, seeds, percent))
     found = materialize(windows.select("doc_id", "text_key").distinct())
     same = lambda a, b: a["doc_id"].eqNullSafe(b["doc_id"]) & a["text_key"].eqNullSafe(b["text_key"])
     held = _few(found)

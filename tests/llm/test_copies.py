@@ -171,6 +171,27 @@ def test_decontamination_against_all_windows(spark):
     assert len(wanted) > 10 and got == wanted
 
 
+def test_decontamination_between_diagonals(spark):
+    """Words inserted in the middle and halves swapped: the best windows lie between two diagonals."""
+    pick = random.Random(6)
+    items = [[f"i{k}w{i}" for i in range(100)] for k in range(8)]
+    docs = []
+    for item, more in zip(items, [6, 2, 4, 8, 12, 1]):
+        edited = ["x", "y", "z", *item[3:50], *[f"new{i}" for i in range(more)], *item[50:97], "x", "y", "z"]
+        docs.append([f"a{i}" for i in range(40)] + edited + [f"b{i}" for i in range(40)])
+    docs += [["c"] * 50 + item[a:] + item[:a] + ["d"] * 50 for item, a in zip(items[6:], (50, pick.randrange(20, 80)))]
+    wanted = {}
+    for d, words in enumerate(docs):
+        own = shingles(" ".join(items[d]), 5)
+        best = max(overlap(shingles(" ".join(words[at : at + 100]), 5), own) for at in range(len(words) - 99))
+        if best >= 0.8:
+            wanted[d, d] = best
+    table = spark.createDataFrame([(d, " ".join(w)) for d, w in enumerate(docs)], "doc_id long, text string")
+    bench = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(items)], "item_id long, text string")
+    got = {(r.doc_id, r.item_id): r.similarity for r in decontamination.contaminated(table, bench).collect()}
+    assert {(0, 0), (6, 6), (7, 7)} <= wanted.keys() and got == pytest.approx(wanted)
+
+
 def test_decontamination_edge_rows(spark):
     passage = " ".join(f"p{i}" for i in range(30))
     docs = [(1, None), (2, ""), (None, "a " + passage), (3, "A " + passage.upper()), (3, "A " + passage.upper()), (4, "z " * 30000 + passage)]
