@@ -51,7 +51,6 @@ class WordEncoder:
         import tokenizers
 
         self.model = tokenizers.Tokenizer.from_file(path)
-        self.model.encode_special_tokens = True
         size = self.model.get_vocab_size()
         self.dtype = np.dtype("<u2" if size <= 1 << 16 else "<u4")
         self.ends = np.zeros(size, bool)

@@ -77,6 +77,15 @@ def test_word_encoder_equals_the_library(texts, word_library):
         assert np.frombuffer(ids, encoder.dtype).tolist() == [*wanted, 1]
 
 
+def test_special_tokens_in_a_text_are_the_librarys():
+    library = tokenizers.Tokenizer.from_file(WORDS)
+    texts = ["one <|endoftext|> two", "<|startoftext|>One<|endoftext|><|endoftext|>.", "a<|endoftext|>b\nc <|endof text|>"]
+    encoder = token_files.WordEncoder(WORDS)
+    for text, ids in zip(texts, encoder.encode(texts)):
+        wanted = library.encode(text, add_special_tokens=False).ids
+        assert 49407 in wanted and np.frombuffer(ids, encoder.dtype).tolist() == wanted
+
+
 def test_file_has_equal_sequences_masks_and_documents():
     docs = [(5, np.arange(5, dtype="<u2").tobytes()), (5, b""), (None, np.arange(11, dtype="<u2").tobytes())]
     file = token_files.TokenFile(token_files.file_bytes(docs, 4, 2, "<u2", 3, 1))
