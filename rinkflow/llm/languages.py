@@ -1,11 +1,20 @@
-"""Language ID: known words first, shorter and shorter character n-grams for unseen ones."""
+"""Language ID: known words first, shorter and shorter character n-grams for unseen ones.
 
+All counts count. They stay in stored tables; only the most frequent words are
+broadcast, as a shortcut. Texts are read in blocks: a block adds up what the
+broadcast words give each text and lists its other distinct words, which are
+joined to the tables; the replies meet the block's sums again.
+"""
+
+import functools
 import math
 import re
 from collections import Counter, defaultdict
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rinkflow.llm.words import chunks
@@ -13,13 +22,16 @@ from rinkflow.llm.workers import ship
 from rinkflow.session import materialize
 
 LETTERS = re.compile(r"[^\W\d_]+")
-#: Bounds of the model, which is broadcast: words and n-grams with the highest counts.
+#: Words that are broadcast at most, and their entries (words times languages); no result depends on it.
 MAX_WORDS = 200_000
-MAX_GRAMS = 100_000
+MAX_ENTRIES = 4_000_000
+#: Bytes of text, and words to be looked up, that close a block.
+BLOCK_BYTES = 24 << 20
+BLOCK_WORDS = 400_000
 ORDERS = (5, 4, 3, 2, 1)
 #: Count, in the language with the most text, that any language gets for what only others have.
 FLOOR = 0.05
-#: Entries that a worker holds before it flushes counts or forgets unseen words.
+#: Entries that a worker holds before it flushes counts.
 HELD = 300_000
 #: Words that make a decision as sure as it gets; more of them count by their mean.
 ENOUGH = 30
@@ -68,8 +80,27 @@ def _count_grams(batches):
     return _counted(batches, lambda word: [g for order in ORDERS for g in grams(word, order)])
 
 
+def _weights(counts, totals, order):
+    """item, place, weight of rows of (lang, item, n).
+
+    A weight is the log frequency in the language with that place, less the
+    one that all languages without the item have; totals are by language and
+    n-gram length (0 for words), ``order`` is the column with the latter.
+    """
+    langs = sorted({lang for lang, _ in totals})
+    most = Counter()
+    for (_, o), n in totals.items():
+        most[o] = max(most[o], n)
+    spark = counts.sparkSession
+    known = [(lang, o, langs.index(lang), math.log(FLOOR / (most[o] + 1)), float(n + 1)) for (lang, o), n in totals.items()]
+    known = spark.createDataFrame(known, "lang string, size int, place int, least double, total double")
+    weight = F.log((F.col("n") + F.lit(FLOOR)) / F.col("total")) - F.col("least")
+    rows = counts.withColumn("size", order)
+    return rows.join(F.broadcast(known), ["lang", "size"]).select("item", "place", weight.alias("weight"))
+
+
 def _most_frequent(counts, most):
-    """The rows with at least the lowest count that leaves ``most`` rows or fewer."""
+    """The items of the rows with at least the lowest count that leaves ``most`` rows or fewer."""
     by_count = sorted(counts.groupBy("n").count().collect(), reverse=True)
     cut, total = None, 0
     for n, rows in by_count:
@@ -77,117 +108,194 @@ def _most_frequent(counts, most):
         if total > most:
             break
         cut = n
-    return [] if cut is None else counts.where(F.col("n") >= cut).collect()
+    return counts.where(F.lit(False) if cut is None else F.col("n") >= cut).select("item").distinct()
+
+
+class Frequent:
+    """The broadcast part of a model: its languages, and the weights of frequent words."""
+
+    def __init__(self, langs, rows):
+        self.langs = langs
+        self.words = {item: i for i, item in enumerate(dict.fromkeys(r[0] for r in rows))}
+        self.weights = np.zeros((len(self.words), len(langs)))
+        for item, place, weight in rows:
+            self.weights[self.words[item], place] = weight
 
 
 class Model:
-    """Log frequencies by language: ``words`` and ``grams`` map an item to a row of each table."""
-
-    def __init__(self, word_rows, gram_rows, word_totals, gram_totals):
-        self.langs = sorted(word_totals)
-        place = {lang: i for i, lang in enumerate(self.langs)}
-        most = max(word_totals.values(), default=0)
-        self.words, self.word_logs = self._table(word_rows, place, lambda lang, _: word_totals[lang], lambda _: most)
-        most_grams = {order: max((n for (_, o), n in gram_totals.items() if o == order), default=0) for order in ORDERS}
-        self.grams, self.gram_logs = self._table(
-            gram_rows, place, lambda lang, item: gram_totals[lang, len(item)], lambda item: most_grams[len(item)]
-        )
-        self.reset()
-
-    def _table(self, rows, place, total, most):
-        """Log frequencies; what a language lacks has the same one, below all others, in every language."""
-        items = {item: i for i, item in enumerate(dict.fromkeys(r[1] for r in rows))}
-        logs = np.empty((len(items), len(place)))
-        for item, i in items.items():
-            logs[i] = math.log(FLOOR / (most(item) + 1))
-        for lang, item, n in rows:
-            logs[items[item], place[lang]] = math.log((n + FLOOR) / (total(lang, item) + 1))
-        return items, logs
-
-    def reset(self):
-        """Forget the unseen words met so far."""
-        self.memory = dict(self.words)
-        self.logs = np.zeros((len(self.words) + 2 * HELD, len(self.langs)))
-        self.logs[: len(self.words)] = self.word_logs
-
-    def learn(self, unseen):
-        """Mean log frequencies of the longest n-grams of each word that are known; 0 without any."""
-        flat, starts, kept = [], [], []
-        for word in unseen:
-            for order in ORDERS:
-                rows = [self.grams[g] for g in grams(word, order) if g in self.grams]
-                if rows:
-                    starts.append(len(flat))
-                    flat += rows
-                    kept.append(word)
-                    break
-            else:
-                self.memory[word] = self._next(np.zeros((1, len(self.langs))))
-        if kept:
-            sums = np.add.reduceat(self.gram_logs[flat], starts)
-            counts = np.diff([*starts, len(flat)])
-            first = self._next(sums / counts[:, None])
-            self.memory.update(zip(kept, range(first, first + len(kept))))
-
-    def _next(self, rows):
-        """The place of new rows of ``logs``."""
-        first = len(self.memory)
-        if first + len(rows) > len(self.logs):
-            self.logs = np.concatenate([self.logs, np.zeros((len(rows) + HELD, len(self.langs)))])
-        self.logs[first : first + len(rows)] = rows
-        return first
+    """Weights by language: ``words`` and ``grams`` are tables of (item, place, weight)."""
+
+    def __init__(self, spark, frequent, words, grams):
+        self.spark, self.frequent, self.words, self.grams = spark, frequent, words, grams
+        self.langs = frequent.langs
 
     def predict(self, texts):
-        """(language, its share) of each text."""
-        split = [[] if t is None else letter_words(t) for t in texts]
-        if not self.langs:
-            return [("und", 0.0)] * len(texts)
-        if len(self.memory) > len(self.words) + HELD:
-            self.reset()
-        self.learn(set().union(*split).difference(self.memory))
-        found = []
-        for text, words in zip(texts, split):
-            if text is None or not any(map(str.isalpha, text)):
-                found.append(("und", 0.0))
-                continue
-            rows = np.fromiter(map(self.memory.__getitem__, words), np.int64, len(words))
-            total = self.logs[rows].sum(axis=0) * min(1.0, ENOUGH / max(1, len(words)))
-            share = np.exp(total - total.max())
-            best = int(np.argmax(total))
-            found.append((self.langs[best], float(share[best] / share.sum())))
-        return found
-
-    def __getstate__(self):
-        return {k: v for k, v in self.__dict__.items() if k not in ("memory", "logs")}
-
-    def __setstate__(self, state):
-        self.__dict__.update(state)
-        self.reset()
+        """(language, its share) of each text of a list."""
+        rows = self.spark.createDataFrame(list(enumerate(texts)), "i long, text string")
+        return [(r[1], r[2]) for r in identify(rows, self, ("i",)).orderBy("i").collect()]
 
 
 def fit(docs, lang_column="lang", text_column="text"):
     """Word and n-gram frequencies by language over all rows with a language and a text.
 
-    Counts are added up before and after a shuffle by item. The model keeps the
-    most frequent words and n-grams, at most MAX_WORDS and MAX_GRAMS (language,
-    item) rows, a bound of a few ten MB whatever the corpus. Rows with null
-    language or text teach nothing; repeated rows count as often as they come.
+    Counts are added up before and after a shuffle by item, and stored, all of
+    them. Rows with null language or text teach nothing; repeated rows count as
+    often as they come.
     """
-    ship(docs.sparkSession)
+    spark = docs.sparkSession
+    ship(spark)
     schema = "lang string, item string, n long"
     rows = docs.select(F.col(lang_column).alias("lang"), F.col(text_column).alias("text"))
     counted = rows.where("lang is not null and text is not null").mapInArrow(_count_words, schema)
-    words = materialize(counted.groupBy("lang", "item").agg(F.sum("n").alias("n")))
-    word_totals = {r[0]: r[1] for r in words.groupBy("lang").agg(F.sum("n")).collect()}
-    gram_counts = words.select("lang", "item").mapInArrow(_count_grams, schema)
+    counts = materialize(counted.groupBy("lang", "item").agg(F.sum("n").alias("n")))
+    totals = {(r[0], 0): r[1] for r in counts.groupBy("lang").agg(F.sum("n")).collect()}
+    gram_counts = counts.select("lang", "item").mapInArrow(_count_grams, schema)
     gram_counts = materialize(gram_counts.groupBy("lang", "item").agg(F.sum("n").alias("n")))
-    totals = gram_counts.groupBy("lang", F.length("item")).agg(F.sum("n")).collect()
-    return Model(
-        _most_frequent(words, MAX_WORDS),
-        _most_frequent(gram_counts, MAX_GRAMS),
-        word_totals,
-        {(r[0], r[1]): r[2] for r in totals},
-    )
+    gram_totals = {(r[0], r[1]): r[2] for r in gram_counts.groupBy("lang", F.length("item")).agg(F.sum("n")).collect()}
+    words = _weights(counts, totals, F.lit(0))
+    grams = _weights(gram_counts, gram_totals, F.length("item"))
+    langs = sorted(lang for lang, _ in totals)
+    most = _most_frequent(counts, min(MAX_WORDS, MAX_ENTRIES // max(1, len(langs))))
+    frequent = Frequent(langs, words.join(F.broadcast(most), "item", "left_semi").collect())
+    return Model(spark, frequent, words, grams)
+
+
+class _Places(dict):
+    """A word's place: the broadcast words', then the others' in the order they come."""
+
+    def __missing__(self, word):
+        self[word] = place = len(self)
+        return place
+
+
+class _Block:
+    """Texts with the sums of their frequent words, and what else they hold."""
+
+    def __init__(self, frequent, places):
+        self.frequent, self.places = frequent, places
+        self.parts, self.sums, self.sizes, self.rest, self.rests, self.bytes = [], [], [], [], [], 0
+
+    def add(self, columns, texts, size):
+        known = len(self.frequent.words)
+        self.parts.append(columns)
+        self.bytes += size
+        for text in texts:
+            words = [] if text is None else letter_words(text)
+            at = np.fromiter(map(self.places.__getitem__, words), np.int64, len(words))
+            seen = at < known
+            self.sums.append(self.frequent.weights[at[seen]].sum(axis=0))
+            rest = (at[~seen] - known).astype(np.int32)
+            # -1: no language can be told.
+            self.sizes.append(len(words) if text is not None and any(map(str.isalpha, text)) else -1)
+            self.rest.append(rest)
+            self.rests.append(len(rest))
+
+    def full(self):
+        return self.bytes >= BLOCK_BYTES or len(self.places) - len(self.frequent.words) >= BLOCK_WORDS
+
+    def row(self, number):
+        """The block as a row; forgets its words."""
+        others = list(self.places)[len(self.frequent.words) :]
+        for word in others:
+            del self.places[word]
+        sink = pa.BufferOutputStream()
+        table = pa.Table.from_batches(self.parts)
+        with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as writer:
+            writer.write_table(table)
+        numbers = pa.table({
+            "size": pa.array(self.sizes, pa.int64()), "rests": pa.array(self.rests, pa.int64()),
+            "sums": pa.array([x.tolist() for x in self.sums], pa.list_(pa.float64())),
+            "rest": pa.array(self.rest, pa.list_(pa.int32())),
+        })
+        own = pa.BufferOutputStream()
+        with pa.ipc.new_stream(own, numbers.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as writer:
+            writer.write_table(numbers)
+        return pa.RecordBatch.from_arrays(
+            [
+                pa.array([number], pa.int64()), pa.array([sink.getvalue().to_pybytes()], pa.binary()),
+                pa.array([own.getvalue().to_pybytes()], pa.binary()), pa.array([others], pa.list_(pa.string())),
+            ],
+            names=["block", "kept", "numbers", "words"],
+        )
+
+
+def _blocks(held):
+    def run(batches):
+        frequent, number = held.value, TaskContext.get().partitionId() << 32
+        places = _Places(frequent.words)
+        block = _Block(frequent, places)
+        for batch in batches:
+            texts = batch.column(batch.num_columns - 1)
+            names = batch.schema.names[:-1]
+            for a, b in chunks(texts):
+                columns = pa.RecordBatch.from_arrays([c.slice(a, b - a) for c in batch.columns[:-1]], names=names)
+                part = texts.slice(a, b - a)
+                block.add(columns, part.to_pylist(), part.nbytes)
+                if block.full():
+                    yield block.row(number)
+                    block, number = _Block(frequent, places), number + 1
+        if block.parts:
+            yield block.row(number)
+
+    return run
+
+
+def _judge(langs):
+    """(language, its share) for the texts of a block, from its row and the replies."""
+
+    def run(blocks, replies):
+        row = blocks.to_pylist()[0]
+        kept = pa.ipc.open_stream(row["kept"]).read_all()
+        numbers = pa.ipc.open_stream(row["numbers"]).read_all().combine_chunks()
+        sizes, rests = (numbers.column(c).to_numpy() for c in ("size", "rests"))
+        sums = np.array(numbers.column("sums").to_pylist(), float).reshape(len(sizes), len(langs))
+        rest = numbers.column("rest").combine_chunks().flatten().to_numpy()
+        weights = np.zeros((row["n"], len(langs)))
+        at, place, weight = (replies.column(c).to_numpy() for c in ("at", "place", "weight"))
+        weights[at, place] = weight
+        starts = np.cumsum(rests) - rests
+        some = rests > 0
+        if langs and some.any():
+            sums[some] += np.add.reduceat(weights[rest], starts[some])
+        names, shares = np.full(len(sizes), "und", object), np.zeros(len(sizes))
+        told = sizes >= 0
+        if langs and told.any():
+            total = sums[told] * np.minimum(1.0, ENOUGH / np.maximum(1, sizes[told]))[:, None]
+            share = np.exp(total - total.max(axis=1, keepdims=True))
+            best = np.argmax(total, axis=1)
+            names[told] = np.array(langs, object)[best]
+            shares[told] = share[np.arange(len(best)), best] / share.sum(axis=1)
+        out = kept.append_column("lang_pred", pa.array(names, pa.string()))
+        return out.append_column("score", pa.array(shares, pa.float64()))
+
+    return run
+
+
+def _unseen_weights(words, grams):
+    """item, place, weight of words that no language has: the mean of their longest n-grams that some language has.
+
+    Words without any give no row, which is a weight of 0 in every language.
+    """
+    marked = F.concat(F.lit("<"), F.col("item"), F.lit(">"))
+    n = F.length(marked)
+
+    def cut(order):
+        starts = F.sequence(F.lit(1), F.greatest(F.lit(1), n - (order - 1)))
+        every = F.transform(starts, lambda i: marked.substr(i, F.lit(order)))
+        return F.when(n >= order, every).otherwise(F.array().cast("array<string>"))
+
+    rest, found = materialize(words.select("item")), []
+    for order in ORDERS:
+        if found and rest.isEmpty():
+            break
+        rows = grams.where(F.length("item") == order).groupBy(F.col("item").alias("gram"))
+        rows = rows.agg(F.collect_list(F.struct("place", "weight")).alias("own"))
+        hits = rest.select("item", F.explode(cut(order)).alias("gram")).join(rows, "gram")
+        hits = hits.groupBy("item").agg(F.count("*").alias("k"), F.flatten(F.collect_list("own")).alias("own"))
+        means = hits.select("item", "k", F.inline("own")).groupBy("item", "place")
+        found.append(materialize(means.agg((F.sum("weight") / F.first("k")).alias("weight"))))
+        rest = materialize(rest.join(found[-1].select("item"), "item", "left_anti"))
+    return functools.reduce(DataFrame.unionByName, found)
 
 
 def identify(docs, model, columns=("doc_id",), text_column="text"):
@@ -199,23 +307,15 @@ def identify(docs, model, columns=("doc_id",), text_column="text"):
     """
     spark = docs.sparkSession
     ship(spark)
-    held = spark.sparkContext.broadcast(model)
+    held = spark.sparkContext.broadcast(model.frequent)
     kept = docs.select(*columns, F.col(text_column).alias("_text_"))
-
-    def run(batches):
-        model = held.value
-        for batch in batches:
-            texts = batch.column(batch.num_columns - 1)
-            for a, b in chunks(texts):
-                found = model.predict(texts.slice(a, b - a).to_pylist())
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        *(c.slice(a, b - a) for c in batch.columns[:-1]),
-                        pa.array([x[0] for x in found], pa.string()),
-                        pa.array([x[1] for x in found], pa.float64()),
-                    ],
-                    names=[*batch.schema.names[:-1], "lang_pred", "score"],
-                )
-
+    schema = "block long, kept binary, numbers binary, words array<string>"
+    blocks = materialize(kept.mapInArrow(_blocks(held), schema))
+    asked = blocks.select("block", F.posexplode("words").alias("at", "item"))
+    unseen = asked.select("item").distinct().join(model.words.select("item"), "item", "left_anti")
+    weights = model.words.unionByName(_unseen_weights(unseen, model.grams))
+    replies = asked.join(weights, "item").select(F.col("block").alias("to_block"), "at", "place", "weight")
+    rows = blocks.select("block", "kept", "numbers", F.size("words").alias("n"))
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema[:-1])
-    return kept.mapInArrow(run, f"{fields}, lang_pred string, score double")
+    judged = rows.groupBy("block").cogroup(replies.groupBy("to_block"))
+    return judged.applyInArrow(_judge(model.langs), f"{fields}, lang_pred string, score double")

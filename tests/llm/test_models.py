@@ -121,6 +121,61 @@ def test_a_language_of_one_short_document_wins_its_own_text_only(spark, document
         assert model.predict([own])[0][0] == "xx"
 
 
+def judged_by_dictionaries(rows, texts):
+    """{language: its share} of each text, from all counts of rows of (lang, text)."""
+    words, grams = defaultdict(Counter), defaultdict(Counter)
+    for lang, text in rows:
+        words[lang].update(languages.letter_words(text))
+    for lang, own in words.items():
+        for word in own:
+            for order in languages.ORDERS:
+                grams[lang, order].update(languages.grams(word, order))
+
+    def logs(tables, item):
+        most = max(sum(t.values()) for t in tables)
+        floor = math.log(languages.FLOOR / (most + 1))
+        return np.array([math.log((t[item] + languages.FLOOR) / (sum(t.values()) + 1)) if item in t else floor for t in tables])
+
+    langs = sorted(words)
+    for text in texts:
+        total, split = np.zeros(len(langs)), languages.letter_words(text)
+        for word in split:
+            tables = [words[lang] for lang in langs]
+            if any(word in t for t in tables):
+                total += logs(tables, word)
+                continue
+            for order in languages.ORDERS:
+                tables = [grams[lang, order] for lang in langs]
+                known = [logs(tables, g) for g in languages.grams(word, order) if any(g in t for t in tables)]
+                if known:
+                    total += np.mean(known, axis=0)
+                    break
+        share = np.exp((total - total.max()) * min(1.0, languages.ENOUGH / max(1, len(split))))
+        yield dict(zip(langs, share / share.sum()))
+
+
+@pytest.mark.parametrize("most", [0, 3, 200_000])
+def test_languages_by_all_counts(spark, monkeypatch, most):
+    """Whatever is broadcast and however the blocks are cut, every count has its part."""
+    monkeypatch.setattr(languages, "MAX_WORDS", most)
+    monkeypatch.setattr(languages, "BLOCK_WORDS", 5)
+    rows = [("aa", "bri bri bri mo mo stel trak"), ("bb", "stel stel ti ti ti ooma bri"), ("cc", "élan трак a")] * 2 + [("cc", "uurk")]
+    texts = ["bri mo", "stel ti trak", "uurk uurx", "bre b ✓ xq", "élam трaк", "a a a a bri", "bri ti " * 40, "w", "ooms oom mo"]
+    model = languages.fit(spark.createDataFrame(rows, "lang string, text string"))
+    for shares, (lang, share) in zip(judged_by_dictionaries(rows, texts), model.predict(texts)):
+        assert share == pytest.approx(shares[lang], abs=1e-9) and share == pytest.approx(max(shares.values()), abs=1e-9)
+
+
+def test_a_large_language_takes_no_word_of_a_small_one(spark):
+    """A language of 210,000 words that occur twice beside one whose words occur once."""
+    digits = str.maketrans("0123456789", "abcdefghij")
+    word = lambda i: str(i).translate(digits)
+    large = [("aa", " ".join(word(i) for i in range(a, a + 1000) if i % 10)) for a in range(100_000, 333_000, 1000)] * 2
+    small = " ".join(word(i) for i in range(100_000, 300_000, 5_000))
+    model = languages.fit(spark.createDataFrame([*large, ("bb", small)], "lang string, text string").repartition(4))
+    assert [x[0] for x in model.predict([small, large[7][1]])] == ["bb", "aa"]
+
+
 def test_op7_held_out_accuracy(spark):
     got = {r.doc_id: r for r in queries.op7_quality(spark, "/root/testdata/sf0.01").collect()}
     labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet").collect()
