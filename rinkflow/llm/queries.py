@@ -5,7 +5,8 @@ import re
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from rinkflow.llm import byte_bpe, decontamination, katz, languages, licenses, near_copies, neighbours, quality, token_files, url_filters
+from rinkflow.llm import byte_bpe, decontamination, filter_audit, katz, languages, licenses, line_dedup, near_copies
+from rinkflow.llm import neighbours, quality, token_files, url_filters
 from rinkflow.session import materialize, scratch_folder
 
 QUERIES = {}
@@ -227,3 +228,75 @@ fits AS (
 SELECT page_id, coalesce(host, '') AS host, coalesce(path, '') AS path, rule, coalesce(verdict, 'allow') AS verdict
 FROM fits WHERE place = 1
 """
+
+
+@query
+def op11_line_dedup(spark, folder):
+    """Every document without lines that at least five documents hold, as digests."""
+    docs = table(spark, folder, "documents")
+    kept = line_dedup.apply_maps(docs, materialize(line_dedup.keep_maps(docs)))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
+SQL["op11_line_dedup"] = f"""
+WITH lines AS (
+  SELECT doc_id, unnest(s) AS line, unnest(range(1, len(s) + 1)) AS place
+  FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS s FROM documents)
+),
+keyed AS (
+  SELECT *, {_LOWER.format("regexp_replace(line, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g')")} AS k FROM lines
+),
+common AS (
+  SELECT k, max(doc_id) AS holder FROM keyed WHERE length(k) >= 40 GROUP BY k HAVING count(DISTINCT doc_id) >= 5
+),
+judged AS (
+  SELECT doc_id, place, line, coalesce(doc_id <> holder, false) AS gone FROM keyed LEFT JOIN common USING (k)
+)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (WHERE NOT gone), '')) AS kept_sha256
+FROM judged GROUP BY doc_id
+"""
+
+
+@query
+def op13_filter_audit(spark, folder):
+    """What each order of five filters removes, by language."""
+    return filter_audit.audit(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+SQL["op13_filter_audit"] = """
+WITH docs AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t FROM documents),
+measured AS (
+  SELECT doc_id, part, t, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS w,
+    length(regexp_replace(t, '[^A-Z]', '', 'g')) AS capitals,
+    doc_id > min(doc_id) OVER (PARTITION BY t) AS repeated
+  FROM docs
+),
+known AS (SELECT doc_id, max(quality) AS quality, max(toxic) AS toxic FROM labels GROUP BY doc_id),
+patterns AS (
+  SELECT part, (len(w) < 100)::INT + 2 * (100 * len(list_distinct(w)) < 80 * len(w))::INT
+      + 4 * (100 * capitals > 10 * length(t))::INT + 8 * regexp_matches(t, '[#$%&*|]')::INT + 16 * repeated::INT AS fails,
+    count(*) AS n, count(*) FILTER (WHERE quality = 1) AS good, count(*) FILTER (WHERE toxic = 1) AS bad
+  FROM measured LEFT JOIN known USING (doc_id) GROUP BY ALL
+),
+letters(l, b) AS (VALUES ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)),
+orders AS (
+  SELECT v.l || w.l || x.l || y.l || z.l AS o, [v.b, w.b, x.b, y.b, z.b] AS bits
+  FROM letters v, letters w, letters x, letters y, letters z WHERE v.b | w.b | x.b | y.b | z.b = 31
+),
+steps AS (
+  SELECT o, step, bits[step] AS bit, coalesce(list_sum(bits[1:step - 1]), 0)::INT AS earlier
+  FROM orders, unnest(range(1, 6)) u(step)
+),
+counted AS (
+  SELECT part, o AS filter_order, step::INT AS step, bit,
+    coalesce(sum(n) FILTER (WHERE fails & (earlier | bit) = 0), 0)::BIGINT AS kept,
+    coalesce(sum(n) FILTER (WHERE fails & earlier = 0 AND fails & bit <> 0), 0)::BIGINT AS removed,
+    coalesce(sum(n) FILTER (WHERE fails & earlier <> 0 AND fails & bit <> 0), 0)::BIGINT AS redundant,
+    coalesce(sum(n) FILTER (WHERE fails = bit), 0)::BIGINT AS unique_fails,
+    coalesce(sum(good) FILTER (WHERE fails & earlier = 0 AND fails & bit <> 0), 0)::BIGINT AS good_lost,
+    coalesce(sum(bad) FILTER (WHERE fails & earlier = 0 AND fails & bit <> 0), 0)::BIGINT AS toxic_lost
+  FROM patterns, steps GROUP BY ALL
+)
+SELECT * EXCLUDE (bit), (sum(removed) OVER (PARTITION BY part, bit))::BIGINT AS shapley FROM counted
+"""
