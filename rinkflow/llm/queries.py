@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from rinkflow.llm import byte_bpe, decontamination, filter_audit, katz, languages, licenses, line_dedup, near_copies
-from rinkflow.llm import neighbours, quality, token_files, url_filters
+from rinkflow.llm import neighbours, phrases, quality, token_files, url_filters
 from rinkflow.session import materialize, scratch_folder
 
 QUERIES = {}
@@ -258,6 +258,66 @@ FROM judged GROUP BY doc_id
 """
 
 
+@query
+def op12_phrases(spark, folder):
+    """Every language's first 2000 phrases of two and three words."""
+    return phrases.collocations(table(spark, folder, "documents"))
+
+
+SQL["op12_phrases"] = f"""
+WITH RECURSIVE pieces AS (
+  SELECT lang, regexp_extract_all(p, '[^\x20\x09]+') AS w
+  FROM (SELECT coalesce(lang, 'und') AS lang,
+    unnest(string_split_regex({_LOWER.format("coalesce(text, '')")}, '[.,;:!?\x0A-\x0D]')) AS p FROM documents)
+),
+totals AS (SELECT lang, sum(len(w))::BIGINT AS n FROM pieces GROUP BY lang),
+counts AS (
+  SELECT lang, m, array_to_string(w[i:i + m - 1], ' ') AS g, count(*) AS f
+  FROM pieces, unnest(range(1, len(w) + 1)) u(i), unnest([1, 2, 3]) v(m)
+  WHERE i + m - 1 <= len(w) GROUP BY ALL HAVING count(*) >= 10
+),
+threes AS (
+  SELECT lang, g, f, string_split(g, ' ') AS w, array_to_string(string_split(g, ' ')[1:2], ' ') AS head,
+    array_to_string(string_split(g, ' ')[2:3], ' ') AS tail
+  FROM counts WHERE m = 3
+),
+around AS (
+  SELECT lang, g, max(f) AS most
+  FROM (SELECT lang, head AS g, f FROM threes UNION ALL SELECT lang, tail, f FROM threes) GROUP BY ALL
+),
+parts AS (
+  SELECT lang, g, f, k, array_to_string(string_split(g, ' ')[1:k], ' ') AS x,
+    array_to_string(string_split(g, ' ')[k + 1:m], ' ') AS y
+  FROM counts, unnest([1, 2]) u(k) WHERE k < m
+),
+cuts AS (
+  SELECT p.lang, p.g, p.f AS a, k, x.f AS l, y.f AS r, 1000000::HUGEINT * p.f * p.f // (x.f::HUGEINT * y.f) AS score
+  FROM parts p JOIN counts x ON x.lang = p.lang AND x.g = p.x JOIN counts y ON y.lang = p.lang AND y.g = p.y
+),
+best AS (SELECT *, row_number() OVER (PARTITION BY lang, g ORDER BY score, k) AS place FROM cuts),
+ranked AS (
+  SELECT b.lang, b.g AS phrase, a, l, r, score,
+    row_number() OVER (PARTITION BY b.lang ORDER BY score DESC, a DESC, b.g) AS rank
+  FROM best b LEFT JOIN around o ON o.lang = b.lang AND o.g = b.g
+  WHERE place = 1 AND coalesce(100 * most < 50 * a, true)
+),
+links AS (
+  SELECT x.lang, x.g AS a, y.g AS b, y.w[3] AS word
+  FROM threes x JOIN counts v ON v.lang = x.lang AND v.m = 2 AND v.g = x.tail AND v.f = x.f
+  JOIN threes y ON y.lang = v.lang AND y.head = v.g AND y.f = v.f
+),
+walks AS (
+  SELECT lang, g AS start, g AS at, g AS path FROM threes t ANTI JOIN links k ON k.lang = t.lang AND k.b = t.g
+  UNION ALL
+  SELECT s.lang, start, b, path || ' ' || word FROM walks s JOIN links k ON k.lang = s.lang AND k.a = s.at
+),
+whole AS (SELECT lang, start, arg_max(path, length(path)) AS path FROM walks GROUP BY ALL),
+paths AS (SELECT lang, s.at AS phrase, p.path FROM walks s JOIN whole p USING (lang, start))
+SELECT lang, rank, phrase, a, l, r, n, score::BIGINT AS score, coalesce(path, phrase) AS path
+FROM ranked JOIN totals USING (lang) LEFT JOIN paths USING (lang, phrase) WHERE rank <= 2000
+"""
+
+
 @query
 def op13_filter_audit(spark, folder):
     """What each order of five filters removes, by language."""
