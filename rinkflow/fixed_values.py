@@ -30,6 +30,9 @@ LEGACY_CONDITION_COLUMNS = [
 
 RACE_KEY = ["Stadium", "Date", "Event", "Race"]
 
+# What orders measurements as they landed: dropped from the final layout.
+INGEST_ORDER = ["event_id", "schedule_number", "position"]
+
 WEATHER_COLUMNS = ["TempOutdoors", "AirpressureSurface", "AirpressureSealevel"]
 
 WEATHER_HELPER_COLUMNS = ["Location", "Latitude", "Longitude"]

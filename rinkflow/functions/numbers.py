@@ -32,9 +32,7 @@ def rounded(c, digits=2) -> Column:
     are farther apart than a hundredth, so the value is its own rounding; below
     it the product stays far from overflow.
     """
-    whole = _col(c)
-    large = F.abs(whole) >= float(2**46)
-    c = F.when(large, F.lit(0.0)).otherwise(whole)
+    c = _col(c)
     scale = F.lit(float(10**digits))
     product = c * scale
     split = c * F.lit(134217729.0)
@@ -44,7 +42,8 @@ def rounded(c, digits=2) -> Column:
     part = product - floor
     tie_up = (error > 0) | ((error == 0) & (floor % 2 != 0))
     up = (part > 0.5) | ((part == 0.5) & tie_up)
-    return F.when(large, whole).otherwise((floor + up.cast("int")) / scale)
+    # The other branch is not evaluated for large numbers, whose floor does not fit 64 bits.
+    return F.when(F.abs(c) >= float(2**46), c).otherwise((floor + up.cast("int")) / scale)
 
 
 def round_half_even(c, digits=2) -> Column:

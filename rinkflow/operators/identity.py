@@ -1,10 +1,12 @@
 """Fuzzy resolution of (name, country) to a registry id.
 
 A lookup asks the registry of a country for families that start with a text
-and sees the first ten in registry order.  Instead of pairing names with
-registry rows, the registry is indexed by every prefix of its families, each
-prefix keeping its first ten rows; a name then joins one index entry.  The
-work is linear in both tables, however many share a country or a family.
+and takes the first row, in registry order, whose given name is similar enough.  Names are
+not paired with registry rows.  The registry is reduced to the first row for each country,
+family prefix and given name, and given names meet by pieces: a similarity
+above s leaves fewer than (1 - s) of the letters of both names unmatched, say
+at most u, so of u + 1 pieces of one name at least one stands whole in the other, at most
+u letters from its place.  Country, prefix, length and piece are the join key.
 
 How the original remote lookup compared families is not known; here both sides
 are compared in normalised form (lower case, a-z only).
@@ -15,7 +17,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from rinkflow import fixed_values as fixed
-from rinkflow.functions.similarity import lengths_agree
+from rinkflow.functions.similarity import lengths_agree, sequence_ratio
 from rinkflow.functions.text import (
     family_name, given_name, has_text, name_prefix, normalize_name, trim_or_empty, upper_country,
 )
@@ -36,76 +38,110 @@ def first_match(
     return kept.groupBy(*block).agg(F.min_by(id_col, F.struct(*order)).alias(id_col))
 
 
-def prefix_index(registry: DataFrame):
-    """(country, family prefix) -> its first ten registry rows, in order."""
+
+def _unmatched(letters, similarity):
+    """SQL: the most letters that two names of so many letters in all may leave unmatched."""
+    return f"int(greatest(0, ceil(({letters}) * {1 - similarity!r}D - 1e-9D) - 1))"
+
+
+def _most_unmatched(size, similarity):
+    """SQL: the same for a name of ``size`` letters and any other."""
+    return f"int(greatest(0, ceil(({size}) * {2 * (1 - similarity) / similarity!r}D - 1e-9D) - 1))"
+
+
+def _piece(size, part, similarity):
+    """SQL: (start from 0, length) of a piece of a name of ``size`` letters."""
+    pieces = f"({_most_unmatched(size, similarity)} + 1)"
+    start = f"int({part} * {size} div {pieces})"
+    return start, f"(int(({part} + 1) * {size} div {pieces}) - {start})"
+
+
+def pieces_of(name, similarity=fixed.MIN_SIMILARITY):
+    """SQL: array of (size, part, piece) of a name that is looked up in."""
+    size = f"length({name})"
+    start, length = _piece(size, "j", similarity)
+    return f"""transform(sequence(0, {_most_unmatched(size, similarity)}),
+      j -> struct({size} AS size, j AS part, substring({name}, {start} + 1, {length}) AS piece))"""
+
+
+def pieces_sought(name, similarity=fixed.MIN_SIMILARITY):
+    """SQL: array of (size, part, piece) that a similar name would have, sought around their places."""
+    size = f"length({name})"
+    most = _most_unmatched(size, similarity)
+    left = _unmatched(f"{size} + b", similarity)
+    start, length = _piece("b", "j", similarity)
+    places = f"filter(sequence({start} - {left}, {start} + {left}), at -> at >= 0 AND at + {length} <= {size})"
+    parts = f"""transform(sequence(0, {_most_unmatched("b", similarity)}),
+      j -> transform({places}, at -> struct(b AS size, j AS part, substring({name}, at + 1, {length}) AS piece)))"""
+    sizes = f"filter(sequence(greatest(1, {size} - {most} - 1), {size} + {most} + 1), b -> {left} >= abs({size} - b))"
+    return f"array_distinct(flatten(flatten(transform({sizes}, b -> {parts}))))"
+
+
+def prefix_index(registry: DataFrame, candidates=None):
+    """(country, family prefix, given name) -> its first registry row.
+
+    With ``candidates`` only so many rows of each country and prefix, in
+    registry order, are there to be found; their families are kept.
+    """
     rows = registry.select(
         upper_country("country").alias("block_country"),
         F.coalesce(normalize_name("familyname"), F.lit("")).alias("family"),
-        F.coalesce(normalize_name("givenname"), F.lit("")).alias("given"),
+        F.coalesce(normalize_name("givenname"), F.lit("")).alias("other"),
         F.col("id").cast("string").alias("id"),
         "pos",
     ).where(F.col("block_country").isNotNull())
     lengths = F.sequence(F.lit(0), F.length("family"))
     prefixes = F.transform(lengths, lambda n: F.substring("family", F.lit(1), n))
     blocks = rows.withColumn("block", F.explode(prefixes))
-    block = ["block_country", "block"]
-    kept = first_candidates(blocks, block, ["pos", "id", "given", "family"])
-    entry = F.struct("pos", "id", "given", "family")
-    return kept.groupBy(*block).agg(F.array_sort(F.collect_list(entry)).alias("candidates"))
-
+    key = ["block_country", "block", "other"]
+    if candidates:
+        blocks = first_candidates(blocks, ["block_country", "block"], ["pos", "id", "other", "family"], candidates)
+        key.append("family")
+    first = blocks.where("other != ''").groupBy(*key).agg(F.min(F.struct("pos", "id")).alias("first"))
+    return first.select("*", F.expr(f"inline({pieces_of('other')})"))
 
-def _similar_enough():
-    minimum = fixed.MIN_SIMILARITY
 
-    # Nested, so that it is shipped to executors by value.
-    def accept(candidates, given):
-        from difflib import SequenceMatcher
+def _look_up(people: DataFrame, index: DataFrame, key, needed, out, must=None):
+    """One pass: the id of the first registry row that fits, or NULL, as ``out``.
 
-        import pandas as pd
-
-        out = []
-        for names, wanted in zip(candidates, given):
-            if names is None:
-                out.append(None)
-            else:
-                out.append([SequenceMatcher(None, n, wanted).ratio() > minimum for n in names])
-        return pd.Series(out, dtype="object")
-
-    return F.pandas_udf(accept, "array<boolean>")
-
-
-def _look_up(people: DataFrame, index: DataFrame, key, needed, family_rule, out):
-    """One pass: join the block, keep what the cheap rules allow, compare names."""
-    keyed = index.select(
-        F.col("block_country").alias("_c"), F.col("block").alias("_b"), "candidates"
-    )
-    # Rows that ask nothing get a key of their own, so that they spread out
-    # instead of meeting under one NULL key.
-    own = F.concat(F.lit("\0"), F.xxhash64("country_key", "given", "family_text").cast("string"))
-    probe = people.withColumn("_place", F.when(needed, F.col("country_key")).otherwise(own))
-    joined = probe.join(
-        keyed, (F.col("_place") == F.col("_c")) & (F.col(key) == F.col("_b")), "left"
-    )
-    allowed = F.filter(
-        "candidates", lambda c: lengths_agree(c["given"], F.col("given")) & family_rule(c["family"])
-    )
-    near = joined.withColumn("_near", allowed)
-    names = F.when(F.size("_near") > 0, F.transform("_near", lambda c: c["given"]))
-    verdict = near.withColumn("_yes", _similar_enough()(names, F.col("given")))
-    hits = F.filter("_near", lambda c, i: F.get(F.col("_yes"), i))
-    found = F.get(hits, F.lit(0))["id"]
-    return verdict.withColumn(out, F.when(has_text(found), found)).drop(
-        "_c", "_b", "_place", "_near", "_yes", "candidates"
+    ``key`` is the prefix that families are asked for; with ``must`` they have
+    to start with that as well.
+    """
+    asked = people.where(needed & has_text("given")).select(
+        F.col("country_key").alias("block_country"), F.col(key).alias("block"), "given", F.col(must or key).alias("must")
     )
-
-
-def resolve_entities(names: DataFrame, registry: DataFrame, name="Name", country="Country"):
+    asked = asked.distinct().select("*", F.expr(f"inline({pieces_sought('given')})"))
+    met = asked.join(index, ["block_country", "block", "size", "part", "piece"])
+    if must:
+        met = met.where(F.startswith("family", F.col("must")))
+    near = f"levenshtein(given, other, {_unmatched('length(given) + length(other)', fixed.MIN_SIMILARITY)}) >= 0"
+    ask = ["block_country", "block", "must", "given"]
+    pairs = materialize(met.select(*ask, "other", "first").distinct().where(f"given = other OR {near}"))
+    # The ratio is found once for each pair of names, wherever they meet.
+    unequal = pairs.where(F.col("given") != F.col("other")).select("given", "other").distinct()
+    ratio = sequence_ratio("other", "given")
+    alike = unequal.where(lengths_agree("given", "other")).where(ratio > fixed.MIN_SIMILARITY)
+    hits = pairs.where(F.col("given") == F.col("other")).unionByName(pairs.join(alike, ["given", "other"]))
+    found = hits.groupBy(*ask).agg(F.min("first")["id"].alias("_found"))
+    found = found.withColumnsRenamed({c: f"_{c}" for c in ask})
+    same = (
+        (F.col("country_key") == F.col("_block_country")) & (F.col(key) == F.col("_block"))
+        & (F.col(must or key) == F.col("_must")) & (people["given"] == F.col("_given"))
+    )
+    joined = people.join(found, same & needed, "left")
+    return joined.withColumn(out, F.when(has_text("_found"), F.col("_found"))).drop(*found.columns)
+
+
+def resolve_entities(names: DataFrame, registry: DataFrame, name="Name", country="Country", candidates=None):
     """Distinct (name, country) with the registry id found, or NULL.
 
     Pass 1 looks up the whole family name; pass 2, for names still without an
-    id and a family of at least four characters, its first four.
+    id and a family of at least four characters, its first four.  All registry
+    rows of a family are looked at; with ``candidates`` (the original: ten) only
+    the first so many of each lookup.
     """
-    index = materialize(prefix_index(registry))  # read by both passes
+    index = materialize(prefix_index(registry, candidates))  # read by both passes
+    length = fixed.PARTIAL_FAMILY_LENGTH
     people = (
         names.select(trim_or_empty(name).alias(name), trim_or_empty(country).alias(country))
         .distinct()
@@ -117,18 +153,14 @@ def resolve_entities(names: DataFrame, registry: DataFrame, name="Name", country
         )
         .withColumn("family", normalize_name("family_text"))
         .withColumn("family_part", normalize_name(name_prefix("family_text")))
+        .withColumn("family_start", name_prefix("family", length))
     )
     asked = has_text(name) & has_text(country)
-    whole = _look_up(
-        people, index, "family", asked, lambda f: F.startswith(f, F.col("family")), "_id1"
-    )
-    length = fixed.PARTIAL_FAMILY_LENGTH
+    whole = _look_up(people, index, "family", asked, "_id1")
     second = asked & F.col("_id1").isNull() & (F.length("family_text") >= length)
-    part = name_prefix("family", length)
-    both = _look_up(
-        whole, index, "family_part", second,
-        lambda f: F.startswith(f, F.col("family"))
-        | ((F.length("family") >= length) & F.startswith(f, part)),
-        "_id2",
-    )
+    # Families that start with the whole name start with its first four letters too.
+    if candidates:
+        both = _look_up(whole, index, "family_part", second, "_id2", must="family_start")
+    else:
+        both = _look_up(whole, index, "family_start", second, "_id2")
     return both.select(name, country, F.coalesce("_id1", "_id2").alias("id"))

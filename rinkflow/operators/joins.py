@@ -2,10 +2,14 @@
 
 No join is forced to broadcast, but for the six-row coefficient table: the
 optimizer broadcasts a side whose size it knows to be small, and adaptive
-execution splits the partitions of a hot key.  Every looked-up side is made
-unique on its key first, so no join multiplies rows.
+execution splits the partitions of a hot key.  Every looked-up side has one
+row per key: the weather hours are reduced here, and conditions, season bests,
+ids and race parts are as they come from the operators before.
 """
 
+from functools import reduce
+from operator import and_, or_
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -13,10 +17,33 @@ from rinkflow import fixed_values as fixed
 from rinkflow.functions.numbers import first_integer, hour_key, hour_of
 from rinkflow.functions.text import is_digits, trim_or_empty
 
+#: Over how many values rows with a missing key part are spread.
+KEY_SALTS = 32
+
+
+def salted_left_join(left: DataFrame, right: DataFrame, keys, salts=KEY_SALTS):
+    """LEFT join on ``keys``, NULL equal to NULL; ``right`` has one row per key.
+
+    Rows with a missing key part share few keys, however many there are.  They
+    are spread over ``salts`` values by their other columns, and the rows of
+    ``right`` with a missing part, one for each key, are there once for every value.
+    """
+    missing = lambda df: reduce(or_, [df[k].isNull() for k in keys])
+    salt = F.when(missing(left), F.pmod(F.xxhash64(*left.columns), F.lit(salts))).otherwise(0)
+    copies = F.when(missing(right), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    other = right.withColumn("_copy", F.explode(copies)).withColumnsRenamed({k: f"_{k}" for k in keys})
+    salted = left.withColumn("_salt", salt)
+    same = [salted[k].eqNullSafe(other[f"_{k}"]) for k in keys]
+    joined = salted.join(other, reduce(and_, same) & (F.col("_salt") == F.col("_copy")), "left")
+    return joined.drop("_salt", "_copy", *[f"_{k}" for k in keys])
+
 
 def join_conditions(results: DataFrame, conditions: DataFrame, keys=fixed.RACE_KEY):
-    """LEFT join on the race key; ``conditions`` has one row per race."""
-    return results.join(conditions, list(keys), "left")
+    """LEFT join on the race key, a missing part equal to a missing part.
+
+    ``conditions`` has one row per race.
+    """
+    return salted_left_join(results, conditions, list(keys))
 
 
 def hours_by_key(hourly: DataFrame, keys=("Latitude", "Longitude", "HourKey")):

@@ -1,6 +1,6 @@
 """What has to be looked up: distinct names, weather hours, season bests."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from rinkflow.functions.numbers import hour_of, with_seconds, year_of_text
@@ -47,12 +47,13 @@ def season_best_table(records: DataFrame):
     readable record of a distance wins; of records that tie, the slower one,
     whatever the order of the rows.
     """
-    first = records.groupBy("skater_id", "start").agg(F.min("season_pos").alias("season_pos"))
-    timed = with_seconds(records, "time_text", "seconds").where(
-        (F.col("distance") != 0) & F.col("seconds").isNotNull()
-    )
-    # Reduced per season entry before the join, so no long record list is shuffled.
-    best = timed.groupBy("skater_id", "start", "season_pos", "distance").agg(
-        F.max_by("seconds", F.struct("rec_pos", "seconds")).alias("seconds")
-    )
-    return best.join(first, ["skater_id", "start", "season_pos"], "left_semi").drop("season_pos")
+    timed = with_seconds(records, "time_text", "seconds")
+    readable = F.when(F.col("distance") != 0, F.col("seconds"))
+    entry = ["skater_id", "start", "season_pos", "distance"]
+    # Records are reduced before the entries of a year are compared, by position first: all sums fit a hash table.
+    best = timed.groupBy(*entry, "rec_pos").agg(F.max(readable).alias("seconds"))
+    last = F.when(F.col("seconds").isNotNull(), F.col("rec_pos"))
+    best = best.groupBy(*entry).agg(F.max_by("seconds", last).alias("seconds"))
+    first = F.min("season_pos").over(Window.partitionBy("skater_id", "start"))
+    best = best.withColumn("_first", first).where("season_pos = _first AND seconds IS NOT NULL")
+    return best.select("skater_id", "start", "distance", "seconds")

@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rinkflow import fixed_values as fixed
-from rinkflow.operators.quantiles import mark_outliers
+from rinkflow.operators.quantiles import mark_outliers, mark_outside
 
 
 def select_rows(
@@ -82,9 +82,10 @@ def selection_count(df: DataFrame, distance, stadium=fixed.ALL_STADIUMS, countri
     return rows.agg(F.count("*").alias("n"))
 
 
-def scatter_points(df: DataFrame, y="RaceTime"):
-    """Points of the temperature plot, with outliers marked."""
-    return mark_outliers(df, y).select(
+def scatter_points(df: DataFrame, y="RaceTime", fences=None):
+    """Points of the temperature plot, with outliers marked; ``fences`` if they are known."""
+    marked = mark_outliers(df, y) if fences is None else mark_outside(df, y, fences)
+    return marked.select(
         "TempIce", y, "Name", "Stadium", "Date", "Year", "is_outlier"
     )
 

@@ -8,9 +8,15 @@ from rinkflow.functions.model import performance_difference
 from rinkflow.operators.quantiles import box_by
 
 
+def corrected(difference, lowest):
+    """The difference shifted by -5 x the lowest one."""
+    difference = F.col(difference) if isinstance(difference, str) else difference
+    return difference + F.lit(float(fixed.CORRECTION_FACTOR)) * lowest
+
+
 def add_corrected_difference(
     df: DataFrame, best="SeasonalBest", time="RaceTime",
-    out="Difference", corrected="CorrectedDifference",
+    out="Difference", corrected_out="CorrectedDifference",
 ):
     """Season best minus time, and the same shifted by -5 x its minimum.
 
@@ -18,8 +24,7 @@ def add_corrected_difference(
     """
     difference = performance_difference(best, time)
     lowest = df.agg(F.min(difference).alias("m")).scalar()
-    shift = F.lit(float(fixed.CORRECTION_FACTOR)) * lowest
-    return df.withColumns({out: difference, corrected: difference + shift})
+    return df.withColumns({out: difference, corrected_out: corrected(difference, lowest)})
 
 
 def avg_by(df: DataFrame, by, value, out=None):
@@ -36,13 +41,15 @@ def summary_stats(df: DataFrame, cols=("RaceTime", "TempIce")):
     return df.agg(F.count("*").alias("n"), *measures)
 
 
-def histogram(df: DataFrame, col, bins=fixed.HISTOGRAM_BINS):
+def histogram(df: DataFrame, col, bins=fixed.HISTOGRAM_BINS, ends=None):
     """Counts in ``bins`` equal-width bins; empty bins have no row.
 
     The maximum belongs to the last bin; a constant column fills bin 1.
+    ``ends``, a column of (low, high), spares the pass that finds them.
     """
     values = df.select(F.col(col).cast("double").alias("v")).where("v IS NOT NULL AND NOT isnan(v)")
-    ends = values.agg(F.struct(F.min("v").alias("low"), F.max("v").alias("high")).alias("s")).scalar()
+    if ends is None:
+        ends = values.agg(F.struct(F.min("v").alias("low"), F.max("v").alias("high")).alias("s")).scalar()
     # Each row is binned against the scalar ends, so a task shuffles at most ``bins`` rows.
     placed = values.withColumn("e", ends)
     bucket = F.least(F.width_bucket("v", "e.low", "e.high", F.lit(bins)), F.lit(bins))

@@ -1,116 +1,283 @@
-"""Robust local regression (LOWESS) as DataFrame aggregation.
+"""Robust local regression (LOWESS) at every distinct x, in time linear in them but for logarithms.
 
-Each round reduces all points to one row of sums per distinct x, and fits a
-tricube-weighted line at every x from those rows alone.  The rows grow with the
-number of distinct x, not of points; that number is checked before they are
-shared with every task.
+The distinct x are sorted and numbered once and cut into blocks of rows.  Every
+question about a row's window (how far its k-th nearest point is, the sums over
+the part of the window in some block) goes to one block.  Windows move on with
+x, so the rows of one block ask a run of neighbouring blocks: of the pairs of
+blocks that meet there are at most twice as many as blocks, and each pair is a
+task of its own with at most one block of rows and of questions, however the
+points lie.  Sums over whole blocks come from the blocks' moments
+(`functions.local_lines`).
 """
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
+from rinkflow.functions.local_lines import SUMS, Nodes, Tree
 from rinkflow.operators.quantiles import exact_quantiles
 from rinkflow.session import materialize
+from rinkflow.workers import ship
 
-MAX_DISTINCT_X = 2_000
+#: Blocks have at least this many distinct x, more where there would be more than MOST_BLOCKS.
+BLOCK_ROWS = 1 << 14
+#: Bounds what the driver and the tasks hold of every block: its ends and 23 moments.
+MOST_BLOCKS = 1 << 14
 
+_LOCAL = (1 << 33) - 1
 
-def _snap(points, grid):
-    """Replace x by the centre of its bin among ``grid`` equal-width bins."""
-    ends = points.selectExpr("struct(min(x) AS low, max(x) AS high) AS s").scalar()
-    return (
-        points.withColumn("e", ends)
-        .selectExpr("x", "y", "e.low", f"(e.high - e.low) / {grid} AS width")
-        .selectExpr(
-            f"""CASE WHEN width > 0
-                THEN low + (least(floor((x - low) / width), {grid - 1}) + 0.5D) * width
-                ELSE x END AS x""",
-            "y",
+
+class _Index:
+    """``rows`` (row, block, x, n, start) of the distinct x in order: ``start`` points come before.
+
+    ``first``, ``last`` and ``start`` hold the ends and the first point of each
+    block; ``points`` is the number of points.
+    """
+
+    def __init__(self, points, block_rows):
+        spark = points.sparkSession
+        rows = points.groupBy("x").agg(F.count("*").alias("n")).repartitionByRange("x").sortWithinPartitions("x")
+        rows = materialize(rows.select(F.monotonically_increasing_id().alias("id"), "x", "n"))
+        part = F.shiftright("id", 33).alias("part")
+        # One row for each partition of the sort.
+        parts = rows.groupBy(part).agg(F.count("*").alias("m"), F.sum("n").alias("n")).orderBy("part").collect()
+        befores, m, n = [], 0, 0
+        for p in parts:
+            befores.append((p["part"], m, n))
+            m, n = m + p["m"], n + p["n"]
+        self.points, self.distinct = n, m
+        if not m:
+            return
+        per = max(block_rows, -(-m // MOST_BLOCKS))
+        befores = spark.createDataFrame(befores, "part long, row0 long, start0 long")
+        ahead = Window.partitionBy("part").orderBy("id").rowsBetween(Window.unboundedPreceding, -1)
+        numbered = (
+            rows.select("id", part, "x", "n")
+            .withColumn("start", F.coalesce(F.sum("n").over(ahead), F.lit(0)))
+            .join(F.broadcast(befores), "part")
+            .select((F.col("row0") + F.col("id").bitwiseAND(_LOCAL)).alias("row"), "x", "n", F.expr("start + start0").alias("start"))
         )
+        self.rows = materialize(numbered.select("row", F.floor(F.col("row") / per).alias("block"), "x", "n", "start"))
+        ends = self.rows.groupBy("block").agg(F.min("x"), F.max("x"), F.min("start")).orderBy("block").collect()
+        _, self.first, self.last, self.start = (np.array(c) for c in zip(*ends))
+
+
+def _each_batch(df, function, schema):
+    """``df`` through a function from a dict of arrays to a list of such dicts."""
+    names = [f.split()[0] for f in schema.split(", ")]
+
+    def run(batches):
+        for batch in batches:
+            for out in function({c: batch.column(c).to_numpy() for c in batch.schema.names}):
+                yield pa.RecordBatch.from_arrays([pa.array(out[c]) for c in names], names=names)
+
+    return df.mapInArrow(run, schema)
+
+
+def _pairs(requests, on=()):
+    """The pairs of blocks that meet: at most two for each block and kind of request."""
+    return materialize(requests.select("chunk", "block", *on).distinct())
+
+
+def _meet(requests, rows, pairs, answer, schema, on=()):
+    """``answer(requests, rows)`` for every pair of a block that asks (chunk) and one that is asked.
+
+    Both come as dicts of arrays, the rows in order.
+    """
+    keys = ["chunk", "block", *on]
+    names = [f.split()[0] for f in schema.split(", ")]
+    # A block of rows goes to each block that asks it.
+    asked = rows.join(F.broadcast(pairs), ["block", *on])
+
+    def run(asking, table):
+        table = {c: table.column(c).to_numpy() for c in table.column_names}
+        order = np.argsort(table["row"])
+        found = answer({c: asking.column(c).to_numpy() for c in asking.column_names}, {c: v[order] for c, v in table.items()})
+        return pa.table({c: pa.array(found[c]) for c in names})
+
+    return requests.groupBy(*keys).cogroup(asked.groupBy(*keys)).applyInArrow(run, schema)
+
+
+def _half_sums(index, k):
+    """(row, block, x, kind, s): twice the centre of the window that a row just closes.
+
+    With the k points from a row on (kind 0) the row is the left end and s the
+    sum of both ends; with the k points up to it (kind 1) it is the right end.
+    Rows with fewer points on that side have none.  s grows with the row.
+    """
+    starts, total = index.start, index.points
+
+    def ask(rows):
+        for kind, place in ((0, rows["start"] + k - 1), (1, rows["start"] + rows["n"] - k)):
+            use = (place >= 0) & (place < total)
+            block = np.searchsorted(starts, place[use], "right") - 1
+            yield {
+                "chunk": rows["block"][use], "block": block, "row": rows["row"][use], "x": rows["x"][use],
+                "place": place[use], "kind": np.full(len(block), kind, np.int32),
+            }
+
+    requests = materialize(
+        _each_batch(index.rows, ask, "chunk long, block long, row long, x double, place long, kind int")
     )
 
+    def answer(asking, table):
+        end = table["x"][np.searchsorted(table["start"], asking["place"], "right") - 1]
+        return {"row": asking["row"], "block": asking["chunk"], "x": asking["x"], "kind": asking["kind"], "s": asking["x"] + end}
 
-def _sums(weighted):
-    """One row per distinct x: number of points, sum of weights, of weighted y."""
-    return weighted.groupBy("x").agg(
-        F.expr("count(*) AS n"), F.expr("sum(w) AS w"), F.expr("sum(w * y) AS wy")
+    return materialize(
+        _meet(requests, index.rows, _pairs(requests), answer, "row long, block long, x double, kind int, s double")
     )
 
 
-# Distance from x to its k-th nearest point, given all rows of _sums.
-_BANDWIDTH = """
-aggregate(
-  array_sort(transform(rows, p -> struct(abs(p.x - x) AS d, p.n AS n))),
-  struct(0L AS seen, 0D AS d),
-  (a, p) -> CASE WHEN a.seen >= {k} THEN a ELSE struct(a.seen + p.n AS seen, p.d AS d) END,
-  a -> a.d)"""
-
-# Tricube-weighted sums around x within bandwidth h.
-_LOCAL_SUMS = """
-aggregate(
-  transform(
-    transform(
-      transform(rows, p -> struct(p.x - x AS t, p.w AS w, p.wy AS wy)),
-      p -> struct(p.t AS t, p.w AS w, p.wy AS wy,
-        pow(1D - pow(CASE WHEN h > 0 THEN least(abs(p.t) / h, 1D) ELSE double(p.t != 0) END, 3), 3) AS k)),
-    p -> struct(p.t AS t, p.k * p.w AS w, p.k * p.wy AS y)),
-  struct(0D AS w, 0D AS t, 0D AS tt, 0D AS y, 0D AS ty),
-  (a, p) -> struct(a.w + p.w AS w, a.t + p.w * p.t AS t, a.tt + p.w * p.t * p.t AS tt,
-    a.y + p.y AS y, a.ty + p.y * p.t AS ty))"""
-
-# Value at its centre of the line through those sums; the weighted mean if flat.
+def _widths(index, k):
+    """(block, x, h): the distance of the k-th nearest point to each distinct x."""
+    sums = _half_sums(index, k)
+    ends = sums.groupBy("kind", "block").agg(F.min("s").alias("low"), F.max("s").alias("high")).orderBy("block").collect()
+    blocks = [np.array([e["block"] for e in ends if e["kind"] == kind]) for kind in (0, 1)]
+    low = np.array([e["low"] for e in ends if e["kind"] == 0])
+    high = np.array([e["high"] for e in ends if e["kind"] == 1])
+
+    def ask(rows):
+        # The nearest left end whose window still reaches as far to the right, and the other way round.
+        twice = 2 * rows["x"]
+        places = [np.searchsorted(low, twice, "right") - 1, np.searchsorted(high, twice, "left")]
+        for kind, place in enumerate(places):
+            use = (place >= 0) & (place < len(blocks[kind]))
+            yield {
+                "chunk": rows["block"][use], "block": blocks[kind][place[use]], "x": rows["x"][use],
+                "kind": np.full(int(use.sum()), kind, np.int32),
+            }
+
+    requests = materialize(_each_batch(index.rows, ask, "chunk long, block long, x double, kind int"))
+
+    def answer(asking, table):
+        twice = 2 * asking["x"]
+        if asking["kind"][0] == 0:
+            h = asking["x"] - table["x"][np.searchsorted(table["s"], twice, "right") - 1]
+        else:
+            h = table["x"][np.searchsorted(table["s"], twice, "left")] - asking["x"]
+        return {"block": asking["chunk"], "x": asking["x"], "h": h}
+
+    found = _meet(requests, sums, _pairs(requests, ["kind"]), answer, "block long, x double, h double", ["kind"])
+    return materialize(found.groupBy("block", "x").agg(F.min("h").alias("h")))
+
+
+def _window_parts(index, widths):
+    """Requests (chunk, block, x, h, whole_from, whole_to) for the sums over each window.
+
+    A window asks its own block, which also adds the whole blocks from
+    ``whole_from`` up to but not with ``whole_to``, and the blocks that hold its ends
+    unless they lie in it as a whole.
+    """
+    first, last = index.first, index.last
+
+    def ask(rows):
+        own, x, h = rows["block"], rows["x"], rows["h"]
+        left = np.maximum(np.searchsorted(first, x - h, "right") - 1, 0)
+        right = np.searchsorted(first, x + h, "right") - 1
+        left, right = np.minimum(left, own), np.maximum(right, own)
+        cut_left = (left < own) & (x - h > first[left])
+        cut_right = (right > own) & (x + h < last[right])
+        yield {"chunk": own, "block": own, "x": x, "h": h, "whole_from": left + cut_left, "whole_to": right + 1 - cut_right}
+        for cut, block in ((cut_left, left), (cut_right, right)):
+            none = np.zeros(int(cut.sum()), np.int64)
+            yield {"chunk": own[cut], "block": block[cut], "x": x[cut], "h": h[cut], "whole_from": none, "whole_to": none}
+
+    schema = "chunk long, block long, x double, h double, whole_from long, whole_to long"
+    return materialize(_each_batch(widths, ask, schema))
+
+
+def _block_nodes(weighted):
+    """The nodes of all blocks, in order, on the driver: at most MOST_BLOCKS."""
+
+    def root(table):
+        x = table.column("x").to_numpy()
+        order = np.argsort(x)
+        top = Tree(Nodes.of_rows(*(table.column(c).to_numpy()[order] for c in ("x", "w", "wy")))).root()
+        moments = lambda m: pa.array([[float(v[0]) for v in m]], pa.list_(pa.float64()))
+        return pa.table(
+            {
+                "block": pa.array([table.column("block")[0].as_py()], pa.int64()),
+                "low": top.low, "high": top.high, "weights": moments(top.weights), "values": moments(top.values),
+            }
+        )
+
+    schema = "block long, low double, high double, weights array<double>, values array<double>"
+    found = weighted.groupBy("block").applyInArrow(root, schema).orderBy("block").collect()
+    columns = lambda c: list(np.array([r[c] for r in found]).T)
+    return Nodes(np.array([r["low"] for r in found]), np.array([r["high"] for r in found]), columns("weights"), columns("values"))
+
+
+# Value at its centre of the line through the sums; the weighted mean if flat.
 _LINE_VALUE = """
-CASE WHEN s.w * s.tt - s.t * s.t > 1e-12 * s.w * s.tt
-       THEN (s.tt * s.y - s.t * s.ty) / (s.w * s.tt - s.t * s.t)
-     WHEN s.w > 0 THEN s.y / s.w END"""
-
-
-def _fit(sums, neighbours):
-    # At most MAX_DISTINCT_X rows, checked by the caller.
-    table = sums.selectExpr("array_sort(collect_list(struct(x, n, w, wy))) AS rows").scalar()
-    return (
-        sums.select("x")
-        .withColumn("rows", table)
-        .selectExpr("x", "rows", f"{_BANDWIDTH.format(k=neighbours)} AS h")
-        .selectExpr("x", f"{_LOCAL_SUMS} AS s")
-        .selectExpr("x", f"{_LINE_VALUE} AS trend")
-    )
+CASE WHEN w * tt - t * t > 1e-12 * w * tt THEN (tt * y - t * ty) / (w * tt - t * t)
+     WHEN w > 0 THEN y / w END"""
+
+
+def _fit(weighted, requests, pairs):
+    """(x, trend) from rows (row, block, x, w, wy) and the windows' requests."""
+    spark = weighted.sparkSession
+    blocks = spark.sparkContext.broadcast(Tree(_block_nodes(weighted)))
+
+    def answer(asking, table):
+        x, h, rows = asking["x"], asking["h"], table["x"]
+        tree = Tree(Nodes.of_rows(rows, table["w"], table["wy"]))
+        low = np.searchsorted(rows, x - h, "left")
+        high = np.searchsorted(rows, x + h, "right")
+        none, every = np.zeros(len(x), np.int64), np.full(len(x), len(rows))
+        own, asked = asking["chunk"][0], asking["block"][0]
+        if asked < own:
+            sums = tree.sums(low, every, x, h, -1)
+        elif asked > own:
+            sums = tree.sums(none, high, x, h, 1)
+        else:
+            at = np.searchsorted(rows, x)
+            sums = tree.sums(low, at, x, h, -1) + tree.sums(at + 1, high, x, h, 1)
+            sums[0] += table["w"][at]
+            sums[3] += table["wy"][at]
+            here = np.full(len(x), own)
+            sums += blocks.value.sums(asking["whole_from"], here, x, h, -1)
+            sums += blocks.value.sums(here + 1, asking["whole_to"], x, h, 1)
+        return {"x": x, **dict(zip(SUMS, sums))}
+
+    parts = _meet(requests, weighted, pairs, answer, "x double, " + ", ".join(f"{c} double" for c in SUMS))
+    sums = parts.groupBy("x").agg(*[F.sum(c).alias(c) for c in SUMS])
+    fit = materialize(sums.selectExpr("x", f"{_LINE_VALUE} AS trend"))
+    blocks.destroy()
+    return fit
 
 
-def lowess_trend(df: DataFrame, x, y, frac=2 / 3, iters=3, grid=None):
+def lowess_trend(df: DataFrame, x, y, frac=2 / 3, iters=3, block_rows=BLOCK_ROWS):
     """Trend of ``y`` at every distinct ``x``: columns ``x`` and ``trend``.
 
-    ``frac`` of the points take part in each local line; ``iters`` rounds
-    weigh points down by their residuals.  Fitting is quadratic in the number
-    of distinct x: a column with more than ``MAX_DISTINCT_X`` needs ``grid``,
-    which snaps x to that many bin centres; every point still counts.
+    ``frac`` of the points (at least two) take part in each local line;
+    ``iters`` rounds weigh points down by their residuals.  Rows where either is NULL, NaN
+    or infinite do not count.  Where all weight lies on one x the trend is the
+    weighted mean there, and where no weight is left the previous round's value.
     """
-    points = df.select(
-        F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y")
-    ).where("x IS NOT NULL AND y IS NOT NULL AND NOT isnan(x) AND NOT isnan(y)")
-    if grid:
-        if grid > MAX_DISTINCT_X:
-            raise ValueError(f"grid may not exceed {MAX_DISTINCT_X}")
-        points = _snap(points, grid)
-    points = materialize(points)
-    distinct = points.select("x").distinct().limit(MAX_DISTINCT_X + 1).count()
-    if distinct > MAX_DISTINCT_X:
-        raise ValueError(f"more than {MAX_DISTINCT_X} distinct {x}: pass grid=")
-
-    neighbours = max(2, int(frac * points.count()))
-    fit = materialize(_fit(_sums(points.withColumn("w", F.lit(1.0))), neighbours))
+    ship(df.sparkSession)
+    points = df.select(F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y"))
+    points = materialize(points.where("abs(x) < double('infinity') AND abs(y) < double('infinity')"))
+    index = _Index(points, block_rows)
+    if not index.distinct:
+        return points.selectExpr("x", "y AS trend")
+    k = min(max(2, int(frac * index.points)), index.points)
+    requests = _window_parts(index, _widths(index, k))
+    pairs = _pairs(requests)
+
+    def fitted(weighted_points):
+        sums = weighted_points.groupBy("x").agg(F.sum("w").alias("w"), F.expr("sum(w * y) AS wy"))
+        return _fit(materialize(index.rows.select("row", "block", "x").join(sums, "x")), requests, pairs)
+
+    fit = fitted(points.withColumn("w", F.lit(1.0)))
     for _ in range(iters):
-        # ``fit`` has one row per distinct x, checked above.
-        rows = points.join(F.broadcast(fit), "x").selectExpr("x", "y", "abs(y - trend) AS r")
+        rows = materialize(points.join(fit, "x").selectExpr("x", "y", "abs(y - trend) AS r"))
         scale = exact_quantiles(rows, "r", [0.5]).selectExpr("6 * q0 AS s").scalar()
         share = "CASE WHEN scale > 0 THEN least(r / scale, 1D) ELSE double(r != 0) END"
-        weighted = rows.withColumn("scale", scale).selectExpr(
-            "x", "y", f"pow(1D - pow({share}, 2), 2) AS w"
-        )
+        weighted = rows.withColumn("scale", scale).selectExpr("x", "y", f"pow(1D - pow({share}, 2), 2) AS w")
         before = fit.withColumnRenamed("trend", "before")
-        fit = materialize(
-            _fit(_sums(weighted), neighbours)
-            .join(F.broadcast(before), "x", "left")
-            .selectExpr("x", "coalesce(trend, before) AS trend")
-        )
+        fit = fitted(weighted).join(before, "x", "left").selectExpr("x", "coalesce(trend, before) AS trend")
+        fit = materialize(fit)
     return fit

@@ -1,13 +1,17 @@
 """Whole plans: curated view, landed-to-enriched, pages and facets."""
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from rinkflow import fixed_values as fixed
 from rinkflow.plans import dashboard, enrichment
 from rinkflow.plans.catalog import landing
 from rinkflow.plans.catalog.joined import _wanted
-from rinkflow.plans.catalog.registry import plain, query
-from rinkflow.plans.catalog.standins import FULL, full_view, stored_view
-from rinkflow.plans.catalog.statistics import box_sql, histogram_sql
+from rinkflow.plans.catalog.registry import SQL, plain, query
+from rinkflow.plans.catalog.standins import FULL, full_view, stored_view, table
+from rinkflow.plans.catalog.statistics import box_sql, histogram_sql, lowess_steps
 from rinkflow.session import scratch_folder
 
 
@@ -36,13 +40,29 @@ MAIN = (
     "WITH " + FULL + """,
 chosen AS (SELECT * FROM full_view WHERE "Gender" IN ('Men', 'Women') AND "Distance" = 500),
 fences AS (SELECT quantile_cont("RaceTime", 0.25) AS a, quantile_cont("RaceTime", 0.75) AS b FROM chosen),
-""" + histogram_sql("chosen", '"TempIce"') + " " + " UNION ALL ".join([
+""" + histogram_sql("chosen", '"TempIce"') + "," + lowess_steps("chosen", '"TempIce"', '"RaceTime"') + """,
+points AS (
+  SELECT "TempIce", "RaceTime", "Name", "Stadium", CAST("Date" AS VARCHAR) AS "Date", "Race", "Year",
+    "RaceTime" < a - 1.5 * (b - a) OR "RaceTime" > b + 1.5 * (b - a) AS is_outlier FROM chosen, fences)
+""" + " UNION ALL ".join([
         long_sql("summary", "''", """SELECT count(*) AS n, round(avg("RaceTime"), 6) AS "mean_RaceTime",
           round(stddev_samp("RaceTime"), 6) AS "std_RaceTime", round(avg("TempIce"), 6) AS "mean_TempIce",
           round(stddev_samp("TempIce"), 6) AS "std_TempIce" FROM chosen""",
                  ["n", "mean_RaceTime", "std_RaceTime", "mean_TempIce", "std_TempIce"]),
         long_sql("outlier_count", "''", """SELECT count(*) AS n_outliers FROM chosen, fences
           WHERE "RaceTime" < a - 1.5 * (b - a) OR "RaceTime" > b + 1.5 * (b - a)""", ["n_outliers"]),
+        long_sql("outliers", """"Name" || '|' || "Stadium" || '|' || "Date" || '|' || "Race\"""",
+                 'SELECT "Name", "Stadium", "Date", "Race", round("RaceTime", 6) AS "RaceTime" FROM points WHERE is_outlier',
+                 ["RaceTime"]),
+        long_sql("scatter", """"Name" || '|' || "Stadium" || '|' || "Date\"""",
+                 """SELECT "Name", "Stadium", "Date", round("TempIce", 6) AS "TempIce", round("RaceTime", 6) AS "RaceTime",
+                 "Year", CAST(is_outlier AS INTEGER) AS is_outlier FROM points""",
+                 ["TempIce", "RaceTime", "Year", "is_outlier"]),
+        long_sql("export", """"Name" || '|' || "Stadium" || '|' || "Date" || '|' || "Race\"""",
+                 """SELECT "Name", "Stadium", CAST("Date" AS VARCHAR) AS "Date", "Race", round("RaceTime", 6) AS "RaceTime",
+                 round("SeasonalBest", 6) AS "SeasonalBest", round("TempIce", 6) AS "TempIce" FROM chosen""",
+                 ["RaceTime", "SeasonalBest", "TempIce"]),
+        long_sql("trend", "''", "SELECT round(x, 6) AS x, round(trend, 6) AS trend FROM f3", ["x", "trend"]),
         long_sql("time_by_year", 'CAST("Year" AS VARCHAR)',
                  'SELECT "Year", ' + box_sql('"RaceTime"') + " FROM chosen GROUP BY 1", _BOX_NAMES),
         long_sql("ice_histogram", "CAST(bin AS VARCHAR)",
@@ -63,11 +83,18 @@ fences AS (SELECT quantile_cont("RaceTime", 0.25) AS a, quantile_cont("RaceTime"
 
 @query(MAIN)
 def q3_main_page(spark, folder):
-    """All single-value and per-group figures of the main page, 500 m."""
+    """All figures of the main page and its export, 500 m."""
     view = stored_view(spark, folder)
-    figures = dashboard.main_figures(view, trend=False)
+    figures = dashboard.main_figures(view)
+    path = scratch_folder(spark)
+    dashboard.export_main_selection(view, path)
+    exported = spark.read.option("header", "true").csv(path)
+    row = ["Name", "Stadium", "Date", "Race"]
+    figures["export"] = exported.select(*row, "RaceTime", "SeasonalBest", "TempIce")
+    figures["outliers"] = figures["outliers"].select(*row, "RaceTime")
     parts = {
-        "summary": None, "outlier_count": None, "time_by_year": "Year", "ice_histogram": "bin",
+        "summary": None, "outlier_count": None, "outliers": row, "scatter": row[:3], "export": row, "trend": None,
+        "time_by_year": "Year", "ice_histogram": "bin",
         "ice_box": None, "time_by_stadium": "Stadium", "stadium_order": "Stadium",
         "ice_by_stadium": "Stadium",
     }
@@ -82,11 +109,14 @@ line AS (SELECT round(regr_slope("Prediction", "RaceTime"), 4) AS slope,
 """ + " UNION ALL ".join([
     long_sql("count", "''", "SELECT count(*) AS n FROM chosen", ["n"]),
     long_sql("trend", "''", "SELECT * FROM line", ["slope", "intercept", "r2", "n"]),
+    long_sql("points", """"Name" || '|' || "Gender\"""",
+             'SELECT "Name", "Gender", round("RaceTime", 4) AS "RaceTime", round("Prediction", 4) AS "Prediction" FROM chosen',
+             ["RaceTime", "Prediction"]),
 ]))
 def q4_prediction_page(spark, folder):
     view = stored_view(spark, folder)
     figures = dashboard.prediction_figures(view, 1000, countries=["Land_0", "Land_1"])
-    return plain(dashboard.as_long_form(figures, {"count": None, "trend": None}))
+    return plain(dashboard.as_long_form(figures, {"count": None, "trend": None, "points": ["Name", "Gender"]}))
 
 
 @query("WITH " + FULL + """
@@ -95,23 +125,33 @@ UNION ALL
 SELECT 'stadium kept', "Stadium" FROM full_view WHERE "RinkCountry" = 'Land_1'
   AND "Stadium" IN ('Rink_1', 'Rink_2') GROUP BY ALL
 UNION ALL
+SELECT 'fallback', 'All' WHERE NOT EXISTS (FROM full_view WHERE "RinkCountry" = 'Land_1' AND "Stadium" = 'Rink_0')
+UNION ALL
 SELECT 'athlete option', "Name" FROM full_view
 WHERE "Gender" = 'Women' AND "Distance" = 3000 AND "Year" BETWEEN 1995 AND 1997 AND "Stadium" = 'Rink_4'
+GROUP BY ALL
+UNION ALL
+SELECT 'athlete kept', "Name" FROM full_view
+WHERE "Gender" = 'Women' AND "Distance" = 3000 AND "Year" BETWEEN 1995 AND 1997 AND "Stadium" = 'Rink_4'
+  AND "Name" IN (SELECT c_name FROM customer WHERE c_custkey % 3 = 0)
 GROUP BY ALL""")
 def q5_cascading_facets(spark, folder):
     view = stored_view(spark, folder)
     stadiums, kept = dashboard.stadium_facet(view, ["Land_1"], _wanted(spark, ["Rink_1", "Rink_2"]))
-    athletes, _ = dashboard.athlete_facet(
-        view, gender=["Women"], distance=3000, years=(1995, 1997), stadiums=["Rink_4"]
+    _, fallback = dashboard.stadium_facet(view, ["Land_1"], _wanted(spark, ["Rink_0"]), fixed.ALL_STADIUMS)
+    chosen = table(spark, folder, "customer").where("c_custkey % 3 = 0").select(F.col("c_name").alias("Name"))
+    athletes, athletes_kept = dashboard.athlete_facet(
+        view, chosen, gender=["Women"], distance=3000, years=(1995, 1997), stadiums=["Rink_4"]
     )
     labelled = [
         df.select(F.lit(kind).alias("kind"), F.col(col).alias("value"))
         for kind, df, col in (
             ("stadium option", stadiums, "Stadium"), ("stadium kept", kept, "Stadium"),
-            ("athlete option", athletes, "Name"),
+            ("fallback", fallback, "Stadium"), ("athlete option", athletes, "Name"),
+            ("athlete kept", athletes_kept, "Name"),
         )
     ]
-    return labelled[0].union(labelled[1]).union(labelled[2])
+    return reduce(DataFrame.union, labelled)
 
 
 _LANDED = """
@@ -171,4 +211,33 @@ def q2_enriched_conditions(spark, folder):
     """Landed documents to conditions with outdoor weather."""
     path = landing.landing_folder(spark, folder, scratch_folder(spark))
     _, conditions = enrichment.read_and_enrich(spark, path)
-    return plain(conditions)
+    return plain(enrichment.final_conditions(conditions))
+
+
+def _loaded_sql(kind, sql, columns):
+    texts = ", ".join(f"coalesce(CAST({c} AS VARCHAR), '')" for c in columns)
+    return f"SELECT '{kind}' AS kind, concat_ws('|', {texts}) AS row FROM ({sql})"
+
+
+_RESULT_TEXTS = [f'"{c}"' for c in fixed.RESULT_COLUMNS] + ["printf('%.2f', \"SeasonalBest\")", '"EstimatedTFM"', '"EstimatedTFMBuffer"']
+_CONDITION_TEXTS = [
+    f'"{c}"' for c in ("Stadium", "Date", "Event", "Race", "Country", "Distance", "Occasion", "Time", "TempIndoors",
+                       "IceTemperature", "Humidity", "TempOutdoors", "AirpressureSurface", "AirpressureSealevel")
+]
+
+
+@query(
+    _loaded_sql("results", SQL["q2_enriched_results"], _RESULT_TEXTS) + " UNION ALL "
+    + _loaded_sql("conditions", SQL["q2_enriched_conditions"].replace("round(o_totalprice + p, 4)", "o_totalprice + p"), _CONDITION_TEXTS)
+)
+def q2_loaded_tables(spark, folder):
+    """The whole workflow: landed documents, landed a second time, to both text tables, read back."""
+    path = landing.landing_folder(spark, folder, scratch_folder(spark))
+    landing.landing_folder(spark, folder, path, again=True)
+    names = "rinkflow_results", "rinkflow_conditions"
+    enrichment.load_tables(*enrichment.read_and_enrich(spark, path), scratch_folder(spark), names)
+    rows = [
+        spark.table(name).select(F.lit(kind).alias("kind"), F.concat_ws("|", "*").alias("row"))
+        for kind, name in zip(("results", "conditions"), names)
+    ]
+    return rows[0].union(rows[1])

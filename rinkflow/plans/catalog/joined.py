@@ -152,6 +152,50 @@ def j5_resolve_entities(spark, folder):
     return identity.resolve_entities(*_registry(spark, folder))
 
 
+def _crowd(spark, folder):
+    """Every part as a skater of one country, in eight families, and twice in the registry; misspelt in six ways."""
+    parts = table(spark, folder, "part")
+    digits = F.lpad(F.col("p_partkey").cast("string"), 7, "0")
+    letters = F.translate(digits, "0123456789", "abcdefghij")
+    given = F.regexp_replace(letters, "(.)", "$1$1$1")
+    family = F.split_part("p_name", F.lit(" "), F.lit(2))
+    rows = parts.select("p_partkey", given.alias("given"), family.alias("family"))
+    places = F.array(F.col("p_partkey"), F.col("p_partkey") + 100_000_000)
+    registry = rows.select(
+        F.col("given").alias("givenname"), F.col("family").alias("familyname"), F.lit("P").alias("country"),
+        F.explode(places).alias("pos"),
+    ).withColumn("id", F.col("pos").cast("string"))
+    way = F.col("p_partkey") % 6
+    asked = (
+        F.when(way == 1, F.concat("given", F.lit("x")))
+        .when(way == 2, F.concat(F.substring("given", 1, 9), F.lit("xxxx"), F.substring("given", 10, 12)))
+        .when(way == 3, F.concat("given", F.lit("xxxxx")))
+        .when(way == 5, F.concat(F.substring("given", 1, 9), F.lit("yyy"), F.substring("given", 13, 9)))
+        .otherwise(F.col("given"))
+    )
+    other = F.when(way == 4, F.concat(F.substring("family", 1, 4), F.lit("qq"))).otherwise(F.col("family"))
+    return rows.select(F.concat_ws("_", asked, other).alias("Name"), F.lit("p").alias("Country")), registry
+
+
+# Given names have 21 letters, three for each digit of a key, so two of them share at most 18 in order:
+# 36/42 is not above 0.9. With one or four letters inserted it is 42/43 or 42/46, with five 42/47, and
+# with three replaced 36/42. Families in the fourth way are found by their first four letters alone.
+@query("""
+WITH asked AS (
+  SELECT p_partkey AS k, split_part(p_name, ' ', 2) AS f, p_partkey % 6 AS way,
+    regexp_replace(translate(lpad(CAST(p_partkey AS VARCHAR), 7, '0'), '0123456789', 'abcdefghij'), '(.)', '\\1\\1\\1', 'g') AS g
+  FROM part)
+SELECT CASE way WHEN 1 THEN g || 'x' WHEN 2 THEN g[1:9] || 'xxxx' || g[10:21] WHEN 3 THEN g || 'xxxxx'
+    WHEN 5 THEN g[1:9] || 'yyy' || g[13:21] ELSE g END
+    || '_' || CASE WHEN way = 4 THEN f[1:4] || 'qq' ELSE f END AS "Name",
+  'p' AS "Country",
+  CASE WHEN way IN (0, 1, 2) OR way = 4 AND length(f) >= 4 THEN CAST(k AS VARCHAR) END AS id
+FROM asked""")
+def j5_resolve_crowded(spark, folder):
+    """Families of hundreds of skaters, each name looked up among all of them."""
+    return identity.resolve_entities(*_crowd(spark, folder))
+
+
 @query("""
 SELECT c_nationkey AS block, min_by(CAST(c_custkey AS VARCHAR), c_custkey) FILTER (c_acctbal > 5000) AS id
 FROM (SELECT * FROM customer QUALIFY row_number() OVER (PARTITION BY c_nationkey ORDER BY c_custkey) <= 10)

@@ -277,17 +277,49 @@ def race_weather(spark, folder):
     )
 
 
-def landing_folder(spark, folder, path):
-    """Write all document kinds under ``path``."""
+def _stale(spark, folder, path):
+    """Earlier versions of some documents: other events, titles, measures and times."""
+    details = race_details(spark, folder).where("schedule_number % 3 = 0")
+    details = details.withColumn("conditions", F.transform("conditions", lambda c: c.withField("airTemperature", F.lit(99.0))))
+    details.write.json(f"{path}/competition_details")
+    results = race_results(spark, folder).where(F.crc32("value") % 4 == 0)
+    write_text_documents(results.withColumn("value", F.regexp_replace("value", ",5\"", ",9\"")), f"{path}/competition_results")
+    listed = race_competitions(spark, folder).withColumn(
+        "competitions", F.transform("competitions", lambda c: c.withField("title", F.lit("500m Old")))
+    )
+    listed.write.json(f"{path}/competitions")
+    event_details(spark, folder).withColumn("name", F.lit("Old")).write.json(f"{path}/event_details")
+
+
+def landing_folder(spark, folder, path, again=False):
+    """Write all document kinds under ``path``, after earlier versions of some; ``again``: once more as they are."""
+    if not again:
+        _stale(spark, folder, path)
     pages = table(spark, folder, "customer").select(
         F.to_json(F.array(F.struct(_event_id("c_custkey").alias("isuId")))).alias("value")
     )
-    write_text_documents(pages, f"{path}/event_pages")
-    write_text_documents(race_results(spark, folder), f"{path}/competition_results")
+    # Some events are listed twice.
+    pages = pages.union(pages.where(F.crc32("value") % 3 == 0))
+    pages.write.mode("append").text(f"{path}/event_pages")
+    race_results(spark, folder).write.mode("append").text(f"{path}/competition_results")
     for name, documents in (
         ("event_details", event_details), ("competitions", race_competitions),
         ("competition_details", race_details), ("skaters", race_skaters),
         ("season_bests", season_bests), ("weather", race_weather),
     ):
-        documents(spark, folder).write.json(f"{path}/{name}")
+        documents(spark, folder).write.mode("append").json(f"{path}/{name}")
     return path
+
+
+def loose_results(spark, folder):
+    """Results of an order with numbers as text, decimals or not at all; some are cut short, some lack a key."""
+    key = F.col("o_orderkey")
+    text = F.format_string(
+        '{"event_id":%s,"schedule_number":"%d","results":[{"rank":%s,"time":"36,5","startNumber":"%d",'
+        '"competitor":{"number":%d,"skater":{"firstName":"A","lastName":"B"}}}]}',
+        F.when(key % 11 == 0, "null").otherwise(F.format_string('"E%d"', key)), key,
+        F.when(key % 3 == 0, F.format_string('"%d"', key % 50)).when(key % 3 == 1, F.format_string("%d.0", key % 50)).otherwise('"DNF"'),
+        key % 9, key,
+    )
+    cut = F.when(key % 7 == 0, F.expr("substring(value, 1, length(value) - 9)")).otherwise(F.col("value"))
+    return table(spark, folder, "orders").withColumn("value", text).select(cut.alias("value"))

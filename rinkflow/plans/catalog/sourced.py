@@ -73,6 +73,28 @@ def s5_explode_results(spark, folder):
     return plain(landed_json.flatten_results(landed_json.explode_results(documents)))
 
 
+@query("""
+SELECT 'E' || k AS event_id, k AS schedule_number, CASE WHEN k % 3 < 2 THEN k % 50 END AS "Rank",
+  CAST(k AS VARCHAR) AS "Nr", k % 9 AS "Pair"
+FROM (SELECT o_orderkey AS k FROM orders) WHERE k % 7 <> 0 AND k % 11 <> 0""")
+def s5_loose_types(spark, folder):
+    """Numbers that landed as text or decimals."""
+    path = landing.write_text_documents(landing.loose_results(spark, folder), scratch_folder(spark))
+    documents = landed_json.read_competition_results(spark, path)
+    rows = landed_json.flatten_results(landed_json.explode_results(documents))
+    return plain(rows.select("event_id", "schedule_number", "Rank", "Nr", "Pair"))
+
+
+@query("""
+SELECT 'competition_results' AS kind, CASE WHEN k % 7 = 0 THEN 'damaged' ELSE 'without key' END AS reason,
+  count(*) AS n FROM (SELECT o_orderkey AS k FROM orders) WHERE k % 7 = 0 OR k % 11 = 0 GROUP BY ALL""")
+def s2_rejected_documents(spark, folder):
+    """Documents that give no rows, by reason."""
+    path = landing.write_text_documents(landing.loose_results(spark, folder), scratch_folder(spark))
+    rejects = landed_json.rejected_documents(spark, path, "competition_results")
+    return plain(rejects.where("file IS NOT NULL AND document IS NOT NULL").groupBy("kind", "reason").agg(F.count("*").alias("n")))
+
+
 def _table_rows(spark, folder):
     return races(spark, folder).select(
         "Stadium", "Date", "Event", "Race", F.col("Pair").alias("Rank"),

@@ -122,10 +122,10 @@ def a9_linear_trend(spark, folder):
     )
 
 
-def lowess_sql(rounds=3):
-    """One pair of statements per round: sums per x, then the lines at every x."""
-    steps = [RACES, """
-w0 AS (SELECT "SeasonalBest" AS x, "RaceTime" AS y, 1.0::DOUBLE AS w FROM races),
+def lowess_steps(source, x, y, rounds=3):
+    """CTEs f0 to f<rounds> (x, trend): one pair per round, the sums per x, then the lines at every x."""
+    steps = [f"""
+w0 AS (SELECT {x} AS x, {y} AS y, 1.0::DOUBLE AS w FROM {source}),
 dense AS (SELECT x, count(*) AS n FROM w0 GROUP BY 1),
 reach AS (
   SELECT a.x, abs(p.x - a.x) AS d,
@@ -150,14 +150,20 @@ r{i} AS (SELECT x, y, abs(y - trend) AS r FROM w{i} JOIN f{i} USING (x)),
 w{i + 1} AS (
   SELECT x, y, pow(1 - pow(least(r / (SELECT 6 * quantile_cont(r, 0.5) FROM r{i}), 1), 2), 2) AS w
   FROM r{i})""")
-    return "WITH " + ",".join(steps) + f" SELECT x, round(trend, 4) AS trend FROM f{rounds}"
+    return ",".join(steps)
 
 
-@query(lowess_sql())
+@query("WITH " + RACES + "," + lowess_steps("races", '"SeasonalBest"', '"RaceTime"') + " SELECT x, round(trend, 4) AS trend FROM f3")
 def a10_lowess_trend(spark, folder):
     return plain(lowess_trend(races(spark, folder), "SeasonalBest", "RaceTime"))
 
 
+@query()
+def a10_lowess_trend_continuous(spark, folder):
+    """Quantity by extended price, which hardly repeats: too many distinct x for SQL."""
+    return plain(lowess_trend(table(spark, folder, "lineitem"), "l_extendedprice", "l_quantity"))
+
+
 @query("WITH " + CONDITIONS + """,
 marks AS (SELECT year("Date") AS batch, 1 AS r, 0 AS c FROM races
           UNION ALL SELECT year("Date"), 0, 1 FROM conditions)

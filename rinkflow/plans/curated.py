@@ -1,10 +1,10 @@
 """The joined, cleaned and scored analysis view."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from rinkflow import fixed_values as fixed
-from rinkflow.functions.model import fix_ice_sign, model_denominator, model_term
+from rinkflow.functions.model import fix_ice_sign, model_denominator, model_term, performance_difference
 from rinkflow.functions.numbers import day_first_date, rounded
 from rinkflow.functions.text import gender_num
 from rinkflow.operators import clean, joins, stats
@@ -17,7 +17,13 @@ def typed_date(df: DataFrame, col="Date"):
 
 
 def first_conditions(conditions: DataFrame, order=None):
-    """The first start measurement of each race, without the ``order`` columns."""
+    """The first start measurement of each race, without the ``order`` columns.
+
+    By default measurements are in the order in which they landed, if they
+    carry it (`fixed.INGEST_ORDER`).
+    """
+    if order is None and set(fixed.INGEST_ORDER) <= set(conditions.columns):
+        order = fixed.INGEST_ORDER
     start = clean.occasion_filter(conditions)
     return clean.first_per_key(start, fixed.RACE_KEY, order).drop(*(order or []))
 
@@ -43,13 +49,15 @@ def curated_view(results: DataFrame, conditions: DataFrame, order=None):
     """The view all analyses start from.
 
     The correction of the differences looks at the whole joined view, before
-    implausible times go.  ``order`` names the condition columns that decide
-    which measurement of a race is first; they are not kept.  The joined view is
-    evaluated twice: ``results`` should be a stored table, and the conditions,
-    once reduced to a row per race, are stored here.
+    implausible times go: that view is written once, and its least difference
+    is observed as it is written.  ``order`` names the condition columns that decide
+    which measurement of a race is first; they are not kept.
     """
-    view = joined_view(results, materialize(first_conditions(conditions, order)))
-    view = stats.add_corrected_difference(view)
+    view = joined_view(results, first_conditions(conditions, order))
+    view = view.withColumn("Difference", performance_difference("SeasonalBest", "RaceTime"))
+    seen = Observation()
+    view = materialize(view.observe(seen, F.min("Difference").alias("least")))
+    view = view.withColumn("CorrectedDifference", stats.corrected("Difference", F.lit(seen.get["least"]).cast("double")))
     view = typed_date(view).withColumns(
         {
             "TempIce": fix_ice_sign("TempIce"),
@@ -61,5 +69,11 @@ def curated_view(results: DataFrame, conditions: DataFrame, order=None):
 
 
 def store_view(view: DataFrame):
-    """The view as Parquet, one folder per distance: every selection names one."""
-    return materialize(view, ["Distance"])
+    """The view as Parquet, one folder per distance: every selection names one.
+
+    Within it rows are ordered by year and stadium, in ranges, so that files and
+    row groups outside a selection are not read; a large distance spreads over
+    many tasks.
+    """
+    layout = ["Distance", "Year", "Stadium"]
+    return materialize(view.repartitionByRange(*layout, "Date", "Race").sortWithinPartitions(*layout), ["Distance"])

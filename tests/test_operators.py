@@ -1,4 +1,5 @@
 import random
+import re
 from collections import defaultdict
 
 import numpy as np
@@ -93,6 +94,32 @@ def test_exact_quantiles_against_numpy(spark, accuracy):
         assert [r[f"q{i}"] for i in range(5)] == pytest.approx(list(np.quantile(values, probabilities)))
 
 
+@pytest.mark.parametrize("bins", [2, 3, 64, 1 << 13])
+def test_exact_quantiles_of_awkward_values(spark, bins):
+    """Ties, one far value, sorted input, both signs, near-equal doubles, denormals and infinities."""
+    rng = np.random.default_rng(2)
+    groups = {
+        "ties": np.repeat([1.0, 2.0, 2.0, 3.0], 50),
+        "far": np.append(rng.uniform(0, 1e-9, 99), 1e300),
+        "sorted": np.arange(-500, 500) / 3,
+        "near": 1 + np.arange(300) * 2.0**-52,
+        "geometric": np.append(2.0 ** np.arange(-1074, 1000, 9), -(2.0 ** np.arange(-1074, 1000, 11))),
+        "cluster": 1 + 2.0 ** -np.arange(1, 53),
+        "infinite": np.array([-np.inf, -1.0, 0.0, -0.0, 5e-324, np.inf, np.inf]),
+        "zero": np.zeros(9),
+    }
+    data = [(g, float(v)) for g, vs in groups.items() for v in vs]
+    df = spark.createDataFrame(data, "g string, v double").repartition(3)
+    for r in quantiles.exact_quantiles(df, "v", [0.0, 0.25, 0.5, 1.0], ["g"], bins).collect():
+        values = np.sort(groups[r.g])
+        for p, got in zip([0.0, 0.25, 0.5, 1.0], (r.q0, r.q1, r.q2, r.q3)):
+            at = p * (len(values) - 1)
+            low, high = values[int(np.floor(at))], values[int(np.ceil(at))]
+            with np.errstate(invalid="ignore"):
+                expected = low + (high - low) * (at - np.floor(at))
+            assert got == expected or np.isnan(got) and np.isnan(expected)
+
+
 def test_quantiles_of_nothing(spark):
     df = spark.createDataFrame([], "v double")
     assert rows(quantiles.exact_quantiles(df, "v", [0.5])) == []
@@ -283,6 +310,61 @@ def test_resolution_golden(spark):
     assert len(found) == len(RESOLVED) and {(r.Name, r.Country): r.id for r in found} == RESOLVED
 
 
+def plain_resolution(names, registry, limit=None):
+    """The rules, one registry row after the other."""
+    from difflib import SequenceMatcher
+
+    letters = lambda v: re.sub("[^a-z]", "", (v or "").lower())
+
+    def alike(a, b):
+        if not a or not b or abs(len(a) - len(b)) > 0.2 * max(len(a), len(b)):
+            return False
+        return SequenceMatcher(None, a, b).ratio() > 0.9
+
+    out = {}
+    for name, country in names:
+        given, _, family = name.partition("_")
+        found = None
+        lookups = [(letters(family), letters(family))]
+        if len(family) >= 4:
+            lookups.append((letters(family[:4]), letters(family)[:4]))
+        for block, start in lookups:
+            rows = [r for r in registry if (r[3] or "").upper() == country.upper() and letters(r[2]).startswith(block)]
+            rows.sort(key=lambda r: (r[4], r[0]))
+            rows = [r for r in rows[:limit] if letters(r[2]).startswith(start) and alike(letters(r[1]), letters(given))]
+            if rows and found is None:
+                found = rows[0][0]
+        out[name, country] = found
+    return out
+
+
+@pytest.mark.parametrize("limit", [None, 10, 3])
+def test_resolution_against_the_rules(spark, limit):
+    """Names of 1 to 30 letters, edited at random, in crowded families."""
+    rng = random.Random(limit)
+    word = lambda n: "".join(rng.choice("abcde") for _ in range(n))
+    givens = [word(rng.choice([1, 3, 5, 6, 8, 11, 12, 16, 21, 30])) for _ in range(60)]
+    families = ["Berg", "Bergsma", "Bergstra", "Ber", "O'Br", "de Vries", ""]
+    registry = [(str(i), rng.choice(givens), rng.choice(families), rng.choice(["n", "N", "B"]), i // 2) for i in range(300)]
+
+    def edited(v):
+        v = list(v)
+        for _ in range(rng.choice([0, 0, 1, 1, 2, 3, 4])):
+            at = rng.randrange(len(v) + 1)
+            v[at : at + rng.choice([0, 1])] = rng.choice(["", "a", "z", "É"])
+        return "".join(v)
+
+    names = {(f"{edited(rng.choice(givens))}_{rng.choice([*families, 'Bergx', 'Bergsmaa', 'Xx'])}", rng.choice("Nn")) for _ in range(300)}
+    expected = plain_resolution(names, registry, limit)
+    got = identity.resolve_entities(
+        spark.createDataFrame(sorted(names), "Name string, Country string"),
+        spark.createDataFrame(registry, "id string, givenname string, familyname string, country string, pos int"),
+        candidates=limit,
+    )
+    assert {(r.Name, r.Country): r.id for r in got.collect()} == expected
+    assert len({v for v in expected.values() if v}) > 10
+
+
 def test_first_match_looks_at_ten(spark):
     df = spark.createDataFrame([("b", i, str(i), i in (11, 12)) for i in range(20)], "block string, pos int, id string, yes boolean")
     assert identity.first_match(df, ["block"], ["pos"], F.col("yes")).count() == 0

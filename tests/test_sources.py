@@ -1,4 +1,5 @@
 import json
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -46,9 +47,39 @@ def test_results_list_object_and_invalid(spark, tmp_path):
         (1, "Jörg_van_Dam", "Men", 2, None), (2, "Jörg_van_Dam", "Men", 2, None)]
 
 
-def test_damaged_document_becomes_nulls(spark, tmp_path):
-    path = put(tmp_path / "d", ['{"event_id": "a", "name"', {"event_id": "b", "name": "N"}])
-    assert {r.event_id: r.event_name for r in landed_json.read_event_details(spark, path).collect()} == {None: None, "b": "N"}
+def test_damaged_documents_are_rejected(spark, tmp_path):
+    path = put(tmp_path / "d", ['{"event_id": "a", "name"', {"event_id": "b", "name": "N"}, {"name": "no key"}, "", "[1]"])
+    assert {r.event_id: r.event_name for r in landed_json.read_event_details(spark, path).collect()} == {"b": "N"}
+    rejected = landed_json.rejected_documents(spark, path, "event_details").collect()
+    assert sorted((r.reason, r.document) for r in rejected if r.document != "[1]") == [
+        ("damaged", '{"event_id": "a", "name"'), ("without key", '{"name": "no key"}')]
+    assert len(rejected) == 3 and all(r.file.endswith("/d/part.json") for r in rejected)
+
+
+def test_numbers_as_text_and_last_versions(spark, tmp_path):
+    result = lambda time: {"rank": "1", "time": time, "startNumber": "3", "competitor": {"skater": {"firstName": "A"}}}
+    folder = tmp_path / "r"
+    put(folder, [{"event_id": "e", "schedule_number": "2", "results": [result("1")]}], "b.json")
+    time.sleep(0.05)
+    put(folder, [{"event_id": "e", "schedule_number": 2.0, "results": result("2")}, {"event_id": "e", "schedule_number": "x"}], "a.json")
+    documents = landed_json.read_latest_results(spark, str(folder))
+    rows = landed_json.flatten_results(landed_json.explode_results(documents)).collect()
+    assert [(r.schedule_number, r.Rank, r.Pair, r.Time) for r in rows] == [(2, 1, 3, "2")]
+
+
+def test_each_document_is_parsed_once(spark, tmp_path):
+    """Both outputs come from one stored table of nested races."""
+    from rinkflow.plans.catalog.landing import landing_folder
+
+    folder = landing_folder(spark, "/root/testdata/sf0.001", str(tmp_path / "landing"))
+    results, conditions = enrichment.read_and_enrich(spark, folder)
+    for df in (results, conditions):
+        text = df._jdf.queryExecution().optimizedPlan().toString()
+        assert text.count("from_json(") + text.count("jsontostructs(") <= 1  # season bests or weather
+    before = sorted(map(str, results.collect())), sorted(map(str, conditions.collect()))
+    landing_folder(spark, "/root/testdata/sf0.001", folder, again=True)
+    after = enrichment.read_and_enrich(spark, folder)
+    assert before == tuple(sorted(map(str, df.collect())) for df in after)
 
 
 def test_csv_round_trip(spark, tmp_path):
@@ -67,7 +98,26 @@ def test_failed_load_leaves_old_table(spark, tmp_path):
         tables.save_text_table(broken, "kept", folder)
     assert spark.table("kept").columns == ["A_B", "C"]
     assert [tuple(r) for r in spark.table("kept").collect()] == [("1", "")]
+    with pytest.raises(ValueError, match="distinct"):
+        tables.save_text_table(spark.createDataFrame([(1, 2)], "`a b` int, `A_B` int"), "kept", folder)
     assert tables.save_text_table(spark.range(2), "kept", folder) == 2
+    assert tables.save_text_table(spark.range(2).where("id > 5"), "kept", folder) == 0
+
+
+def test_load_takes_effect_at_the_switch_only(spark, tmp_path, monkeypatch):
+    folder = str(tmp_path / "switch")
+    tables.save_text_table(spark.range(3), "switched", folder)
+
+    def stop(*_):
+        raise RuntimeError("before the switch")
+
+    with monkeypatch.context() as patched:
+        patched.setattr(tables, "_point_at", stop)
+        with pytest.raises(RuntimeError, match="before the switch"):
+            tables.save_text_table(spark.range(9), "switched", folder)
+    assert spark.table("switched").count() == 3
+    assert tables.save_text_table(spark.range(9), "switched", folder) == 9
+    assert spark.table("switched").count() == 9
 
 
 def test_legacy_layout(spark):

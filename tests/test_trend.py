@@ -51,10 +51,43 @@ def test_flat_and_empty(spark):
     assert trend.lowess_trend(df.where("x > 5"), "x", "y").count() == 0
 
 
-def test_many_distinct_x_need_a_grid(spark):
-    df = spark.range(trend.MAX_DISTINCT_X + 1).selectExpr("double(id) AS x", "2 * double(id) + 1 AS y")
-    with pytest.raises(ValueError, match="grid"):
-        trend.lowess_trend(df, "x", "y")
-    got = trend.lowess_trend(df, "x", "y", grid=50).orderBy("x").collect()
-    assert len(got) == 50
-    assert got[25].trend == pytest.approx(2 * got[25].x + 1, rel=0.01)
+@pytest.mark.parametrize("shape", ["even", "clumps", "far", "ties"])
+@pytest.mark.parametrize("frac,iters,block_rows", [(2 / 3, 3, 40), (0.1, 2, 7), (0.01, 1, 50), (1.0, 1, 1000)])
+def test_many_distinct_x_in_blocks(spark, shape, frac, iters, block_rows):
+    """Windows over many blocks, within one, and moving fast over some and slowly over others."""
+    rng = np.random.default_rng(4)
+    n = 700
+    x = {
+        "even": rng.uniform(-3, 3, n),
+        "clumps": np.concatenate([rng.normal(c, s, n // 4) for c, s in ((0, 1e-3), (0, 1), (50, 2), (51, 1e-2))]),
+        "far": np.concatenate([rng.normal(0, 1, n - 4), [1e6, -1e5, 3e5, 3e5]]),
+        "ties": np.concatenate([np.repeat(rng.normal(0, 1, 4), 100), np.round(rng.normal(0, 1, n - 400), 2)]),
+    }[shape]
+    y = np.sin(x) * 5 + 100 + rng.normal(0, 1, n)
+    y[:9] += 60
+    df = spark.createDataFrame(list(zip(x.tolist(), y.tolist())), "x double, y double").repartition(5)
+    got = {r.x: r.trend for r in trend.lowess_trend(df, "x", "y", frac, iters, block_rows).collect()}
+    expected = plain_lowess(x, y, frac, iters)
+    assert sorted(got) == sorted(expected)
+    assert [got[k] for k in sorted(got)] == pytest.approx([expected[k] for k in sorted(expected)], rel=1e-7)
+
+
+def test_a_straight_line_stays_and_odd_values_do_not_count(spark):
+    df = spark.range(3000).selectExpr("id / 7D AS x", "2 * (id / 7D) + 1 AS y")
+    odd = spark.createDataFrame([(float("inf"), 1.0), (2.0, float("nan")), (1.0, None)], "x double, y double")
+    got = trend.lowess_trend(df.union(odd), "x", "y", block_rows=256).collect()
+    assert len(got) == 3000
+    assert [r.trend for r in got] == pytest.approx([2 * r.x + 1 for r in got])
+
+
+def test_pairs_of_blocks_stay_few(spark):
+    """At most two for each block, however fast the windows move."""
+    rng = np.random.default_rng(1)
+    x = np.concatenate([rng.normal(0, 1e-6, 2000), np.linspace(-9, 9, 2000)])
+    points = spark.createDataFrame([(float(v),) for v in x], "x double")
+    index = trend._Index(points, 100)
+    requests = trend._window_parts(index, trend._widths(index, 2600))
+    blocks = len(index.first)
+    assert blocks == 40
+    assert trend._pairs(requests).count() <= blocks + 2 * 2 * blocks
+    assert requests.count() <= 3 * index.distinct
