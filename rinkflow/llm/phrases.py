@@ -25,10 +25,12 @@ TOP = 2000
 #: A phrase goes if a longer one around it has this percentage of its count.
 SWALLOWED_PERCENT = 50
 #: Bytes of text whose grams are counted together before they are shuffled.
-BLOCK = 8 << 20
+BLOCK = 4 << 20
+#: Buckets of nodes: a block sends at most one row to each, whatever the number of tasks.
+BUCKETS = 1 << 14
 #: Bytes of text per task that adds counts up; beyond MOST_TASKS tasks get larger and spill.
 TEXT_PER_TASK = 8 << 20
-MOST_TASKS = 20_000
+MOST_TASKS = BUCKETS
 
 _BREAKS = b".,;:!?\n\v\f\r"
 _MACHINE = S.Machine(apart=b" \t" + _BREAKS, symbols=_BREAKS)
@@ -43,45 +45,52 @@ def _words_as_strings(data, starts, lengths):
     return pa.StringArray.from_buffers(len(starts), *buffers[1:])
 
 
-def _block_grams(data, offsets, langs, longest):
-    """(language, node, its continuations) of a block of texts; see `_grams`."""
+def _block_grams(data, offsets, langs, longest, buckets):
+    """(language, bucket, lines) of a block of texts; see `_grams`."""
     data = _LOWER[data]
     said = _MACHINE.run(data, offsets)
     starts, lengths, row = _MACHINE.words(data, offsets, said)
     if not len(starts):
         return
-    owners, word = S.Table(data, starts, lengths, langs[row]).entries()
+    table = S.Table(data, starts, lengths, langs[row])
+    owners, word = table.entries()
     strings = _words_as_strings(data, starts[owners], lengths[owners])
-    lang_of = langs[row[owners]]
+    hashes, lang_of = table.hashes[owners], langs[row[owners]]
     # The word after a word is 0 at the end of a piece, else its number + 1.
     broken = np.searchsorted(np.flatnonzero(said & S.SYMBOL), starts)
     follows = (row[1:] == row[:-1]) & (broken[1:] == broken[:-1])
-    number = word + 1
     n = len(word)
     left = np.zeros(n, np.int64)  # words left in the piece, up to `longest`
     for k in range(1, longest):
         reach = np.zeros(n, bool)
         reach[:-1] = follows & (left[1:] >= k - 1)
         left[reach] = k
-    padded = np.append(number, np.zeros(longest, np.int64))
+    padded = np.append(word + 1, np.zeros(longest, np.int64))
     after = lambda k: np.where(left >= k, padded[k : k + n], 0)
+    del table, said, starts, lengths, row, broken, follows
     base = len(owners) + 1
-    key, texts, first = word, strings, np.arange(len(owners))
+    words = lambda number: strings.take(pa.array(number - 1, mask=number == 0))
+    key, texts, lang, marks = word, strings, lang_of, hashes
     for k in range(1, longest - 1):
         pairs, key = np.unique(key * base + after(k), return_inverse=True)
-        before, next_word = pairs // base, pairs % base
-        next_text = strings.take(pa.array(next_word - 1, mask=next_word == 0))
-        texts = pc.binary_join_element_wise(texts.take(pa.array(before)), next_text, " ", null_handling="skip")
-        first = first[before]
+        before, number = pairs // base, pairs % base
+        texts = pc.binary_join_element_wise(texts.take(pa.array(before)), words(number), " ", null_handling="skip")
+        lang = lang[before]
+        with np.errstate(over="ignore"):
+            marks = W.mix(marks[before] + np.where(number > 0, hashes[number - 1], np.uint64(k)))
     edges, counts = np.unique(key * base + after(longest - 1), return_counts=True)
-    node, next_word = edges // base, edges % base
-    token = pc.fill_null(strings.take(pa.array(next_word - 1, mask=next_word == 0)), "")
+    node, number = edges // base, edges % base
+    # One bucket holds all that is counted of a node.
+    bucket = (marks[node] % np.uint64(buckets)).astype(np.int64)
+    place = lang[node] * buckets + bucket
+    order = np.argsort(place, kind="stable")
+    node, number, counts, place = node[order], number[order], counts[order], place[order]
+    lines = pc.binary_join_element_wise(texts.take(pa.array(node)), pc.fill_null(words(number), ""), "\r")
     times = pa.array(counts, mask=counts == 1).cast(pa.string())
-    token = pc.binary_join_element_wise(token, times, "\t", null_handling="skip")
-    begins = np.flatnonzero(np.append(True, node[1:] != node[:-1]))
-    each = pa.ListArray.from_arrays(pa.array(np.append(begins, len(node)), pa.int32()), token)
-    nodes = pa.array(node[begins])
-    yield pa.array(lang_of[first[node[begins]]]), texts.take(nodes), pc.binary_join(each, " ")
+    lines = pc.binary_join_element_wise(lines, times, "\t", null_handling="skip")
+    begins = np.flatnonzero(np.append(True, place[1:] != place[:-1]))
+    each = pa.ListArray.from_arrays(pa.array(np.append(begins, len(place)), pa.int32()), lines)
+    yield pa.array(place[begins] // buckets), pa.array(place[begins] % buckets), pc.binary_join(each, "\n")
 
 
 def _cuts(data, most):
@@ -98,12 +107,13 @@ def _cuts(data, most):
     return [*out, len(data)]
 
 
-def _grams(batches, longest, most=BLOCK):
-    """Rows (lang, node, nexts): a node's continuations in a block of texts.
+def _grams(batches, longest, buckets, most=BLOCK):
+    """Rows (lang, bucket, lines): what follows the nodes of a block of texts, and how often.
 
-    ``nexts`` holds words, joined by blanks, each with a tab and its number if
-    that is not 1; an empty word stands for the end of a piece. A node has
-    fewer words only if its piece ends.
+    A line is a node, a carriage return and the next word, then a tab and the
+    number if that is not 1. The next word is empty where the piece ends, and
+    only there a node has fewer words. Lines of one node are next to each
+    other, and those of one first word: they compress well.
     """
     for batch in batches:
         names = pc.fill_null(batch.column(0), "und").dictionary_encode()
@@ -115,12 +125,12 @@ def _grams(batches, longest, most=BLOCK):
                 cuts = _cuts(data, most)
                 parts = [(data[x:y], np.array([0, y - x]), langs[a:b]) for x, y in zip(cuts, cuts[1:])]
             for part in parts:
-                for lang, node, nexts in _block_grams(*part, longest):
+                for lang, bucket, lines in _block_grams(*part, longest, buckets):
                     found = pa.RecordBatch.from_arrays(
-                        [names.dictionary.take(lang), node, nexts], names=["lang", "node", "nexts"]
+                        [names.dictionary.take(lang), bucket, lines], names=["lang", "bucket", "lines"]
                     )
-                    for at in range(0, found.num_rows, 65_536):
-                        yield found.slice(at, 65_536)
+                    for at in range(0, found.num_rows, 512):
+                        yield found.slice(at, 512)
 
 
 def _size(gram):
@@ -147,15 +157,16 @@ def _edges(docs, text_column, lang_column, longest, least):
     kept = docs.select(F.col(lang_column).alias("lang"), F.col(text_column).alias("text"))
     size = kept.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), min(MOST_TASKS, size // TEXT_PER_TASK + 1))
-    rows = kept.mapInArrow(lambda batches: _grams(batches, longest), "lang string, node string, nexts string")
-    rows = rows.repartition(tasks, "lang", "node")
-    rows = rows.select("lang", "node", F.explode(F.split("nexts", " ")).alias("token"))
-    word = F.substring_index("token", "\t", 1)
-    times = F.when(F.contains("token", F.lit("\t")), F.substring_index("token", "\t", -1).cast("long")).otherwise(1)
-    edges = rows.groupBy("lang", "node", word.alias("next")).agg(F.sum(times).alias("n"))
+    rows = kept.mapInArrow(lambda batches: _grams(batches, longest, BUCKETS), "lang string, bucket long, lines string")
+    rows = rows.repartition(tasks, "bucket").select("lang", "bucket", F.explode(F.split("lines", "\n")).alias("line"))
+    rest = F.substring_index("line", "\r", -1)
+    times = F.when(F.contains(rest, F.lit("\t")), F.substring_index(rest, "\t", -1).cast("long")).otherwise(1)
+    node = ["bucket", "lang", "node"]
+    edges = rows.select("lang", "bucket", F.substring_index("line", "\r", 1).alias("node"), F.substring_index(rest, "\t", 1).alias("next"), times.alias("n"))
+    edges = edges.groupBy(*node, "next").agg(F.sum("n").alias("n"))
     frequent = (F.col("next") != "") & (F.col("n") >= least)
-    flow = edges.groupBy("lang", "node", F.when(frequent, F.col("next")).alias("next")).agg(F.sum("n").alias("n"))
-    flow = flow.withColumn("f", F.sum("n").over(Window.partitionBy("lang", "node")))
+    flow = edges.groupBy(*node, F.when(frequent, F.col("next")).alias("next")).agg(F.sum("n").alias("n"))
+    flow = flow.withColumn("f", F.sum("n").over(Window.partitionBy(*node)))
     gram = F.col("node")
     if longest > 2:
         rare = (_size("node") == longest - 1) & (F.col("f") < least)

@@ -71,7 +71,10 @@ class Table:
         # The eight bytes from any byte on.
         self.eights = np.ndarray(len(data) + 1, "<u8", padded, strides=(1,))
         self.first = self._piece(np.arange(len(starts)), 0)
-        self.owner = self._insert(self._hashes())
+        #: Hashes of the bytes alone, the same in every batch.
+        self.hashes = self._hashes()
+        with np.errstate(over="ignore"):
+            self.owner = self._insert(W.mix(self.hashes + self.group))
 
     def _piece(self, spans, k):
         """Bytes 8k to 8k + 7 of the spans, zeros behind their ends."""
@@ -83,7 +86,7 @@ class Table:
 
     def _hashes(self):
         with np.errstate(over="ignore"):
-            hashes = W.mix(self.first + W.mix(self.lengths.astype(np.uint64) + (self.group << np.uint64(32))))
+            hashes = W.mix(self.first + W.mix(self.lengths.astype(np.uint64)))
             for k in range(1, LONG // 8):
                 longer = np.flatnonzero(self.lengths > 8 * k)
                 if not len(longer):

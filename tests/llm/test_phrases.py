@@ -126,11 +126,11 @@ def test_a_long_text_is_cut_at_breaks_only():
     count = Counter()
     for size in (60, 10**6):
         mine = Counter()
-        for batch in phrases._grams([pa.RecordBatch.from_arrays([pa.array(["en"]), pa.array([text])], names=["l", "t"])], 3, size):
-            for row in batch.to_pylist():
-                for token in row["nexts"].split(" "):
-                    word, _, times = token.partition("\t")
-                    mine[row["node"], word] += int(times or 1)
+        texts = pa.RecordBatch.from_arrays([pa.array(["en"]), pa.array([text])], names=["l", "t"])
+        for batch in phrases._grams([texts], 3, 4, size):
+            for line in "\n".join(batch.column("lines").to_pylist()).split("\n"):
+                gram, _, times = line.partition("\t")
+                mine[gram] += int(times or 1)
         assert not count or mine == count
         count = mine
     assert sum(count.values()) == sum(map(len, pieces(text)))
