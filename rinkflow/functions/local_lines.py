@@ -12,8 +12,8 @@ used for, so no term exceeds its weight and nothing cancels.
 import numpy as np
 
 DEGREE = 11
-#: Sums of a local line: weights, with t and t * t, with y, with t * y; t in units of h.
-SUMS = ("w", "t", "tt", "y", "ty")
+#: Sums of a local line: weights, with t and t * t, with y, with t * y; t in units of h. Then the weights before tricube.
+SUMS = ("w", "t", "tt", "y", "ty", "before")
 
 
 def _move(moments, delta, ratio):
@@ -79,7 +79,7 @@ class Nodes:
         """SUMS of each node for a window about x0; ``side`` is -1 left of x0, 1 right of it."""
         weights, values = self._about(x0, h)
         of = lambda m, q: m[q] - 3 * side * m[q + 3] + 3 * m[q + 6] - side * m[q + 9]
-        return np.stack([of(weights, 0), of(weights, 1), of(weights, 2), of(values, 0), of(values, 1)])
+        return np.stack([of(weights, 0), of(weights, 1), of(weights, 2), of(values, 0), of(values, 1), weights[0]])
 
 
 class Tree:

@@ -178,8 +178,8 @@ def _window_parts(index, widths):
         left = np.maximum(np.searchsorted(first, x - h, "right") - 1, 0)
         right = np.searchsorted(first, x + h, "right") - 1
         left, right = np.minimum(left, own), np.maximum(right, own)
-        cut_left = (left < own) & (x - h > first[left])
-        cut_right = (right > own) & (x + h < last[right])
+        cut_left = (left < own) & (x - first[left] >= h)
+        cut_right = (right > own) & (last[right] - x >= h)
         yield {"chunk": own, "block": own, "x": x, "h": h, "whole_from": left + cut_left, "whole_to": right + 1 - cut_right}
         for cut, block in ((cut_left, left), (cut_right, right)):
             none = np.zeros(int(cut.sum()), np.int64)
@@ -210,22 +210,35 @@ def _block_nodes(weighted):
     return Nodes(np.array([r["low"] for r in found]), np.array([r["high"] for r in found]), columns("weights"), columns("values"))
 
 
-# Value at its centre of the line through the sums; the weighted mean if flat.
+def _within(rows, x, h):
+    """The range of rows nearer than ``h``; those at that very distance have no weight."""
+    last = len(rows) - 1
+    low = np.searchsorted(rows, x - h, "left")
+    low -= (low > 0) & (x - rows[np.maximum(low - 1, 0)] < h)
+    low += (low <= last) & (x - rows[np.minimum(low, last)] >= h)
+    high = np.searchsorted(rows, x + h, "right")
+    high += (high <= last) & (rows[np.minimum(high, last)] - x < h)
+    high -= (high > 0) & (rows[np.maximum(high - 1, 0)] - x >= h)
+    return low, high
+
+
+# Value at its centre of the line through the sums. A window without slope (weight on places less than a
+# thousandth of its half-width apart) has its weighted mean; one that keeps hardly any of its weight has none.
 _LINE_VALUE = """
-CASE WHEN w * tt - t * t > 1e-12 * w * tt THEN (tt * y - t * ty) / (w * tt - t * t)
-     WHEN w > 0 THEN y / w END"""
+CASE WHEN w <= 1e-8 * before THEN NULL
+     WHEN w * tt - t * t > 1e-6 * w * w THEN (tt * y - t * ty) / (w * tt - t * t)
+     ELSE y / w END"""
 
 
 def _fit(weighted, requests, pairs):
-    """(x, trend) from rows (row, block, x, w, wy) and the windows' requests."""
+    """(x, trend, mean) from rows (row, block, x, w, wy) and the windows' requests."""
     spark = weighted.sparkSession
     blocks = spark.sparkContext.broadcast(Tree(_block_nodes(weighted)))
 
     def answer(asking, table):
         x, h, rows = asking["x"], asking["h"], table["x"]
         tree = Tree(Nodes.of_rows(rows, table["w"], table["wy"]))
-        low = np.searchsorted(rows, x - h, "left")
-        high = np.searchsorted(rows, x + h, "right")
+        low, high = _within(rows, x, h)
         none, every = np.zeros(len(x), np.int64), np.full(len(x), len(rows))
         own, asked = asking["chunk"][0], asking["block"][0]
         if asked < own:
@@ -237,6 +250,7 @@ def _fit(weighted, requests, pairs):
             sums = tree.sums(low, at, x, h, -1) + tree.sums(at + 1, high, x, h, 1)
             sums[0] += table["w"][at]
             sums[3] += table["wy"][at]
+            sums[5] += table["w"][at]
             here = np.full(len(x), own)
             sums += blocks.value.sums(asking["whole_from"], here, x, h, -1)
             sums += blocks.value.sums(here + 1, asking["whole_to"], x, h, 1)
@@ -244,7 +258,7 @@ def _fit(weighted, requests, pairs):
 
     parts = _meet(requests, weighted, pairs, answer, "x double, " + ", ".join(f"{c} double" for c in SUMS))
     sums = parts.groupBy("x").agg(*[F.sum(c).alias(c) for c in SUMS])
-    fit = materialize(sums.selectExpr("x", f"{_LINE_VALUE} AS trend"))
+    fit = materialize(sums.selectExpr("x", f"{_LINE_VALUE} AS trend", "CASE WHEN w > 0 THEN y / w END AS mean"))
     blocks.destroy()
     return fit
 
@@ -254,8 +268,8 @@ def lowess_trend(df: DataFrame, x, y, frac=2 / 3, iters=3, block_rows=BLOCK_ROWS
 
     ``frac`` of the points (at least two) take part in each local line;
     ``iters`` rounds weigh points down by their residuals.  Rows where either is NULL, NaN
-    or infinite do not count.  Where all weight lies on one x the trend is the
-    weighted mean there, and where no weight is left the previous round's value.
+    or infinite do not count.  Where the weight lies on (nearly) one place the trend is the
+    weighted mean, and where hardly any is left the previous round's value.
     """
     ship(df.sparkSession)
     points = df.select(F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y"))
@@ -271,7 +285,7 @@ def lowess_trend(df: DataFrame, x, y, frac=2 / 3, iters=3, block_rows=BLOCK_ROWS
         sums = weighted_points.groupBy("x").agg(F.sum("w").alias("w"), F.expr("sum(w * y) AS wy"))
         return _fit(materialize(index.rows.select("row", "block", "x").join(sums, "x")), requests, pairs)
 
-    fit = fitted(points.withColumn("w", F.lit(1.0)))
+    fit = fitted(points.withColumn("w", F.lit(1.0))).selectExpr("x", "coalesce(trend, mean) AS trend")
     for _ in range(iters):
         rows = materialize(points.join(fit, "x").selectExpr("x", "y", "abs(y - trend) AS r"))
         scale = exact_quantiles(rows, "r", [0.5]).selectExpr("6 * q0 AS s").scalar()

@@ -25,7 +25,7 @@ def j1_join_conditions(spark, folder):
 
 
 def _observations(spark, folder):
-    """All events as condition rows, the view events as hourly weather."""
+    """All events as condition rows; as hourly weather they tell of the hour after them."""
     events = table(spark, folder, "events")
     place = (F.col("user_id") % 10).cast("string").alias("Latitude")
     observed = events.select(
@@ -34,10 +34,9 @@ def _observations(spark, folder):
         F.col("value").alias("AirpressureSurface"),
     )
     hourly = (
-        events.where("event_type = 'view'")
-        .groupBy(
+        events.groupBy(
             (F.col("user_id") % 10).cast("double").alias("Latitude"),
-            F.date_format("ts", "yyyy-MM-dd'T'HH:00").alias("HourKey"),
+            F.date_format(F.col("ts") + F.expr("INTERVAL 1 HOUR"), "yyyy-MM-dd'T'HH:00").alias("HourKey"),
         )
         .agg(F.avg("value").alias("TempOutdoors"), F.count("*").alias("n"))
         .select(
@@ -51,8 +50,8 @@ def _observations(spark, folder):
 
 WEATHER = """
 hourly AS (
-  SELECT user_id % 10 AS place, date_trunc('hour', ts) AS h, avg(value) AS t, count(*) AS n
-  FROM events WHERE event_type = 'view' GROUP BY ALL),
+  SELECT user_id % 10 AS place, date_trunc('hour', ts) + INTERVAL 1 HOUR AS h, avg(value) AS t, count(*) AS n
+  FROM events GROUP BY ALL),
 looked_up AS (
   SELECT event_id, t, CASE WHEN n IS NULL THEN value ELSE n + 1000 END AS surface, n + 1010 AS sea,
     n IS NOT NULL AS matched
@@ -253,6 +252,37 @@ def j8_lookup_coefficients(spark, folder):
     )
 
 
+# The model, written out: distance, three constant terms, then the factors of gender, lane, time from
+# mopping, distance, indoor temperature, ice temperature, humidity and air pressure.
+MODELS = """
+models(d, c1, c2, c3, g, l, t, m, i, c, h, p) AS (VALUES
+  (500, 1.662e-11::DOUBLE, -5.078e-09::DOUBLE, 8.492e-09::DOUBLE, 3.362e-09::DOUBLE, 1.218e-09::DOUBLE, 1.374e-12::DOUBLE,
+    8.312e-09::DOUBLE, -1.871e-10::DOUBLE, 1.08e-09::DOUBLE, 6.49e-12::DOUBLE, 1.985e-10::DOUBLE),
+  (1000, 4.29e-12, 1.212e-08, 3.763e-09, 9.894e-09, -2.579e-09, 1.763e-12, 4.29e-09, 5.413e-10, 1.559e-09, -1.162e-10, 6.082e-11),
+  (1500, 1.812e-12, -1.04e-09, 2.483e-08, 1.147e-08, 3.702e-09, 4.794e-12, 2.718e-09, -2.122e-09, -1.171e-09, -1.136e-09, 3.257e-10),
+  (3000, 4.126e-13, -3.063e-09, 4.054e-08, 6.188e-08, 1.044e-08, -5.195e-13, 1.238e-09, 2.952e-10, 3.25e-09, -1.502e-10, 6.038e-10),
+  (5000, 1.582e-13, 7.289e-08, 3.185e-09, -5.162e-08, 7.835e-08, 5.687e-13, 7.909e-10, 1.577e-09, 1.809e-08, -6.303e-10, 5.537e-10),
+  (10000, 4.29e-12, 1.212e-08, 3.763e-09, 9.894e-09, -2.579e-09, 1.763e-12, 4.29e-09, 5.413e-10, 1.559e-09, -1.162e-10, 6.082e-11))
+"""
+
+
+@query("WITH " + RACES + "," + MODELS + """
+SELECT l_orderkey, l_linenumber, l_partkey, "RaceDistance" AS "Distance", measure, round(value * 1e9, 6) AS value
+FROM (SELECT races.*, c1 + c2 + c3 AS c0, g, l, t, m, i, c, h, p FROM races JOIN models ON d = "RaceDistance")
+UNPIVOT (value FOR measure IN (c0, g, l, t, m, i, c, h, p))""")
+def j8_all_coefficients(spark, folder):
+    """Every coefficient of every race's distance."""
+    found = joins.lookup_coefficients(races(spark, folder).withColumn("Distance", F.col("RaceDistance")))
+    names = dict(
+        c0="c0", g="gender", l="lane", t="tfm", m="distance", i="temp_indoors", c="temp_ice", h="humidity", p="pressure"
+    )
+    pairs = [
+        F.struct(F.lit(short).alias("measure"), F.round(F.col(f"coefficients.{name}") * 1e9, 6).alias("value"))
+        for short, name in names.items()
+    ]
+    return plain(found.select("l_orderkey", "l_linenumber", "l_partkey", "Distance", F.inline(F.array(*pairs))), 6)
+
+
 def _wanted(spark, values):
     return spark.sql(
         "SELECT * FROM VALUES " + ", ".join(f"('{v}')" for v in values) + " AS wanted(Stadium)"

@@ -4,10 +4,14 @@ from pyspark.sql import functions as F
 
 from rinkflow import fixed_values as fixed
 from rinkflow.operators import clean, sequence
+from rinkflow.plans.catalog import landing
 from rinkflow.plans.catalog.registry import plain, query
 from rinkflow.plans.catalog.standins import (
     CONDITIONS, LINEITEM_COLUMNS, RACES, TFM, conditions, races, table,
 )
+from rinkflow.plans.enrichment import last_stamp_date
+from rinkflow.session import scratch_folder
+from rinkflow.sources import landed_json
 
 _ID = ["l_orderkey", "l_linenumber", "l_partkey"]
 _TIMED = RACES + TFM.replace("FROM results", "FROM races")
@@ -83,3 +87,20 @@ def w5_last_condition_date(spark, folder):
         ).alias("position"),
     )
     return plain(clean.last_condition_date(rows, ["event_id"]))
+
+
+@query("""
+SELECT 'E' || l_orderkey AS event_id, l_partkey AS schedule_number, l_linenumber AS "Distance",
+  strftime(l_shipdate, '%Y-%m-%d') AS "Date"
+FROM lineitem""")
+def w5_last_stamp_date(spark, folder):
+    """The same over nested documents, as the whole plan takes it: the last of two stamps."""
+    path = scratch_folder(spark)
+    landing.competition_details(spark, folder).write.json(path)
+    details = landed_json.read_competition_details(spark, path)
+    return plain(
+        details.select(
+            "event_id", "schedule_number", F.col("distance.distance").cast("int").alias("Distance"),
+            last_stamp_date().alias("Date"),
+        )
+    )

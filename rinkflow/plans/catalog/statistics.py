@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from rinkflow.operators import quantiles, selection, stats
 from rinkflow.operators.trend import lowess_trend
 from rinkflow.plans import curated
+from rinkflow.plans.catalog.joined import MODELS
 from rinkflow.plans.catalog.registry import plain, query
 from rinkflow.plans.catalog.standins import (
     CONDITIONS, LIGHT, RACES, conditions, light_view, races, table,
@@ -224,3 +225,23 @@ def f20_predicted_performance(spark, folder):
             "l_orderkey", "l_linenumber", "l_partkey", "Distance", "Prediction"
         )
     )
+
+
+@query("WITH " + RACES + "," + MODELS + """
+SELECT l_orderkey, l_linenumber, l_partkey, "RaceDistance" AS "Distance",
+  round("SeasonalBest" - round(1 / sqrt(CASE WHEN den > 0 THEN den END) - 480.25, 2), 4) AS "Prediction"
+FROM (SELECT *, c1 + c2 + c3 + g * CASE "Gender" WHEN 'Men' THEN 0 ELSE 1 END + l * "Lane" + t * l_suppkey
+    + m * "RaceDistance" + i * l_quantity + c * (-l_tax) + h * l_discount + p * l_quantity AS den
+  FROM races JOIN models ON d = "RaceDistance")""")
+def f20_all_models(spark, folder):
+    """Prediction of every entry by the model of its distance."""
+    rows = races(spark, folder).select(
+        "l_orderkey", "l_linenumber", "l_partkey", "Gender", "SeasonalBest",
+        F.col("Lane").cast("string").alias("Lane"),
+        F.col("l_suppkey").alias("EstimatedTFM"), F.col("RaceDistance").alias("Distance"),
+        F.col("l_quantity").alias("TempIndoors"), (-F.col("l_tax")).alias("TempIce"),
+        F.col("l_discount").alias("Humidity"), F.col("l_quantity").alias("AirpressureSurface"),
+    )
+    return plain(
+        curated.add_prediction(rows).select("l_orderkey", "l_linenumber", "l_partkey", "Distance", "Prediction")
+    )

@@ -20,13 +20,13 @@ from rinkflow.functions.text import decode_gender, fix_encoding, full_name, has_
 _DAMAGED = "_corrupt_record"
 
 
-def _parsed(spark, path, kind, whole=False):
+def _parsed(reader, path, kind, whole=False):
     """(document, file, landed, doc): the text, its file and age, and the parsed fields.
 
     ``landed`` orders versions of a document: by the time of the file, its name, and the text.
     """
     schema = f"{schemas.DOCUMENTS[kind][0]}, {_DAMAGED} string"
-    lines = spark.read.text(path, wholetext=whole).select(
+    lines = reader.text(path, wholetext=whole).select(
         F.col("value").alias("document"),
         F.col("_metadata.file_path").alias("file"),
         F.struct("_metadata.file_modification_time", "_metadata.file_name", F.xxhash64("value").alias("text")).alias("landed"),
@@ -45,15 +45,15 @@ def _why_rejected(kind):
     return F.when(damaged, "damaged").when(lacking, "without key")
 
 
-def _documents(spark, path, kind, whole=False, keep=()):
+def _documents(spark, path, kind, whole=False, keep=(), reader=None):
     """The fields of all sound documents, and ``keep`` of the rest."""
-    parsed = _parsed(spark, path, kind, whole).where(_why_rejected(kind).isNull())
+    parsed = _parsed(reader or spark.read, path, kind, whole).where(_why_rejected(kind).isNull())
     return parsed.select("doc.*", *keep).drop(_DAMAGED)
 
 
 def rejected_documents(spark, path, kind, whole=False) -> DataFrame:
     """(kind, file, reason, document) of the documents that give no rows."""
-    parsed = _parsed(spark, path, kind, whole).withColumn("reason", _why_rejected(kind))
+    parsed = _parsed(spark.read, path, kind, whole).withColumn("reason", _why_rejected(kind))
     return parsed.where("reason IS NOT NULL").select(F.lit(kind).alias("kind"), "file", "reason", "document")
 
 
@@ -156,6 +156,13 @@ def read_competition_details(spark, path, whole=False) -> DataFrame:
     return _numbered(_documents(spark, path, "competition_details", whole))
 
 
+def stream_race_documents(spark, path, kind, files_per_batch, whole=False) -> DataFrame:
+    """Details or results documents of a growing folder; of a race the first that lands."""
+    reader = spark.readStream.option("maxFilesPerTrigger", files_per_batch)
+    documents = _numbered(_documents(spark, path, kind, whole, reader=reader))
+    return documents.dropDuplicates(["event_id", "schedule_number"])
+
+
 def _numbered(documents):
     return documents.withColumn("schedule_number", to_int_via_float("schedule_number"))
 

@@ -1,9 +1,12 @@
 """What the plans look like, and what a hot key does to them."""
 
+import re
+
 import pytest
+from pyspark.sql import functions as F
 
 from rinkflow.operators import clean, identity, joins, quantiles, sequence, stats
-from rinkflow.plans import curated
+from rinkflow.plans import curated, enrichment
 from rinkflow.plans.catalog import standins
 
 FOLDER = "/root/testdata/sf0.001"
@@ -138,3 +141,75 @@ def test_from_landed_documents_to_figures(spark):
     nothing = dashboard.main_figures(view, gender=[], distance=distance)
     assert nothing["summary"].first().n == 0
     assert all(nothing[k].count() == 0 for k in ("outliers", "time_by_year", "ice_histogram", "ice_box", "trend"))
+
+
+def test_quantiles_shuffle_counts_only(spark, monkeypatch):
+    """Values are counted in bins on the map side: none is a shuffle or window key."""
+    plans = []
+    stored = quantiles.materialize
+
+    def watched(df):
+        plans.append(plan(df))
+        return stored(df)
+
+    monkeypatch.setattr(quantiles, "materialize", watched)
+    rows = standins.table(spark, FOLDER, "lineitem")
+    quantiles.exact_quantiles(rows, "l_extendedprice", [0.25, 0.5], ["l_returnflag"]).collect()
+    assert len(plans) >= 3
+    for text in plans:
+        assert not re.search(r"(hash|range)partitioning\([^)]*_v#", text)
+        assert not re.search(r"Window \[[^\]]*_v#", text)
+
+
+def test_joined_view_is_read_once(spark):
+    """The minimum of the differences is observed as the joined view is written."""
+    results = standins.entries(standins.races(spark, FOLDER))
+    text = plan(curated.curated_view(results.withColumn("EstimatedTFM", results["Pair"]), standins.conditions(spark, FOLDER), standins.LINEITEM_COLUMNS))
+    final = text.split("== Initial Plan ==")[0]
+    assert final.count("FileScan") == 1 and "Join" not in final.replace("BroadcastHashJoin [Distance", "")
+
+
+def test_missing_keys_meet_and_stay_spread(spark):
+    results = spark.range(3000).selectExpr(
+        "CASE WHEN id % 3 > 0 THEN concat('S', id) END AS Stadium", "DATE'2024-01-02' AS Date", "'E' AS Event", "'R' AS Race", "id AS Pair")
+    conditions = results.where("id % 5 = 0").drop("Pair").dropDuplicates().selectExpr("*", "coalesce(Stadium, 'none') AS Rink")
+    joined = joins.join_conditions(results, conditions)
+    rows = joined.collect()
+    assert len(rows) == 3000 and joined.columns == [*results.columns, "Rink"]
+    for r in rows:
+        assert r.Rink == ("none" if r.Pair % 3 == 0 else f"S{r.Pair}" if r.Pair % 5 == 0 else None)
+    kept = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled", "spark.sql.shuffle.partitions")}
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+        per_task = joins.join_conditions(results, conditions).groupBy(F.spark_partition_id()).count()
+        assert max(r["count"] for r in per_task.collect()) < 3000 / 8 * 2
+    finally:
+        for k, v in kept.items():
+            spark.conf.set(k, v)
+
+
+def test_first_measurement_is_the_one_that_landed_first(spark, tmp_path):
+    """A bare date has no time; it does not come before 10:30 that landed before it."""
+    import json
+
+    measure = lambda stamp, ice: {"timeStamp": stamp, "airTemperature": 15, "iceTemperature": ice, "humidity": 40, "occasion": "start"}
+    skater = {"firstName": "A", "lastName": "B", "country": "NED", "gender": "F"}
+    documents = {
+        "event_pages": [[{"isuId": "e"}]],
+        "event_details": [{"event_id": "e", "name": "Cup", "track": {"name": "Rink", "city": "C", "country": "NED", "latitude": 1, "longitude": 2}}],
+        "competitions": [{"event_id": "e", "competitions": [{"scheduleNumber": 1, "title": "500m"}]}],
+        "competition_details": [{"event_id": "e", "schedule_number": 1, "distance": {"distance": 500},
+                                 "conditions": [measure("2024-01-02T10:30:00", -5.0), measure("2024-01-02", -9.0)]}],
+        "competition_results": [{"event_id": "e", "schedule_number": 1, "results": {"rank": 1, "time": "36,1", "startNumber": 1, "competitor": {"skater": skater}}}],
+        "skaters": [{"country": "NED", "skaters": [{"id": "7", "givenname": "A", "familyname": "B"}]}],
+        "season_bests": [{"skater_id": "7", "seasons": [{"start": 2023, "records": [{"distance": 500, "time": "37,0"}]}]}],
+        "weather": [{"latitude": 1, "longitude": 2, "hourly": {"time": ["2024-01-02T10:00"], "temperature_2m": [3], "surface_pressure": [1000], "pressure_msl": [1010]}}],
+    }
+    for kind, lines in documents.items():
+        (tmp_path / kind).mkdir()
+        (tmp_path / kind / "part.json").write_text("\n".join(map(json.dumps, lines)))
+    results, conditions = enrichment.read_and_enrich(spark, str(tmp_path))
+    view = curated.curated_view(clean.to_curated_results(results), clean.to_curated_conditions(conditions))
+    assert [(r.CondTime, r.TempIce, r.RaceTime) for r in view.collect()] == [("10:30:00", -5.0, 36.1)]

@@ -139,18 +139,37 @@ def condition(stamp, humidity=40.0):
     return {"timeStamp": stamp, "airTemperature": 15.0, "iceTemperature": 0.0, "humidity": humidity, "occasion": "start"}
 
 
-def test_stream_appends_batches(spark, tmp_path):
-    source = tmp_path / "landed"
-    for i in range(4):
-        put(source, [{"event_id": str(i), "schedule_number": 1, "conditions": [condition("2024-01-02T10:00:00"), condition("", 1.0), condition("2024-01-02", None)]}], f"{i}.json")
-    out = tmp_path / "out"
-    rows = landing.stream_conditions(spark, str(source), files_per_batch=3)
-    for _ in range(2):
-        query = landing.append_batches(rows, str(out), fixed.CONDITION_COLUMNS, str(tmp_path / "check"))
-        query.awaitTermination(120)
-    assert sorted(p.name for p in out.iterdir() if p.is_dir()) == ["batch=0", "batch=1"]
-    back = delimited.read_semicolon_csv(spark, str(out / "batch=*"), fixed.CONDITION_COLUMNS)
-    assert [r.TempIndoors for r in back.collect()] == ["15.0"] * 4
+def test_streamed_rows_equal_the_batch_rows(spark, tmp_path):
+    """Races of four events land in steps, some results before their details, some documents twice."""
+    event = lambda e: {"event_id": e, "name": f"Cup {e}", "track": {"name": "Rink A", "city": "C", "country": "NED"}}
+    put(tmp_path / "event_details", [event(e) for e in "abcd"])
+    put(tmp_path / "competitions", [{"event_id": e, "competitions": [{"scheduleNumber": n, "title": f"{n}00m"} for n in (5, 10)]} for e in "abcd"])
+    result = {"rank": 1, "time": "36,1", "startNumber": 2, "competitor": {"skater": {"firstName": "A", "lastName": "B"}}}
+    details = lambda e, n: {"event_id": e, "schedule_number": n, "distance": {"distance": n * 100}, "conditions": [condition("2024-01-02T10:00:00"), condition("", 1.0), condition("2024-01-02", None)]}
+    results = lambda e, n: {"event_id": e, "schedule_number": n, "results": [result, result]}
+    out, steps = tmp_path / "out", [
+        [("details", details("a", 5)), ("results", results("a", 5)), ("results", results("b", 5))],
+        [("details", details("b", 5)), ("details", details("a", 5)), ("details", details("c", 10))],
+        [("results", results("c", 10)), ("results", results("a", 5)), ("details", details("d", 7)), ("results", results("d", 7))],
+    ]
+    for i, step in enumerate(steps):
+        for j, (kind, document) in enumerate(step):
+            put(tmp_path / f"competition_{kind}", [document], f"{i}{j}.json")
+        races = landing.stream_races(spark, str(tmp_path), files_per_batch=2)
+        landing.append_batches(races, str(out), str(tmp_path / "check")).awaitTermination(120)
+    whole = enrichment.race_documents(
+        landed_json.read_latest_events(spark, str(tmp_path / "event_details")),
+        landed_json.read_listed_competitions(spark, str(tmp_path / "competitions")),
+        landed_json.read_latest_details(spark, str(tmp_path / "competition_details")),
+        landed_json.read_latest_results(spark, str(tmp_path / "competition_results")),
+    )
+    for name, rows, columns, n in (("results", enrichment.result_rows(whole), fixed.RESULT_COLUMNS, 6),
+                                   ("conditions", enrichment.condition_rows(whole), fixed.CONDITION_COLUMNS, 3)):
+        delimited.write_semicolon_csv(rows, str(tmp_path / name), columns)
+        expected = delimited.read_semicolon_csv(spark, str(tmp_path / name), columns).collect()
+        streamed = delimited.read_semicolon_csv(spark, str(out / name / "batch=*"), columns).collect()
+        assert sorted(map(str, streamed)) == sorted(map(str, expected)) and len(streamed) == n
+        assert all(r.Stadium == "Rink_A" and r.Event and r.Race for r in streamed)
 
 
 def test_date_of_last_stamp_even_if_dropped(spark, tmp_path):

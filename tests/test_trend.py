@@ -20,10 +20,12 @@ def plain_lowess(x, y, frac, iters):
             t = x - x0
             sw, st, stt, sy, sty = (np.sum(v) for v in (w, w * t, w * t * t, w * y, w * t * y))
             spread = sw * stt - st * st
-            if spread > 1e-12 * sw * stt:
+            if sw <= 1e-8 * np.sum(robust[d < h]):
+                new.append(fit[j])
+            elif spread > 1e-6 * (sw * h) ** 2:
                 new.append((stt * sy - st * sty) / spread)
             else:
-                new.append(sy / sw if sw > 0 else fit[j])
+                new.append(sy / sw)
         fit = np.array(new)
         r = np.abs(y - fit[np.searchsorted(at, x)])
         s = 6 * np.median(r)
