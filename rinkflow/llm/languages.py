@@ -23,8 +23,8 @@ from rinkflow.session import materialize
 
 LETTERS = re.compile(r"[^\W\d_]+")
 #: Words that are broadcast at most, and their entries (words times languages); no result depends on it.
-MAX_WORDS = 200_000
-MAX_ENTRIES = 4_000_000
+MAX_WORDS = 80_000
+MAX_ENTRIES = 1_000_000
 #: Bytes of text, and words to be looked up, that close a block.
 BLOCK_BYTES = 24 << 20
 BLOCK_WORDS = 400_000
@@ -115,11 +115,13 @@ class Frequent:
     """The broadcast part of a model: its languages, and the weights of frequent words."""
 
     def __init__(self, langs, rows):
+        """``rows``: an Arrow table of (item, place, weight)."""
         self.langs = langs
-        self.words = {item: i for i, item in enumerate(dict.fromkeys(r[0] for r in rows))}
+        items = rows.column("item").combine_chunks().dictionary_encode()
+        self.words = {item: i for i, item in enumerate(items.dictionary.to_pylist())}
         self.weights = np.zeros((len(self.words), len(langs)))
-        for item, place, weight in rows:
-            self.weights[self.words[item], place] = weight
+        place, weight = (rows.column(c).to_numpy() for c in ("place", "weight"))
+        self.weights[items.indices.to_numpy(), place] = weight
 
 
 class Model:
@@ -156,7 +158,7 @@ def fit(docs, lang_column="lang", text_column="text"):
     grams = _weights(gram_counts, gram_totals, F.length("item"))
     langs = sorted(lang for lang, _ in totals)
     most = _most_frequent(counts, min(MAX_WORDS, MAX_ENTRIES // max(1, len(langs))))
-    frequent = Frequent(langs, words.join(F.broadcast(most), "item", "left_semi").collect())
+    frequent = Frequent(langs, words.join(F.broadcast(most), "item", "left_semi").toArrow())
     return Model(spark, frequent, words, grams)
 
 

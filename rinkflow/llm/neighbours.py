@@ -15,8 +15,10 @@ from pyspark.sql import functions as F
 from rinkflow.llm.workers import ship
 from rinkflow.session import materialize
 
-#: Vectors that the trees are fitted on at most, and those of them in a leaf.
+#: Vectors that the trees are fitted on at most, and those of them in a leaf at least.
 SAMPLE, LEAF = 65_536, 128
+#: Leaves of a tree at most: with them the leaves that a query visits are bounded, whatever the table's size.
+LEAVES = 64
 TREES = 12
 #: Vectors whose margins to all planes are held at once.
 ROWS = 1024
@@ -34,7 +36,7 @@ class Forest:
         it, so that the nearest in angle is the one with the largest inner product."""
         self.norm = norm
         self.depth = 0
-        while len(sample) >> self.depth > LEAF:
+        while len(sample) >> self.depth > LEAF and 1 << self.depth < LEAVES:
             self.depth += 1
         self.leaves = 1 << self.depth
         rng = np.random.default_rng(seed)
