@@ -186,8 +186,7 @@ def q2_enriched_results(spark, folder):
     A 10000 m of two pairs has its break after the first, so the second pair
     is back at 0.
     """
-    path = landing.landing_folder(spark, folder, scratch_folder(spark))
-    results, _ = enrichment.read_and_enrich(spark, path)
+    results, _ = enrichment.read_and_enrich(spark, landing.landed_races(spark, folder))
     return plain(results)
 
 
@@ -209,8 +208,7 @@ SELECT "Stadium", CAST(m.at AS VARCHAR) AS "Date", "Event", "Race",
 FROM measured m LEFT JOIN weather w ON placed AND c_acctbal = lat AND c_nationkey = lon AND m.at = w.at""")
 def q2_enriched_conditions(spark, folder):
     """Landed documents to conditions with outdoor weather."""
-    path = landing.landing_folder(spark, folder, scratch_folder(spark))
-    _, conditions = enrichment.read_and_enrich(spark, path)
+    _, conditions = enrichment.read_and_enrich(spark, landing.landed_races(spark, folder))
     return plain(enrichment.final_conditions(conditions))
 
 

@@ -2,7 +2,8 @@
 
 from pyspark.sql import functions as F
 
-from rinkflow.plans.catalog.standins import table
+from rinkflow.plans.catalog.standins import once, table
+from rinkflow.session import scratch_folder
 
 
 def write_text_documents(df, path):
@@ -311,6 +312,19 @@ def landing_folder(spark, folder, path, again=False):
     return path
 
 
+def landed_races(spark, folder):
+    """The path of a whole landing folder."""
+    return once(spark, folder, "races", lambda: landing_folder(spark, folder, scratch_folder(spark)))
+
+
+def landed_results(spark, folder):
+    """The path of the results documents."""
+    return once(
+        spark, folder, "results",
+        lambda: write_text_documents(competition_results(spark, folder), scratch_folder(spark)),
+    )
+
+
 def loose_results(spark, folder):
     """Results of an order with numbers as text, decimals or not at all; some are cut short, some lack a key."""
     key = F.col("o_orderkey")

@@ -68,8 +68,7 @@ SELECT 'E' || l_orderkey AS event_id, l_partkey AS schedule_number, r AS "Rank",
   CASE WHEN l_returnflag = 'A' THEN 'Women' ELSE 'Men' END AS "Gender"
 FROM lineitem, (VALUES (1), (2)) v(r) WHERE r = 1 OR l_partkey % 3 <> 0""")
 def s5_explode_results(spark, folder):
-    path = landing.write_text_documents(landing.competition_results(spark, folder), scratch_folder(spark))
-    documents = landed_json.read_competition_results(spark, path)
+    documents = landed_json.read_competition_results(spark, landing.landed_results(spark, folder))
     return plain(landed_json.flatten_results(landed_json.explode_results(documents)))
 
 

@@ -106,15 +106,20 @@ def full_view(spark, folder):
     )
 
 
-_STORED = {}
+_FIXTURES = {}
+
+
+def once(spark, folder, name, build):
+    """What ``build`` writes for the queries of one session and folder, built when first asked for."""
+    key = (spark.sparkContext.applicationId, folder, name)
+    if key not in _FIXTURES:
+        _FIXTURES[key] = build()
+    return _FIXTURES[key]
 
 
 def stored_view(spark, folder):
-    """The curated view as a stored table, written once per session and folder."""
-    key = (spark.sparkContext.applicationId, folder)
-    if key not in _STORED:
-        _STORED[key] = curated.store_view(full_view(spark, folder))
-    return _STORED[key]
+    """The curated view as a stored table."""
+    return once(spark, folder, "view", lambda: curated.store_view(full_view(spark, folder)))
 
 
 # --- the same in SQL ---------------------------------------------------------
