@@ -20,20 +20,21 @@ def _folder(path):
     return F.regexp_extract(path, r"(?s)^(.*/)", 1)
 
 
-def _suffixes(host):
-    """The host and each of its parents, as text after label boundaries."""
+def _suffixes(host, most):
+    """The host and its parents of at most ``most`` labels, as text after label boundaries."""
     labels = F.split(host, r"\.")
+    n = F.size(labels)
     return F.transform(
-        F.sequence(F.lit(1), F.size(labels)),
-        lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."),
+        F.sequence(F.greatest(F.lit(1), n - (most - 1)), n),
+        lambda i: F.array_join(F.slice(labels, i, n), "."),
     )
 
 
-def _prefixes(path):
-    """The empty path and the path up to each of its slashes."""
+def _prefixes(path, most):
+    """The empty path and the path up to each of its first ``most`` slashes."""
     parts = F.split(path, "/")
     return F.transform(
-        F.sequence(F.lit(0), F.size(parts) - 1),
+        F.sequence(F.lit(0), F.least(F.size(parts) - 1, F.lit(most))),
         lambda i: F.when(i == 0, F.lit("")).otherwise(F.concat(F.array_join(F.slice(parts, 1, i), "/"), F.lit("/"))),
     )
 
@@ -48,7 +49,8 @@ def judge_urls(pages, rules, id_column="page_id", url_column="url", otherwise="a
     ``rules`` has columns host, path and verdict (allow or block). A rule fits
     its host and all subdomains if the URL's path starts with the rule's path.
     Each distinct (host, path) is expanded into every host suffix with every
-    path prefix that ends in a slash; a rule is listed under its host and its
+    path prefix that ends in a slash, of no more labels and slashes than any
+    rule has, as longer ones meet none; a rule is listed under its host and its
     path up to the last slash. Both sides meet on the first 32 bits of the
     SHA-256 of that expression; the full digest and the rest of the path are
     confirmed afterwards. The longest rule (host and path together, then host)
@@ -78,12 +80,14 @@ def judge_urls(pages, rules, id_column="page_id", url_column="url", otherwise="a
         )
         .withColumn("short", F.left("rule_digest", F.lit(PREFIX_HEX)))
     )
+    slashes = F.size(F.split(_folder(F.col("rule_path")), "/")) - 1
+    labels, depth = listed.agg(F.max(F.size(F.split("rule_host", r"\."))), F.max(slashes)).first()
     expanded = (
         pages.where("host <> ''")
         .select("host", "path")
         .distinct()
-        .withColumn("suffix", F.explode(_suffixes(F.col("host"))))
-        .withColumn("prefix", F.explode(_prefixes(F.col("path"))))
+        .withColumn("suffix", F.explode(_suffixes(F.col("host"), labels or 1)))
+        .withColumn("prefix", F.explode(_prefixes(F.col("path"), depth or 0)))
         .select("host", "path", F.sha2(_expression(F.col("suffix"), F.col("prefix")), 256).alias("digest"))
         .withColumn("short", F.left("digest", F.lit(PREFIX_HEX)))
     )

@@ -101,3 +101,14 @@ def test_url_rules(spark):
     assert out.count() == len(wanted) + 2
     assert url_filters.judge_urls(pages.limit(0), table).count() == 0
     assert {r.verdict for r in url_filters.judge_urls(pages, table.limit(0)).collect()} == {"allow"}
+
+
+def test_long_urls_are_expanded_no_deeper_than_the_rules(spark):
+    """Paths of 20,000 slashes and hosts of 5,000 labels, next to rules of one and three."""
+    path, host = "/a" * 20_000, ".".join(["l"] * 5_000)
+    pages = [(1, f"http://{host}.com{path}"), (2, f"http://com{path}?q"), (3, "http://x.y.com/a/a/b")]
+    rules = [("com", "/a/a/", "block"), ("y.com", "/a/a/b", "allow")]
+    pages, rules = spark.createDataFrame(pages, "page_id long, url string"), spark.createDataFrame(rules, "host string, path string, verdict string")
+    got = {r.page_id: (r.rule, r.verdict) for r in url_filters.judge_urls(pages, rules).collect()}
+    assert got == {1: ("com/a/a/", "block"), 2: ("com/a/a/", "block"), 3: ("y.com/a/a/b", "allow")}
+    assert {r.verdict for r in url_filters.judge_urls(pages, rules.limit(0)).collect()} == {"allow"}
