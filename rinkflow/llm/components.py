@@ -33,7 +33,7 @@ def components(links):
         least = edges.groupBy("a").agg(F.min("b").alias("least"))
         small = edges.join(least, "a")
         edges = materialize(_pairs(small, "b", "least").unionByName(_pairs(least, "a", "least")).distinct())
-        now = tuple(edges.agg(F.count("*"), F.sum("a"), F.sum(F.xxhash64("a", "b").cast("decimal(20,0)"))).first())
+        now = tuple(edges.agg(F.count("*"), F.sum(F.col("a").cast("decimal(20,0)")), F.sum(F.xxhash64("a", "b").cast("decimal(20,0)"))).first())
         if now == before:
             break
         before = now

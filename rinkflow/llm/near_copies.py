@@ -7,8 +7,9 @@
    Representatives that share at least MIN_DEPTH minima in some tree are
    candidates, nearest first: those with the longest common prefix stand next
    to each other, so the depth at which one looks adapts to how crowded a
-   region is. The first round takes next neighbours; the second one all within
-   WINDOW places that are not yet in one component.
+   region is. The trees are taken in turns, with components between them: the
+   first FIRST trees give next neighbours, then all trees do, then all give
+   those within WINDOW places; only those not yet in one component are compared.
 3. Candidates are compared by whole signatures, then confirmed on whole sets.
 4. Regions that hold more than a window's representatives, of several
    components, are searched exactly: what is not in the region's largest
@@ -34,8 +35,8 @@ from rinkflow.session import materialize
 
 #: Minima per tree, of which candidates share the first MIN_DEPTH at least.
 DEPTH, MIN_DEPTH = 8, 4
-#: Places between candidates in a tree.
-WINDOW = 12
+#: Places between candidates in a tree, and trees that are searched before the others.
+WINDOW, FIRST = 12, 2
 #: The chance that a pair at the threshold shares MIN_DEPTH minima in no tree.
 MISS = 1e-5
 #: Standard deviations by which a signature may fall short of the threshold.
@@ -70,35 +71,42 @@ def _minima(hashes, offsets, functions):
     return out
 
 
+def _stands_for(hashes, offsets, k):
+    """64 bits that stand for each set; zero for empty ones."""
+    out = np.zeros(len(offsets) - 1, np.uint64)
+    filled = np.flatnonzero(np.diff(offsets))
+    if len(filled):
+        with np.errstate(over="ignore"):
+            spread = W.mix(hashes ^ W.randoms(2, seed=3)[k])
+            out[filled] = np.add.reduceat(spread, offsets[:-1][filled])
+    return out.view(np.int64)
+
+
 def sketch(docs, shingle, trees, id_column="doc_id", text_column="text"):
-    """doc_id, n_shingles, set_a and set_b (128 bits that stand for the set), signature, per row."""
+    """doc_id, text_key, n_shingles, set_a and set_b (128 bits that stand for the set), signature, per row."""
     ship(docs.sparkSession)
 
     def run(batches):
         for batch in batches:
-            for a, b in W.chunks(batch.column(1)):
-                hashes, offsets = sets_of(batch.column(1).slice(a, b - a), shingle)
-                sums = np.zeros((2, len(offsets) - 1), np.uint64)
-                filled = np.flatnonzero(np.diff(offsets))
-                if len(filled):
-                    with np.errstate(over="ignore"):
-                        for k in (0, 1):
-                            spread = W.mix(hashes ^ W.randoms(2, seed=3)[k])
-                            sums[k, filled] = np.add.reduceat(spread, offsets[:-1][filled])
+            for a, b in W.chunks(batch.column(2)):
+                hashes, offsets = sets_of(batch.column(2).slice(a, b - a), shingle)
                 signatures = _minima(hashes, offsets, trees * DEPTH)
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).slice(a, b - a),
+                        batch.column(1).slice(a, b - a),
                         pa.array(np.diff(offsets)),
-                        pa.array(sums[0].view(np.int64)),
-                        pa.array(sums[1].view(np.int64)),
+                        pa.array(_stands_for(hashes, offsets, 0)),
+                        pa.array(_stands_for(hashes, offsets, 1)),
                         pa.array([row.tobytes() for row in signatures], pa.binary()),
                     ],
-                    names=["doc_id", "n_shingles", "set_a", "set_b", "signature"],
+                    names=["doc_id", "text_key", "n_shingles", "set_a", "set_b", "signature"],
                 )
 
-    return docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text")).mapInArrow(
-        run, "doc_id long, n_shingles long, set_a long, set_b long, signature binary"
+    text = F.col(text_column)
+    rows = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.xxhash64(text).alias("text_key"), text.alias("text"))
+    return rows.mapInArrow(
+        run, "doc_id long, text_key long, n_shingles long, set_a long, set_b long, signature binary"
     )
 
 
@@ -199,21 +207,26 @@ def _few(ids):
     return F.broadcast(ids) if ids.count() <= FEW_IDS else ids
 
 
-def _sets(docs, ids, shingle, id_column, text_column):
-    """(id, set): the sorted shingle hashes of the documents named, one row each."""
-    texts = docs.select(F.col(id_column).cast("long").alias("id"), F.col(text_column).alias("text"))
-    texts = texts.join(_few(ids), "id", "left_semi")
+def _sets(docs, wanted, shingle, id_column, text_column):
+    """(id, set): the sorted shingle hashes of the classes in ``wanted`` (id, doc): one row each.
+
+    A class's document is read again; where its id is reused, the text that has the class's set counts.
+    """
+    wanted = materialize(wanted.distinct())
+    texts = docs.select(F.col(id_column).cast("long").alias("doc"), F.col(text_column).alias("text"))
+    texts = texts.join(_few(wanted.select("doc").distinct()), "doc", "left_semi")
 
     def run(batches):
         for batch in batches:
-            for a, b in W.chunks(batch.column(1)):
-                hashes, offsets = sets_of(batch.column(1).slice(a, b - a), shingle)
+            for a, b in W.chunks(batch.column(0)):
+                hashes, offsets = sets_of(batch.column(0).slice(a, b - a), shingle)
                 sets = [hashes[i:j].tobytes() for i, j in zip(offsets, offsets[1:])]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(a, b - a), pa.array(sets, pa.binary())], names=["id", "set"]
+                    [pa.array(_stands_for(hashes, offsets, 0)), pa.array(sets, pa.binary())], names=["id", "set"]
                 )
 
-    return materialize(texts.mapInArrow(run, "id long, set binary").dropDuplicates(["id"]))
+    found = texts.select("text").mapInArrow(run, "id long, set binary")
+    return materialize(found.join(_few(wanted.select("id")), "id", "left_semi").dropDuplicates(["id"]))
 
 
 def _both(pairs, table, value):
@@ -253,7 +266,7 @@ def _linked(pairs, sets, percent):
     return _both(pairs, sets, "set").mapInArrow(run, "a long, b long")
 
 
-def _rest(docs, scanned, labels, shingle, percent, id_column, text_column):
+def _rest(docs, scanned, labels, readers, shingle, percent, id_column, text_column):
     """Links that the windows left out: in wide regions of several components, by whole sets.
 
     Rows outside a region's largest component are compared with all its rows,
@@ -276,7 +289,7 @@ def _rest(docs, scanned, labels, shingle, percent, id_column, text_column):
     mixed = materialize(wide.join(regions, ["tree", "high"]).withColumnRenamed("a", "id"))
     if mixed.isEmpty():
         return None
-    sets = _sets(docs, mixed.select("id").distinct(), shingle, id_column, text_column)
+    sets = _sets(docs, readers.join(mixed.select("id").distinct(), "id", "left_semi"), shingle, id_column, text_column)
     blocks = lambda c: F.ceil(F.col(c) / BLOCK).cast("int")
     every = lambda c: F.explode(F.sequence(F.lit(0), blocks(c) - 1))
     own = lambda c: F.pmod(F.xxhash64("id"), blocks(c)).cast("int")
@@ -323,7 +336,8 @@ def _dense(left, right):
 
 
 def near_copies(docs, shingle=5, percent=80, id_column="doc_id", text_column="text"):
-    """doc_id, n_shingles, component_id and kept for each row of ``docs``.
+    """doc_id, n_shingles, component_id and kept for each row of ``docs``, with text_key (a hash of
+    the text) and component_key, which tells components apart that begin with the same reused id.
 
     Two documents are linked if their sets of distinct shingles of ``shingle``
     words (see ``words``) have 100 * intersection >= ``percent`` * union; a text
@@ -342,47 +356,63 @@ def near_copies(docs, shingle=5, percent=80, id_column="doc_id", text_column="te
     trees = trees_for(percent)
     sketched = materialize(sketch(docs, shingle, trees, id_column, text_column))
     rows = sketched.where("doc_id is not null and n_shingles > 0")
-    classes = materialize(rows.groupBy("set_a", "set_b", "n_shingles").agg(F.min("doc_id").alias("id")))
+    # A class is known by 64 bits of its set, not by a document: an id may come with several texts.
+    sets = ["set_a", "set_b", "n_shingles"]
+    classes = materialize(rows.groupBy(*sets).agg(F.min("doc_id").alias("doc_id")))
+    readers = classes.select(F.col("set_a").alias("id"), F.col("doc_id").alias("doc"))
     nodes = materialize(
-        rows.join(classes.withColumnRenamed("id", "doc_id"), ["set_a", "set_b", "n_shingles", "doc_id"], "left_semi")
-        .select(F.col("doc_id").alias("id"), F.col("n_shingles").alias("n"), "signature")
+        rows.join(classes, [*sets, "doc_id"], "left_semi")
+        .select(F.col("set_a").alias("id"), F.col("n_shingles").alias("n"), "signature")
         .dropDuplicates(["id"])
     )
-    links, labels = [], None
-    for window in (1, WINDOW):
+    labels = None
+    for window, used in ((1, min(FIRST, trees)), (1, trees), (WINDOW, trees)):
         labelled = nodes.withColumn("component", F.col("id")) if labels is None else _labelled(nodes, labels)
-        scanned = _scan(labelled, trees, window, percent)
+        scanned = _scan(labelled, used, window, percent)
         pairs = scanned.where(F.col("kind") == PAIR).select("a", "b")
         pairs = pairs.unionByName(_across_cuts(scanned, window, percent)).distinct()
         alike = materialize(_alike(pairs, nodes, percent))
-        links.append(_confirmed(docs, alike, shingle, percent, id_column, text_column))
-        labels = materialize(components(_all(links)))
+        labels = _merged(labels, _confirmed(docs, alike, readers, shingle, percent, id_column, text_column))
     if not scanned.where(F.col("kind") == WIDE).isEmpty():
-        rest = _rest(docs, scanned, labels, shingle, percent, id_column, text_column)
+        rest = _rest(docs, scanned, labels, readers, shingle, percent, id_column, text_column)
         if rest is not None:
-            links.append(rest)
-            labels = materialize(components(_all(links)))
-    found = rows.select("set_a", "set_b", "n_shingles", "doc_id").join(classes, ["set_a", "set_b", "n_shingles"])
-    found = found.join(labels, "id", "left").select(
-        "doc_id", "n_shingles", F.coalesce("component_id", "id").alias("component_id")
-    )
-    alone = sketched.where("doc_id is null or n_shingles = 0").select(
-        "doc_id", "n_shingles", F.col("doc_id").alias("component_id")
+            labels = _merged(labels, rest)
+    labelled = _labelled(readers, labels)
+    least = labelled.groupBy("component").agg(F.min("doc").alias("component_id"))
+    labelled = labelled.join(least, "component").select(
+        F.col("id").alias("set_a"), "component_id", F.col("component").alias("component_key")
     )
-    return found.unionByName(alone).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+    out = ["doc_id", "n_shingles", "component_id", "text_key", "component_key"]
+    found = rows.join(labelled, "set_a").select(*out)
+    alone = sketched.where("doc_id is null or n_shingles = 0")
+    alone = alone.withColumns({"component_id": F.col("doc_id"), "component_key": F.col("text_key")}).select(*out)
+    kept = F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept")
+    return found.unionByName(alone).select(*out[:3], kept, *out[3:])
 
 
-def _confirmed(docs, alike, shingle, percent, id_column, text_column):
+def _confirmed(docs, alike, readers, shingle, percent, id_column, text_column):
     ids = alike.select(F.col("a").alias("id")).unionByName(alike.select(F.col("b").alias("id"))).distinct()
-    sets = _sets(docs, ids, shingle, id_column, text_column)
+    sets = _sets(docs, readers.join(_few(materialize(ids)), "id", "left_semi"), shingle, id_column, text_column)
     return materialize(_linked(alike, sets, percent))
 
 
-def _all(links):
-    out = links[0]
-    for more in links[1:]:
-        out = out.unionByName(more)
-    return out
+def _merged(labels, links):
+    """(id, component_id) once ``links`` are added to what ``labels`` already join.
+
+    Only the links between components are followed, so a large group costs its links once.
+    """
+    if labels is None:
+        return materialize(components(links))
+    ends = links.select(F.col("a").alias("id")).unionByName(links.select(F.col("b").alias("id"))).distinct()
+    known = ends.join(labels, "id", "left").withColumn("component_id", F.coalesce("component_id", "id"))
+    known = materialize(known)
+    side = lambda c: known.select(F.col("id").alias(c), F.col("component_id").alias(f"component_{c}"))
+    between = links.join(side("a"), "a").join(side("b"), "b")
+    between = between.select(F.col("component_a").alias("a"), F.col("component_b").alias("b")).distinct()
+    joined = materialize(components(between)).withColumnRenamed("component_id", "now")
+    old = labels.unionByName(known.join(labels.select("id"), "id", "left_anti"))
+    old = old.join(joined.withColumnRenamed("id", "component_id"), "component_id", "left")
+    return materialize(old.select("id", F.coalesce("now", "component_id").alias("component_id")))
 
 
 def _labelled(nodes, labels):

@@ -93,6 +93,17 @@ def test_near_copies_edge_rows(spark):
     assert near_copies.near_copies(docs.limit(0)).count() == 0
 
 
+def test_rows_that_reuse_an_id_go_by_their_own_texts(spark):
+    """Ids 5 and 7 share 58 of 59 shingles through the second text of 7; its first text is alone."""
+    words = [f"w{i}" for i in range(63)]
+    rows = [(5, " ".join(words)), (7, "something else altogether of seven words"), (7, " ".join([*words[:-1], "x"])), (9, "w1 " * 9)]
+    docs = spark.createDataFrame(rows * 2, "doc_id long, text string").repartition(3)
+    found = near_copies.near_copies(docs).join(docs.distinct().selectExpr("xxhash64(text) AS text_key", "text"), "text_key")
+    got = {(r.doc_id, r.text): (r.component_id, r.kept) for r in found.collect()}
+    assert found.count() == 8
+    assert got == {rows[0]: (5, True), rows[1]: (7, True), rows[2]: (5, False), rows[3]: (9, True)}
+
+
 def test_components_of_long_chains(spark):
     chain = [(i, i + 1) for i in range(1, 40)] + [(100, 101), (None, 3), (7, 7), (101, 100)]
     out = components.components(spark.createDataFrame(chain, "a long, b long")).collect()
