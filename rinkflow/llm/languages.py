@@ -23,16 +23,16 @@ from rinkflow.session import materialize
 
 LETTERS = re.compile(r"[^\W\d_]+")
 #: Words that are broadcast at most, and their entries (words times languages); no result depends on it.
-MAX_WORDS = 80_000
-MAX_ENTRIES = 1_000_000
+MAX_WORDS = 200_000
+MAX_ENTRIES = 2_000_000
 #: Bytes of text, and words to be looked up, that close a block.
-BLOCK_BYTES = 24 << 20
-BLOCK_WORDS = 400_000
+BLOCK_BYTES = 20 << 20
+BLOCK_WORDS = 350_000
 ORDERS = (5, 4, 3, 2, 1)
 #: Count, in the language with the most text, that any language gets for what only others have.
 FLOOR = 0.05
 #: Entries that a worker holds before it flushes counts.
-HELD = 300_000
+HELD = 150_000
 #: Words that make a decision as sure as it gets; more of them count by their mean.
 ENOUGH = 30
 
@@ -62,12 +62,18 @@ def _rows(counts):
 def _counted(batches, items):
     """Counts of ``items`` of each text by language, flushed before they outgrow the worker."""
     counts = defaultdict(Counter)
+    held = 0
     for batch in batches:
-        for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            own = counts[lang]
-            own.update(items(text))
-            if len(own) > HELD:
-                yield _rows(counts)
+        for a, b in chunks(batch.column(1)):
+            langs, texts = (batch.column(i).slice(a, b - a).to_pylist() for i in (0, 1))
+            for lang, text in zip(langs, texts):
+                own = counts[lang]
+                held -= len(own)
+                own.update(items(text))
+                held += len(own)
+                if held > HELD:
+                    yield _rows(counts)
+                    held = 0
     yield _rows(counts)
 
 

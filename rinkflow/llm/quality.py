@@ -34,7 +34,7 @@ def _odds(part, whole):
 def statistics(column):
     """A row of STATISTICS for each text; nulls count as empty."""
     out = []
-    for a, b in W.chunks(column):
+    for a, b in W.chunks(column, 1 << 20):
         part = column.slice(a, b - a)
         data, offsets = W.column_bytes(part)
         kinds = _KINDS[data]

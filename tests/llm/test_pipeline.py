@@ -23,7 +23,7 @@ def test_every_operator_is_registered():
     import __spark_entry__ as entry
 
     names = [*entry.queries()]
-    assert all(sum(n.startswith(f"op{k}_") for n in names) == 1 for k in range(1, 11)) and "pipeline" in names
+    assert all(sum(n.startswith(f"op{k}_") for n in names) == 1 for k in range(1, 14)) and "pipeline" in names
 
 
 def test_stages(spark):
@@ -65,3 +65,24 @@ def test_edge_rows(spark):
     ids = [r.doc_id for r in docs.collect()]
     assert ids.count(3) == 1 and 1 not in ids and 2 not in ids
     assert corpus_pipeline.byte_level_bpe(spark, docs, FOLDER).count() == len(ids)
+
+
+def test_columns_of_any_name_stay(spark):
+    """Extra columns named like what the stages compute come out as they were."""
+    extra = {"score": -7.0, "lang_pred": "x", "statistics": "s", "predicted": 3, "text_key": 5, "component_id": 6, "kept": "k", "_gone_0": 9}
+    rows = [(i, f"the words of a text and more words of number {i} in the house", "en", "s", 9, *extra.values()) for i in range(6)]
+    columns = ["doc_id", "text", "lang", "source", "n_chars", *extra]
+    docs = spark.createDataFrame(rows, columns)
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = corpus_pipeline.materialize(stage(spark, docs, FOLDER))
+        assert out.columns == columns, name
+        assert {tuple(r)[5:] for r in out.collect()} <= {tuple(extra.values())}, name
+
+
+def test_an_id_with_several_texts_keeps_one_row_of_a_group(spark):
+    words = [f"w{i}" for i in range(63)]
+    rows = [(1, " ".join(words)), (1, " ".join([*words[:-1], "x"])), (1, "another text of its own with words"), (2, " ".join(words)), (3, ""), (3, "")]
+    docs = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    kept = sorted((r.doc_id, r.text) for r in corpus_pipeline.near_dedup(spark, docs, FOLDER).collect())
+    assert len(kept) == 3 and (3, "") in kept
+    assert sum(k[0] == 1 and k[1].startswith("w0") for k in kept) == 1 and (1, rows[2][1]) in kept
