@@ -53,8 +53,10 @@ def test_flat_and_empty(spark):
     assert trend.lowess_trend(df.where("x > 5"), "x", "y").count() == 0
 
 
-@pytest.mark.parametrize("shape", ["even", "clumps", "far", "ties"])
-@pytest.mark.parametrize("frac,iters,block_rows", [(2 / 3, 3, 40), (0.1, 2, 7), (0.01, 1, 50), (1.0, 1, 1000)])
+@pytest.mark.parametrize("shape,frac,iters,block_rows", [
+    ("even", 2 / 3, 1, 40), ("clumps", 2 / 3, 3, 40), ("far", 2 / 3, 1, 40), ("ties", 0.5, 1, 30),
+    ("clumps", 0.1, 2, 7), ("even", 0.01, 1, 50), ("far", 0.01, 1, 50), ("ties", 1.0, 1, 1000),
+])
 def test_many_distinct_x_in_blocks(spark, shape, frac, iters, block_rows):
     """Windows over many blocks, within one, and moving fast over some and slowly over others."""
     rng = np.random.default_rng(4)
