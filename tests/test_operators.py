@@ -375,3 +375,19 @@ def test_ids_map_back_to_every_row(spark):
     found = spark.createDataFrame([("a", "N", "1"), ("b", "N", None)], "Name string, Country string, id string")
     df = spark.createDataFrame([(" a", "N "), ("a", "N"), ("b", "N"), (None, "N")], "Name string, Country string")
     assert sorted(r.SkaterID or "" for r in joins.map_ids_back(df, found).collect()) == ["", "", "1", "1"]
+
+
+def test_crowded_names_meet_by_merge(spark, monkeypatch):
+    """Codes of 15 letters in one family, each found; the stored index is small as a file only, and not broadcast."""
+    stored, store = [], identity.materialize
+    monkeypatch.setattr(identity, "materialize", lambda df: stored.append(df) or store(df))
+    code = "regexp_replace(translate(lpad(string(id), 5, '0'), '0123456789', 'abcdefghij'), '(.)', '$1$1$1')"
+    registry = spark.range(1000).selectExpr("string(id) AS id", f"{code} AS givenname", "'Berg' AS familyname", "'N' AS country", "id AS pos")
+    names = registry.selectExpr("givenname || 'x_Berg' AS Name", "country AS Country", "id AS wanted")
+    found = names.join(identity.resolve_entities(names, registry), ["Name", "Country"])
+    assert found.where("id = wanted").count() == 1000
+    for pairs in stored[1:]:
+        assert "BroadcastHashJoin" not in pairs._jdf.queryExecution().executedPlan().toString()
+    # Pieces of such names are in most others; what two codes share is in no third.
+    keys = identity._with_keys(registry, "givenname", {15: [(15, 14)]}, identity._NO_KEYS)
+    assert keys.groupBy("piece").count().where("count > 1").count() == 0
