@@ -10,6 +10,10 @@ from pyspark.sql import functions as F
 from rinkflow import fixed_values as fixed
 from rinkflow.functions.numbers import date_text_is_valid, hour_of, with_seconds
 from rinkflow.functions.text import has_text
+from rinkflow.session import materialize
+
+#: Rows of a few texts and numbers, one per key, that are broadcast: some ten MB.
+FEW_KEYS = 100_000
 
 
 def exclude_titles(df: DataFrame, col="title", words=fixed.EXCLUDED_TITLE_WORDS):
@@ -102,13 +106,28 @@ def first_per_key(df: DataFrame, keys=fixed.RACE_KEY, order=None):
     """First row per key in a stated order (default: condition time, then all columns).
 
     The rank filter is applied before the shuffle as well, so a key sends at
-    most one row per input partition.
+    most one row per input partition.  That sorts whole partitions: where the first
+    column of ``order`` is a whole number or a date and the keys are few, only the rows with
+    its least value, which is found by hash, are left to be sorted.
     """
     order = order or ["CondTime"] + [c for c in df.columns if c not in keys and c != "CondTime"]
+    if dict(df.dtypes).get(order[0]) in ("int", "bigint", "date", "timestamp"):
+        df = _least_rows(df, list(keys), order[0])
     w = Window.partitionBy(*keys).orderBy(*order)
     return df.withColumn("_rank", F.row_number().over(w)).where("_rank = 1").drop("_rank")
 
 
+def _least_rows(df: DataFrame, keys, col):
+    """Rows with their key's least ``col``, a NULL being less; all rows if there are more than FEW_KEYS keys."""
+    least = materialize(df.groupBy(*keys).agg(F.min(col).alias("_least"), F.max(F.col(col).isNull()).alias("_none")))
+    if least.count() > FEW_KEYS:
+        return df
+    least = least.withColumnsRenamed({k: f"_{k}" for k in keys})
+    same = [df[k].eqNullSafe(least[f"_{k}"]) for k in keys]
+    same.append(df[col].eqNullSafe(F.when(~F.col("_none"), F.col("_least"))))
+    return df.join(F.broadcast(least), reduce(and_, same), "left_semi")
+
+
 def last_condition_date(
     df: DataFrame, keys=("event_id", "schedule_number"), stamp="time_stamp",
     date="Date", position="position",

@@ -213,3 +213,17 @@ def test_first_measurement_is_the_one_that_landed_first(spark, tmp_path):
     results, conditions = enrichment.read_and_enrich(spark, str(tmp_path))
     view = curated.curated_view(clean.to_curated_results(results), clean.to_curated_conditions(conditions))
     assert [(r.CondTime, r.TempIce, r.RaceTime) for r in view.collect()] == [("10:30:00", -5.0, 36.1)]
+
+
+def test_first_rows_of_few_keys_are_found_by_hash(spark, monkeypatch):
+    """Only rows with a key's least value, or its missing ones, are left to be sorted."""
+    given = [(k, o, i) for i, (k, o) in enumerate([("a", 3), ("a", 2), ("a", 2), (None, 5), (None, None), ("b", None), ("b", 1)])]
+    df = spark.createDataFrame(given, "k string, o long, i int")
+    first = clean.first_per_key(df, ["k"], ["o", "i"])
+    text = plan(first)
+    assert "LeftSemi" in text[text.index("WindowGroupLimit"):]
+    expected = {("a", 2, 1), (None, None, 4), ("b", None, 5)}
+    assert {tuple(r) for r in first.collect()} == expected
+    monkeypatch.setattr(clean, "FEW_KEYS", 1)
+    many = clean.first_per_key(df, ["k"], ["o", "i"])
+    assert "LeftSemi" not in plan(many) and {tuple(r) for r in many.collect()} == expected
