@@ -69,21 +69,30 @@ def add_standard_tfm(df: DataFrame, pair="Pair", distance_col="Race"):
     return df.withColumns({"EstimatedTFM": tfm, "EstimatedTFMBuffer": tfm_buffer(tfm)})
 
 
+def _with_pair(df, pair, distance_col):
+    is_long = distance_of(distance_col) == str(fixed.BREAK_DISTANCE)
+    return df.withColumns({"_pair": whole_pair(df, pair), "_long": F.coalesce(is_long, F.lit(False))})
+
+
+def break_positions(df: DataFrame, keys=fixed.RACE_KEY, pair="Pair", distance_col="Race"):
+    """Positions of the pairs of races that may have a break."""
+    rows = _with_pair(df, pair, distance_col)
+    return pair_positions(rows.where("_long"), keys, "_pair").withColumn("_long", F.lit(True))
+
+
 def tfm_break_reset(
     df: DataFrame, keys=fixed.RACE_KEY, pair="Pair", distance_col="Race",
-    tfm="EstimatedTFM", buffer="EstimatedTFMBuffer",
+    tfm="EstimatedTFM", buffer="EstimatedTFMBuffer", positions=None,
 ):
     """Restart the clock for pairs that skate after the break of a 10000 m.
 
     The break comes halfway; races of 4 or 6 pairs have none, nor do races of
-    a single pair.
+    a single pair.  ``positions``, if they are known, are the `break_positions` of the races; stored
+    they are small beside the rows, which then need not be shuffled.
     """
     # All rows keep their pair in the join key, so a race spreads over its pairs.
-    is_long = distance_of(distance_col) == str(fixed.BREAK_DISTANCE)
-    rows = df.withColumns(
-        {"_pair": whole_pair(df, pair), "_long": F.coalesce(is_long, F.lit(False))}
-    )
-    positions = pair_positions(rows.where("_long"), keys, "_pair").withColumn("_long", F.lit(True))
+    rows = _with_pair(df, pair, distance_col)
+    positions = break_positions(df, keys, pair, distance_col) if positions is None else positions
     placed = null_safe_left_join(rows, positions, [*keys, "_pair", "_long"])
     half = F.floor((F.col("pairs_in_race") + 1) / 2)
     resets = (
@@ -99,6 +108,7 @@ def tfm_break_reset(
     )
 
 
-def estimate_tfm(df: DataFrame, keys=fixed.RACE_KEY, pair="Pair", distance_col="Race"):
+def estimate_tfm(df: DataFrame, keys=fixed.RACE_KEY, pair="Pair", distance_col="Race", positions=None):
     """Both steps: by start order, then the break."""
-    return tfm_break_reset(add_standard_tfm(df, pair, distance_col), keys, pair, distance_col)
+    timed = add_standard_tfm(df, pair, distance_col)
+    return tfm_break_reset(timed, keys, pair, distance_col, positions=positions)

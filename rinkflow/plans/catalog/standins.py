@@ -22,11 +22,15 @@ def table(spark, folder, name):
 
 def races(spark, folder):
     """Every lineitem row as a race entry, lineitem columns kept."""
+    return _entered(table(spark, folder, "lineitem"))
+
+
+def _entered(rows, *more):
     distances = F.array(*[F.lit(d) for d in DISTANCES])
     gender = F.when(F.col("l_orderkey") % 2 == 0, "Men").otherwise("Women")
     distance = F.get(distances, (F.col("l_partkey") % 6).cast("int"))
     best = F.col("l_quantity") + 30.0
-    return table(spark, folder, "lineitem").select(
+    return rows.select(
         *LINEITEM_COLUMNS,
         F.concat(F.lit("Rink_"), (F.col("l_suppkey") % 10).cast("string")).alias("Stadium"),
         F.trunc("l_shipdate", "month").alias("Date"),
@@ -38,23 +42,20 @@ def races(spark, folder):
         (F.col("l_orderkey") % 2).cast("double").alias("Lane"),
         best.alias("SeasonalBest"),
         (best * (F.lit(1.0) + F.col("l_discount"))).alias("RaceTime"),
+        *more,
     )
 
 
-def with_skater(spark, folder, rows):
-    """``rows`` of races with the skater: the customer of the order."""
+def results(spark, folder):
+    """Races with the skater: the customer of the order.
+
+    Orders meet customers first, so that the long table is shuffled once, and before its texts are made.
+    """
     orders = table(spark, folder, "orders").select("o_orderkey", "o_custkey")
     customers = table(spark, folder, "customer").select("c_custkey", F.col("c_name").alias("Name"))
-    return (
-        rows.join(orders, rows["l_orderkey"] == orders["o_orderkey"])
-        .join(customers, F.col("o_custkey") == customers["c_custkey"])
-        .withColumn("SkaterID", F.col("o_custkey").cast("string"))
-        .drop("o_orderkey", "c_custkey", "o_custkey")
-    )
-
-
-def results(spark, folder):
-    return with_skater(spark, folder, races(spark, folder))
+    skaters = orders.join(customers, orders["o_custkey"] == customers["c_custkey"])
+    rows = table(spark, folder, "lineitem").join(skaters, F.col("l_orderkey") == skaters["o_orderkey"])
+    return _entered(rows, "Name", F.col("o_custkey").cast("string").alias("SkaterID"))
 
 
 def conditions(spark, folder):
@@ -93,16 +94,18 @@ def light_view(spark, folder):
     return clean.plausible(view)
 
 
-def stored_results(spark, folder):
-    """Results with estimated times from mopping, as a written table."""
-    timed = sequence.estimate_tfm(races(spark, folder))
-    return materialize(entries(with_skater(spark, folder, timed)))
+def timed_results(spark, folder):
+    """Results with estimated times from mopping."""
+    positions = materialize(sequence.break_positions(races(spark, folder)))
+    timed = sequence.estimate_tfm(results(spark, folder), positions=positions)
+    last = ["Name", "SkaterID"]
+    return entries(timed).select(*[c for c in entries(timed).columns if c not in last], *last)
 
 
 def full_view(spark, folder):
     """The whole curated view."""
     return curated.curated_view(
-        stored_results(spark, folder), conditions(spark, folder), LINEITEM_COLUMNS
+        timed_results(spark, folder), conditions(spark, folder), LINEITEM_COLUMNS
     )
 
 

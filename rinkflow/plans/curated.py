@@ -10,6 +10,9 @@ from rinkflow.functions.text import gender_num
 from rinkflow.operators import clean, joins, stats
 from rinkflow.session import materialize
 
+#: Rows of the view that a task orders: about 250 MB.
+ROWS_TO_SORT = 1 << 19
+
 
 def typed_date(df: DataFrame, col="Date"):
     """Date column from either text form; a date stays as it is."""
@@ -19,13 +22,14 @@ def typed_date(df: DataFrame, col="Date"):
 def first_conditions(conditions: DataFrame, order=None):
     """The first start measurement of each race, without the ``order`` columns.
 
+    It is stored: one row per race is little, and known to be so when results are joined.
     By default measurements are in the order in which they landed, if they
     carry it (`fixed.INGEST_ORDER`).
     """
     if order is None and set(fixed.INGEST_ORDER) <= set(conditions.columns):
         order = fixed.INGEST_ORDER
     start = clean.occasion_filter(conditions)
-    return clean.first_per_key(start, fixed.RACE_KEY, order).drop(*(order or []))
+    return materialize(clean.first_per_key(start, fixed.RACE_KEY, order).drop(*(order or [])))
 
 
 def joined_view(results: DataFrame, first: DataFrame):
@@ -73,7 +77,8 @@ def store_view(view: DataFrame):
 
     Within it rows are ordered by year and stadium, in ranges, so that files and
     row groups outside a selection are not read; a large distance spreads over
-    many tasks.
+    many tasks, with so many rows to each that they are sorted in memory.
     """
     layout = ["Distance", "Year", "Stadium"]
-    return materialize(view.repartitionByRange(*layout, "Date", "Race").sortWithinPartitions(*layout), ["Distance"])
+    ranges = -(-view.count() // ROWS_TO_SORT) or 1
+    return materialize(view.repartitionByRange(ranges, *layout, "Date", "Race").sortWithinPartitions(*layout), ["Distance"])

@@ -227,3 +227,22 @@ def test_first_rows_of_few_keys_are_found_by_hash(spark, monkeypatch):
     monkeypatch.setattr(clean, "FEW_KEYS", 1)
     many = clean.first_per_key(df, ["k"], ["o", "i"])
     assert "LeftSemi" not in plan(many) and {tuple(r) for r in many.collect()} == expected
+
+
+def test_stored_view_is_ordered_in_ranges_of_bounded_size(spark, monkeypatch):
+    monkeypatch.setattr(curated, "ROWS_TO_SORT", 1000, raising=False)
+    view = spark.range(20_000).selectExpr(
+        "500 AS Distance", "int(id % 30) AS Year", "'s' || id % 10 AS Stadium", "date_add(date'2000-01-01', int(id % 900)) AS Date",
+        "'r' || id AS Race")
+    stored = curated.store_view(view)
+    assert stored.count() == 20_000 and len(stored.inputFiles()) >= 15
+
+
+def test_entries_are_shuffled_once_for_their_skaters(spark):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(standins.results(spark, FOLDER))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert text[text.index("SortMergeJoin"):].startswith("SortMergeJoin [l_orderkey")
