@@ -216,7 +216,10 @@ def parse_results(text):
 
 def explode_results(documents: DataFrame, text="results") -> DataFrame:
     """Result list, or single object, -> one row each, ``competitor`` nested."""
-    return explode_result_list(documents.where(F.col(text).isNotNull()).withColumn(text, parse_results(text)), text)
+    # As one generated row the list is parsed once, not for the condition that it has rows as well.
+    parsed = F.explode(F.array(parse_results(text))).alias(text)
+    carried = [c for c in documents.columns if c != text]
+    return explode_result_list(documents.where(F.col(text).isNotNull()).select(*carried, parsed), text)
 
 
 def explode_result_list(races: DataFrame, results="results") -> DataFrame:

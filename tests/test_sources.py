@@ -180,3 +180,12 @@ def test_date_of_last_stamp_even_if_dropped(spark, tmp_path):
     details = landed_json.read_competition_details(spark, path)
     got = details.select("event_id", enrichment.last_stamp_date().cast("string").alias("d"))
     assert {r.event_id: r.d for r in got.collect()} == {"a": "2024-01-03", "b": None, "c": None}
+
+
+def test_results_are_parsed_once(spark):
+    """Not for the condition that there are rows, too."""
+    documents = spark.range(3).selectExpr("'e' AS event_id", "id AS schedule_number", """'[{"rank":1},{"rank":2}]' || repeat(' ', int(id)) AS results""")
+    exploded = landed_json.explode_results(documents)
+    text = exploded._jdf.queryExecution().executedPlan().toString()
+    assert not [line for line in text.splitlines() if "Filter" in line and "from_json" in line]
+    assert exploded.count() == 6
