@@ -6,11 +6,20 @@ from rinkflow.plans.catalog.standins import once, table
 from rinkflow.session import scratch_folder
 
 
+#: Documents of a file: compressed files are read whole, so that they have to stay small.
+DOCUMENTS_PER_FILE = 1 << 16
+
+
 def write_text_documents(df, path):
     df.write.text(path)
     return path
 
 
+def _landing(df):
+    """A writer of compressed documents, added to those that are there."""
+    return df.write.mode("append").option("compression", "snappy").option("maxRecordsPerFile", DOCUMENTS_PER_FILE)
+
+
 def event_pages(spark, folder):
     """Three events per order; every other page wraps its list in an object."""
     key = F.col("o_orderkey")
@@ -282,14 +291,14 @@ def _stale(spark, folder, path):
     """Earlier versions of some documents: other events, titles, measures and times."""
     details = race_details(spark, folder).where("schedule_number % 3 = 0")
     details = details.withColumn("conditions", F.transform("conditions", lambda c: c.withField("airTemperature", F.lit(99.0))))
-    details.write.json(f"{path}/competition_details")
+    _landing(details).json(f"{path}/competition_details")
     results = race_results(spark, folder).where(F.crc32("value") % 4 == 0)
-    write_text_documents(results.withColumn("value", F.regexp_replace("value", ",5\"", ",9\"")), f"{path}/competition_results")
+    _landing(results.withColumn("value", F.regexp_replace("value", ",5\"", ",9\""))).text(f"{path}/competition_results")
     listed = race_competitions(spark, folder).withColumn(
         "competitions", F.transform("competitions", lambda c: c.withField("title", F.lit("500m Old")))
     )
-    listed.write.json(f"{path}/competitions")
-    event_details(spark, folder).withColumn("name", F.lit("Old")).write.json(f"{path}/event_details")
+    _landing(listed).json(f"{path}/competitions")
+    _landing(event_details(spark, folder).withColumn("name", F.lit("Old"))).json(f"{path}/event_details")
 
 
 def landing_folder(spark, folder, path, again=False):
@@ -301,14 +310,14 @@ def landing_folder(spark, folder, path, again=False):
     )
     # Some events are listed twice.
     pages = pages.union(pages.where(F.crc32("value") % 3 == 0))
-    pages.write.mode("append").text(f"{path}/event_pages")
-    race_results(spark, folder).write.mode("append").text(f"{path}/competition_results")
+    _landing(pages).text(f"{path}/event_pages")
+    _landing(race_results(spark, folder)).text(f"{path}/competition_results")
     for name, documents in (
         ("event_details", event_details), ("competitions", race_competitions),
         ("competition_details", race_details), ("skaters", race_skaters),
         ("season_bests", season_bests), ("weather", race_weather),
     ):
-        documents(spark, folder).write.mode("append").json(f"{path}/{name}")
+        _landing(documents(spark, folder)).json(f"{path}/{name}")
     return path
 
 

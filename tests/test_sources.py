@@ -189,3 +189,11 @@ def test_results_are_parsed_once(spark):
     text = exploded._jdf.queryExecution().executedPlan().toString()
     assert not [line for line in text.splitlines() if "Filter" in line and "from_json" in line]
     assert exploded.count() == 6
+
+
+def test_landed_documents_are_compressed(spark, tmp_path):
+    from rinkflow.plans.catalog import landing
+
+    landing.landing_folder(spark, "/root/testdata/sf0.001", str(tmp_path / "all"))
+    files = [p for p in (tmp_path / "all").rglob("part-*")]
+    assert files and all(p.name.endswith(".snappy") for p in files)
