@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rinkflow.llm.words import chunks
-from rinkflow.llm.workers import ship
+from rinkflow.llm.workers import release, ship
 from rinkflow.session import materialize
 
 LETTERS = re.compile(r"[^\W\d_]+")
@@ -75,6 +75,7 @@ def _counted(batches, items):
                     yield _rows(counts)
                     held = 0
     yield _rows(counts)
+    release()
 
 
 def _count_words(batches):
@@ -242,8 +243,11 @@ def _blocks(held):
                 if block.full():
                     yield block.row(number)
                     block, number = _Block(frequent, places), number + 1
+                    release()
         if block.parts:
             yield block.row(number)
+        del block, places
+        release()
 
     return run
 

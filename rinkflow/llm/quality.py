@@ -2,16 +2,19 @@
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from rinkflow.llm import words as W
-from rinkflow.llm.workers import ship
+from rinkflow.llm.workers import release, ship
 
 #: What a covariance gives to the pooled variances, and what every variance gets.
 SHRINKAGE = 0.1
 RIDGE = 1e-3
 #: Bytes at which a text's statistics count half: those of a few words say little.
 HALF_BYTES = 60
+#: Bytes of text that are measured at a time: some dozen arrays hold eight bytes for each of them.
+MEASURED_BYTES = 1 << 18
 #: The statistics, in order; fractions are taken as log odds, lengths as logarithms.
 STATISTICS = [
     "log_bytes", "log_word_length", "upper", "digits", "symbols", "exclamations", "stops",
@@ -34,7 +37,7 @@ def _odds(part, whole):
 def statistics(column):
     """A row of STATISTICS for each text; nulls count as empty."""
     out = []
-    for a, b in W.chunks(column, 1 << 20):
+    for a, b in W.chunks(column, MEASURED_BYTES):
         part = column.slice(a, b - a)
         data, offsets = W.column_bytes(part)
         kinds = _KINDS[data]
@@ -107,6 +110,7 @@ def measure(docs, columns=("doc_id",), text_column="text"):
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[:-1], flat], names=[*batch.schema.names[:-1], "statistics"]
             )
+        release()
 
     fields = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in kept.schema[:-1])
     return kept.mapInArrow(run, f"{fields}statistics array<double>")
@@ -194,3 +198,14 @@ def score(measured, model):
 
     fields = "".join(f"`{c}` {measured.schema[c].dataType.simpleString()}, " for c in kept)
     return measured.select(*kept, "statistics").mapInArrow(run, f"{fields}score double, predicted int")
+
+
+def text_score(text, model):
+    """The ``score`` of a text column as a column, so that only the texts visit Python and nothing but scores comes back."""
+    ship(SparkSession.active())
+
+    @F.arrow_udf("double")
+    def run(texts: pa.Array) -> pa.Array:
+        return pa.array(model.score(statistics(texts)), pa.float64())
+
+    return run(text)

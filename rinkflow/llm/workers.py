@@ -1,9 +1,12 @@
 """The package on the executors' Python path, once per Spark application."""
 
+import ctypes
 import os
 import shutil
 import tempfile
 
+import pyarrow as pa
+
 import rinkflow
 
 _shipped = set()
@@ -21,3 +24,11 @@ def ship(spark):
     name = os.path.join(os.path.realpath(tempfile.mkdtemp()), "rinkflow")
     context.addPyFile(shutil.make_archive(name, "zip", root, "rinkflow"))
     _shipped.add(context.applicationId)
+
+
+def release():
+    """Give the memory that a worker has freed back to the system: workers outlive their tasks."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)

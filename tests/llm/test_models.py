@@ -206,3 +206,17 @@ def test_short_words_and_repeats_are_counted():
     odds = lambda part, whole: np.log((part + 0.2) / (whole - part + 2.0))
     assert rows[:, place("short_words")] == pytest.approx([odds(3, 4), odds(0, 3), odds(4, 4), odds(0, 0)])
     assert rows[:, place("repeated_words")] == pytest.approx([odds(0, 4), odds(0, 3), odds(3, 4), odds(0, 0)])
+
+
+def test_the_score_of_texts_is_that_of_their_statistics(spark, monkeypatch):
+    """Rows do not visit Python for it, and no more than MEASURED_BYTES of text are measured at a time."""
+    texts = ["A good sentence, of some length.", None, "", "# $ %% " * 90, "word word\nword word", "x" * 900] * 9
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i // 3 % 2) for i in range(len(texts))], "doc_id long, quality int")
+    model = quality.fit(quality.measure(docs), labels)
+    wanted = {r.doc_id: r.score for r in quality.score(quality.measure(docs), model).collect()}
+    monkeypatch.setattr(quality, "MEASURED_BYTES", 100)
+    found = docs.select("*", quality.text_score(docs["text"], model).alias("score"))
+    assert {r.doc_id: r.score for r in found.collect()} == pytest.approx(wanted)
+    plan = found._jdf.queryExecution().toString()
+    assert "ArrowEvalPython" in plan and "MapInArrow" not in plan
