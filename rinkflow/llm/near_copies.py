@@ -10,7 +10,9 @@
    region is. The trees are taken in turns, with components between them: the
    first FIRST trees give next neighbours, then all trees do, then all give
    those within WINDOW places; only those not yet in one component are compared.
-3. Candidates are compared by whole signatures, then confirmed on whole sets.
+3. Candidates are compared by whole signatures, then confirmed on whole sets. In
+   regions that hold more than a window's representatives the signatures come to
+   the sorted rows, once for each row and tree, so that only alike pairs come out.
 4. Regions that hold more than a window's representatives, of several
    components, are searched exactly: what is not in the region's largest
    component is compared on whole sets with everything in the region, in
@@ -114,11 +116,12 @@ PAIR, EDGE, WIDE = 0, 1, 2
 _SCAN = "kind int, a long, b long, tree int, high long, low long, n long, component long, part int"
 
 
-def _scan(nodes, trees, window, percent):
+def _scan(nodes, trees, window, percent, in_wide=True):
     """Candidates (kind PAIR), rows next to a cut (EDGE) and rows of wide regions (WIDE).
 
     ``nodes``: id, n, signature, component. Only pairs of different components
-    whose sizes allow the threshold are emitted.
+    whose sizes allow the threshold are emitted; without ``in_wide`` none of two rows
+    that come out as WIDE.
     """
     size = 2 * DEPTH
     keys = F.transform(
@@ -144,25 +147,24 @@ def _scan(nodes, trees, window, percent):
             old = len(held[0]) if held else 0
             tree, high, low, ids, n, component = all_ = [np.concatenate([h, x]) for h, x in zip(held, new)] if held else new
             out = [[], []]
-            same_run = lambda g: (tree[g:] == tree[:-g]) & (high[g:] == high[:-g])
+            wide = np.zeros(len(ids), bool)
+            if len(ids) > window + 1:
+                far = _same_run(tree, high, window + 1)
+                for k in range(window + 2):
+                    wide[k : k + len(far)] |= far
+                if wide.any():
+                    yield _rows(WIDE, [x[wide] for x in all_], part)
             for g in range(1, min(window, len(ids) - 1) + 1):
-                small, large = np.minimum(n[g:], n[:-g]), np.maximum(n[g:], n[:-g])
-                fit = same_run(g) & (component[g:] != component[:-g]) & (100 * small >= percent * large)
+                fit = _may_link(tree, high, n, component, g, percent)
                 fit &= np.arange(g, len(ids)) >= old
+                if not in_wide:
+                    fit &= ~(wide[g:] & wide[:-g])
                 out[0].append(ids[:-g][fit])
                 out[1].append(ids[g:][fit])
             if out[0]:
                 a, b = np.concatenate(out[0]), np.concatenate(out[1])
                 if len(a):
                     yield _candidates(np.minimum(a, b), np.maximum(a, b))
-            g = window + 1
-            if len(ids) > g:
-                far = same_run(g)
-                wide = np.zeros(len(ids), bool)
-                for k in range(g + 1):
-                    wide[k : k + len(far)] |= far
-                if wide.any():
-                    yield _rows(WIDE, [x[wide] for x in all_], part)
             if first:
                 yield _rows(EDGE, [x[:window] for x in all_], part)
                 first = False
@@ -173,6 +175,56 @@ def _scan(nodes, trees, window, percent):
     return materialize(rows.mapInArrow(run, _SCAN))
 
 
+def _same_run(tree, high, g):
+    """Whether a row and the one ``g`` places before it share MIN_DEPTH minima."""
+    return (tree[g:] == tree[:-g]) & (high[g:] == high[:-g])
+
+
+def _may_link(tree, high, n, component, g, percent):
+    """Whether a row and the one ``g`` places before it are of one region, of two components and of fitting sizes."""
+    small, large = np.minimum(n[g:], n[:-g]), np.maximum(n[g:], n[:-g])
+    return _same_run(tree, high, g) & (component[g:] != component[:-g]) & (100 * small >= percent * large)
+
+
+def _within_wide(scanned, nodes, window, percent):
+    """Pairs (a, b) within ``window`` places in wide regions of several components, unlike signatures left out.
+
+    Every row gets its signature once for each tree, however many candidates it has.
+    What stands across a cut is left to the exact search, which covers these regions whole.
+    """
+    columns = ["tree", "high", "low", "id", "n", "component"]
+    wide = scanned.where(F.col("kind") == WIDE).withColumnRenamed("a", "id").select(*columns).distinct()
+    mixed = wide.groupBy("tree", "high").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y")
+    rows = wide.join(mixed.select("tree", "high"), ["tree", "high"], "left_semi").join(nodes.select("id", "signature"), "id")
+    order = ["tree", "high", "low", "id"]
+    rows = rows.select(*columns, "signature").repartitionByRange(*order).sortWithinPartitions(*order)
+
+    def run(batches):
+        held = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            new = [batch.column(i).to_numpy() for i in range(6)]
+            new.append(np.frombuffer(b"".join(batch.column(6).to_pylist()), np.uint16).reshape(batch.num_rows, -1))
+            old = len(held[0]) if held else 0
+            tree, high, _, ids, n, component, signature = all_ = [np.concatenate(x) for x in zip(held, new)] if held else new
+            for g in range(1, min(window, len(ids) - 1) + 1):
+                fit = _may_link(tree, high, n, component, g, percent) & (np.arange(g, len(ids)) >= old)
+                at = np.flatnonzero(fit)
+                at = at[_signatures_fit(signature[at], signature[at + g], percent)]
+                a, b = ids[at], ids[at + g]
+                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
+            held = [x[-window:] for x in all_]
+
+    return rows.mapInArrow(run, "a long, b long")
+
+
+def _signatures_fit(a, b, percent):
+    """Whether the rows of two matrices of minima do not rule the threshold out."""
+    least = percent / 100 - DEVIATIONS * math.sqrt(percent / 100 * (1 - percent / 100) / a.shape[1])
+    return (a == b).mean(axis=1) >= least
+
+
 def _candidates(a, b):
     none = pa.nulls(len(a), pa.int64())
     small = pa.nulls(len(a), pa.int32())
@@ -244,9 +296,7 @@ def _alike(pairs, nodes, percent):
         for batch in batches:
             if batch.num_rows:
                 a, b = (np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint16).reshape(batch.num_rows, -1) for i in (2, 3))
-                least = percent / 100 - DEVIATIONS * math.sqrt(percent / 100 * (1 - percent / 100) / a.shape[1])
-                fit = pa.array((a == b).mean(axis=1) >= least)
-                yield batch.select([0, 1]).filter(fit)
+                yield batch.select([0, 1]).filter(pa.array(_signatures_fit(a, b, percent)))
 
     return _both(pairs, nodes, "signature").mapInArrow(run, "a long, b long")
 
@@ -366,12 +416,15 @@ def near_copies(docs, shingle=5, percent=80, id_column="doc_id", text_column="te
         .dropDuplicates(["id"])
     )
     labels = None
-    for window, used in ((1, min(FIRST, trees)), (1, trees), (WINDOW, trees)):
+    for window, used, last in ((1, min(FIRST, trees), False), (1, trees, False), (WINDOW, trees, True)):
         labelled = nodes.withColumn("component", F.col("id")) if labels is None else _labelled(nodes, labels)
-        scanned = _scan(labelled, used, window, percent)
+        scanned = _scan(labelled, used, window, percent, not last)
         pairs = scanned.where(F.col("kind") == PAIR).select("a", "b")
         pairs = pairs.unionByName(_across_cuts(scanned, window, percent)).distinct()
-        alike = materialize(_alike(pairs, nodes, percent))
+        alike = _alike(pairs, nodes, percent)
+        if last:
+            alike = alike.unionByName(_within_wide(scanned, nodes, window, percent)).distinct()
+        alike = materialize(alike)
         labels = _merged(labels, _confirmed(docs, alike, readers, shingle, percent, id_column, text_column))
     if not scanned.where(F.col("kind") == WIDE).isEmpty():
         rest = _rest(docs, scanned, labels, readers, shingle, percent, id_column, text_column)

@@ -81,6 +81,30 @@ def test_crowded_regions_are_searched_whole(spark, monkeypatch, window):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == groups(rows, 5, 80)
 
 
+def test_candidates_in_a_crowded_region_are_not_made_as_rows(spark, monkeypatch):
+    """Texts that share most minima and are no near copies: signatures meet rows, not candidates."""
+    pick = random.Random(1)
+    base = [f"w{i}" for i in range(60)]
+    rows = []
+    for i in range(400):
+        words = list(base)
+        for k in range(6):
+            words[pick.randrange(60)] = f"n{i}x{k}"
+        rows.append((i, " ".join(words)))
+    made, plain = [], near_copies._both
+
+    def counted(pairs, table, value):
+        made.append(pairs.count())
+        return plain(pairs, table, value)
+
+    monkeypatch.setattr(near_copies, "_both", counted)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = near_copies.near_copies(docs, 2, 80).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == groups(rows, 2, 80)
+    trees = near_copies.trees_for(80)
+    assert sum(made) <= len(rows) * 2 * trees
+
+
 def test_near_copies_edge_rows(spark):
     long = " ".join(f"t{i}" for i in range(30000))
     rows = [(1, None), (2, ""), (3, " \n"), (9, "One two"), (4, "one TWO"), (5, long), (6, long + " x"), (None, long), (6, long + " x"), (7, "one two three")]
