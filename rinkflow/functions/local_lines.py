@@ -12,6 +12,8 @@ used for, so no term exceeds its weight and nothing cancels.
 import numpy as np
 
 DEGREE = 11
+#: Windows that are summed together: their arrays stay in the cache, and memory is not mapped anew for each.
+WINDOWS = 1 << 11
 #: Sums of a local line: weights, with t and t * t, with y, with t * y; t in units of h. Then the weights before tricube.
 SUMS = ("w", "t", "tt", "y", "ty", "before")
 
@@ -29,6 +31,22 @@ def _move(moments, delta, ratio):
     return out
 
 
+def _taylor(d, r):
+    """The coefficients of (1 - (d + r * tau)^3)^3 by powers of tau."""
+    square = d * d
+    cube = square * d
+    rest = 1 - cube
+    out = [
+        rest * rest * rest, -9 * square * rest * rest, -9 * d * rest * (1 - 4 * cube), (60 - 84 * cube) * cube - 3,
+        square * (45 - 126 * cube), d * (18 - 126 * cube), 3 - 84 * cube, -36 * square, -9 * d,
+    ]
+    power = r
+    for k in range(1, len(out)):
+        out[k] *= power
+        power = power * r
+    return [*out, -power]
+
+
 class Nodes:
     """Runs of rows: their ends, and moments of the weights and of the weighted y."""
 
@@ -76,10 +94,24 @@ class Nodes:
         )
 
     def tricube(self, x0, h, side):
-        """SUMS of each node for a window about x0; ``side`` is -1 left of x0, 1 right of it."""
-        weights, values = self._about(x0, h)
-        of = lambda m, q: m[q] - 3 * side * m[q + 3] + 3 * m[q + 6] - side * m[q + 9]
-        return np.stack([of(weights, 0), of(weights, 1), of(weights, 2), of(values, 0), of(values, 1), weights[0]])
+        """SUMS of each node for a window about x0; ``side`` is -1 left of x0, 1 right of it.
+
+        The weight of a row at ``tau`` is a polynomial in it, whose coefficients follow from the
+        node's centre and radius in units of h, so no moments are moved.
+        """
+        some = np.where(h > 0, h, 1)
+        delta, ratio = (self.centre - x0) / some, self.radius / some
+        weights, values = self.weights, self.values
+        if not self.radius.any():
+            w = (1 - np.abs(delta) ** 3) ** 3
+            y, w = w * values[0], w * weights[0]
+            return np.stack([w, delta * w, delta * delta * w, y, delta * y, weights[0]])
+        factors = _taylor(side * delta, side * ratio)
+        w, w1, w2 = (sum(f * m for f, m in zip(factors, weights[k:])) for k in range(3))
+        y, y1 = (sum(f * m for f, m in zip(factors, values[k:])) for k in range(2))
+        t = delta * w + ratio * w1
+        tt = delta * t + ratio * (delta * w1 + ratio * w2)
+        return np.stack([w, t, tt, y, delta * y + ratio * y1, weights[0]])
 
 
 class Tree:
@@ -96,7 +128,12 @@ class Tree:
     def sums(self, first, last, x0, h, side):
         """SUMS over the rows from ``first`` up to but not with ``last`` for each window."""
         total = np.zeros((len(SUMS), len(x0)))
-        first, last = first.copy(), np.maximum(first, last)
+        for at in range(0, len(x0), WINDOWS):
+            few = slice(at, at + WINDOWS)
+            self._add(total[:, few], first[few].copy(), np.maximum(first[few], last[few]), x0[few], h[few], side)
+        return total
+
+    def _add(self, total, first, last, x0, h, side):
         for nodes in self.levels:
             for ends, step in ((first, 0), (last, -1)):
                 use = np.flatnonzero((first < last) & (ends % 2 == 1))
@@ -105,4 +142,5 @@ class Tree:
                     ends[use] += 1 + 2 * step
             first //= 2
             last //= 2
-        return total
+            if not (first < last).any():
+                return

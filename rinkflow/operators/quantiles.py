@@ -48,13 +48,13 @@ def _holding(bins, within):
     return held.where("size(_held) > 0")
 
 
-def exact_quantiles(df: DataFrame, col, probabilities, by=(), bins=BINS):
+def exact_quantiles(df: DataFrame, col, probabilities, by=(), bins=BINS, written=False):
     """Quantiles with linear interpolation, per group.
 
     Returns ``by`` columns, ``n``, ``min``, ``max`` and ``q0``, ``q1``, ... in
     the order of ``probabilities`` (ascending).  NULL and NaN do not count; a
     group without values has no row.  The values are written once and read in
-    each pass.
+    each pass; ``written``: ``df`` is a stored table, which is read instead.
     """
     by = list(by)
     groups = [f"`{k}`" for k in by]
@@ -66,7 +66,9 @@ def exact_quantiles(df: DataFrame, col, probabilities, by=(), bins=BINS):
         for i in every
         for j, end in enumerate(("floor", "ceil"))
     )
-    values = materialize(_present(df, by, col))
+    values = _present(df, by, col)
+    if not written:
+        values = materialize(values)
 
     found = values.groupBy(*by, F.expr(_LOG_BIN).alias("_bin")).agg(
         F.count("*").alias("_c"), F.min("_v").alias("_low"), F.max("_v").alias("_high")

@@ -84,7 +84,7 @@ def _pairs(requests, on=()):
 def _meet(requests, rows, pairs, answer, schema, on=()):
     """``answer(requests, rows)`` for every pair of a block that asks (chunk) and one that is asked.
 
-    Both come as dicts of arrays, the rows in order.
+    Both come as dicts of arrays, the rows in the order of x.
     """
     keys = ["chunk", "block", *on]
     names = [f.split()[0] for f in schema.split(", ")]
@@ -93,9 +93,9 @@ def _meet(requests, rows, pairs, answer, schema, on=()):
 
     def run(asking, table):
         table = {c: table.column(c).to_numpy() for c in table.column_names}
-        order = np.argsort(table["row"])
+        order = np.argsort(table["x"])
         found = answer({c: asking.column(c).to_numpy() for c in asking.column_names}, {c: v[order] for c, v in table.items()})
-        return pa.table({c: pa.array(found[c]) for c in names})
+        return pa.table({c: found[c] if isinstance(found[c], pa.Array) else pa.array(found[c]) for c in names})
 
     return requests.groupBy(*keys).cogroup(asked.groupBy(*keys)).applyInArrow(run, schema)
 
@@ -230,8 +230,11 @@ CASE WHEN w <= 1e-8 * before THEN NULL
      ELSE y / w END"""
 
 
-def _fit(weighted, requests, pairs):
-    """(x, trend, mean) from rows (row, block, x, w, wy) and the windows' requests."""
+def _fit(weighted, requests, pairs, otherwise):
+    """(block, x, trend) from rows (block, x, w, wy, last) and the windows' requests.
+
+    ``otherwise`` is the trend where there is no line: ``mean``, the weighted one, or ``last``.
+    """
     spark = weighted.sparkSession
     blocks = spark.sparkContext.broadcast(Tree(_block_nodes(weighted)))
 
@@ -241,6 +244,7 @@ def _fit(weighted, requests, pairs):
         low, high = _within(rows, x, h)
         none, every = np.zeros(len(x), np.int64), np.full(len(x), len(rows))
         own, asked = asking["chunk"][0], asking["block"][0]
+        last = pa.nulls(len(x), pa.float64())
         if asked < own:
             sums = tree.sums(low, every, x, h, -1)
         elif asked > own:
@@ -254,11 +258,14 @@ def _fit(weighted, requests, pairs):
             here = np.full(len(x), own)
             sums += blocks.value.sums(asking["whole_from"], here, x, h, -1)
             sums += blocks.value.sums(here + 1, asking["whole_to"], x, h, 1)
-        return {"x": x, **dict(zip(SUMS, sums))}
-
-    parts = _meet(requests, weighted, pairs, answer, "x double, " + ", ".join(f"{c} double" for c in SUMS))
-    sums = parts.groupBy("x").agg(*[F.sum(c).alias(c) for c in SUMS])
-    fit = materialize(sums.selectExpr("x", f"{_LINE_VALUE} AS trend", "CASE WHEN w > 0 THEN y / w END AS mean"))
+            last = table["last"][at]
+        return {"own": asking["chunk"], "x": x, "last": last, **dict(zip(SUMS, sums))}
+
+    schema = "own long, x double, last double, " + ", ".join(f"{c} double" for c in SUMS)
+    parts = _meet(requests, weighted, pairs, answer, schema)
+    sums = parts.groupBy(F.col("own").alias("block"), "x").agg(*[F.sum(c).alias(c) for c in SUMS], F.max("last").alias("last"))
+    sums = sums.selectExpr("block", "x", f"{_LINE_VALUE} AS trend", "last", "CASE WHEN w > 0 THEN y / w END AS mean")
+    fit = materialize(sums.select("block", "x", F.coalesce("trend", otherwise).alias("trend")))
     blocks.destroy()
     return fit
 
@@ -281,17 +288,15 @@ def lowess_trend(df: DataFrame, x, y, frac=2 / 3, iters=3, block_rows=BLOCK_ROWS
     requests = _window_parts(index, _widths(index, k))
     pairs = _pairs(requests)
 
-    def fitted(weighted_points):
-        sums = weighted_points.groupBy("x").agg(F.sum("w").alias("w"), F.expr("sum(w * y) AS wy"))
-        return _fit(materialize(index.rows.select("row", "block", "x").join(sums, "x")), requests, pairs)
-
-    fit = fitted(points.withColumn("w", F.lit(1.0))).selectExpr("x", "coalesce(trend, mean) AS trend")
+    sums = points.groupBy("x").agg(F.expr("double(count(*)) AS w"), F.sum("y").alias("wy"))
+    weighted = index.rows.select("block", "x").join(sums, "x").withColumn("last", F.lit(None).cast("double"))
+    fit = _fit(materialize(weighted), requests, pairs, "mean")
     for _ in range(iters):
-        rows = materialize(points.join(fit, "x").selectExpr("x", "y", "abs(y - trend) AS r"))
-        scale = exact_quantiles(rows, "r", [0.5]).selectExpr("6 * q0 AS s").scalar()
+        # The points meet their trend once in a round; their residuals are read from there.
+        rows = materialize(points.join(fit, "x").selectExpr("block", "x", "y", "trend", "abs(y - trend) AS r"))
+        scale = exact_quantiles(rows, "r", [0.5], written=True).selectExpr("6 * q0 AS s").scalar()
         share = "CASE WHEN scale > 0 THEN least(r / scale, 1D) ELSE double(r != 0) END"
-        weighted = rows.withColumn("scale", scale).selectExpr("x", "y", f"pow(1D - pow({share}, 2), 2) AS w")
-        before = fit.withColumnRenamed("trend", "before")
-        fit = fitted(weighted).join(before, "x", "left").selectExpr("x", "coalesce(trend, before) AS trend")
-        fit = materialize(fit)
-    return fit
+        weighted = rows.withColumn("scale", scale).selectExpr("block", "x", "y", "trend", f"pow(1D - pow({share}, 2), 2) AS w")
+        weighted = weighted.groupBy("block", "x").agg(F.expr("sum(w) AS w"), F.expr("sum(w * y) AS wy"), F.max("trend").alias("last"))
+        fit = _fit(materialize(weighted), requests, pairs, "last")
+    return fit.select("x", "trend")

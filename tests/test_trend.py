@@ -1,7 +1,8 @@
 import numpy as np
 import pytest
 
-from rinkflow.operators import trend
+from rinkflow.functions import local_lines
+from rinkflow.operators import quantiles, trend
 
 
 def plain_lowess(x, y, frac, iters):
@@ -95,3 +96,37 @@ def test_pairs_of_blocks_stay_few(spark):
     assert blocks == 40
     assert trend._pairs(requests).count() <= blocks + 2 * 2 * blocks
     assert requests.count() <= 3 * index.distinct
+
+
+def test_the_points_are_written_once_in_a_round(spark, monkeypatch):
+    """Their residuals are read from where they met their trend, and no table of trends is joined to the next."""
+    written = []
+    store = trend.materialize
+
+    def counted(df, *more):
+        written.append(df.columns)
+        return store(df, *more)
+
+    monkeypatch.setattr(trend, "materialize", counted)
+    monkeypatch.setattr(quantiles, "materialize", counted)
+    df = spark.range(60).selectExpr("id / 7D AS x", "double(id % 5) AS y")
+    assert trend.lowess_trend(df, "x", "y", iters=1).count() == 60
+    assert [c for c in written if "_v" in c] == []
+    assert len([c for c in written if "trend" in c and "r" not in c]) == 2
+
+
+@pytest.mark.parametrize("side", [-1, 1])
+def test_sums_of_nodes_are_those_of_their_rows(side):
+    rng = np.random.default_rng(3)
+    x, w, y = np.sort(rng.uniform(0, 4, 5000)), rng.uniform(0, 1, 5000), rng.normal(0, 9, 5000)
+    tree = local_lines.Tree(local_lines.Nodes.of_rows(x, w, w * y))
+    n = local_lines.WINDOWS + 5
+    first, last = np.sort(rng.integers(0, 5001, (2, n)), axis=0)
+    x0, h = np.full(n, 4.1 if side < 0 else -0.1), rng.uniform(4.2, 9, n)
+    got = tree.sums(first, last, x0, h, side)
+    for i in range(0, n, 97):
+        rows = slice(first[i], last[i])
+        u = (x[rows] - x0[i]) / h[i]
+        t = w[rows] * (1 - np.abs(u) ** 3) ** 3
+        expected = [t.sum(), (t * u).sum(), (t * u * u).sum(), (t * y[rows]).sum(), (t * u * y[rows]).sum(), w[rows].sum()]
+        assert got[:, i] == pytest.approx(expected, rel=1e-9, abs=1e-9)
