@@ -11,11 +11,11 @@ DOCUMENTS_PER_FILE = 1 << 16
 
 
 def write_text_documents(df, path):
-    df.write.text(path)
+    compressed(df).text(path)
     return path
 
 
-def _landing(df):
+def compressed(df):
     """A writer of compressed documents, added to those that are there."""
     return df.write.mode("append").option("compression", "snappy").option("maxRecordsPerFile", DOCUMENTS_PER_FILE)
 
@@ -291,14 +291,14 @@ def _stale(spark, folder, path):
     """Earlier versions of some documents: other events, titles, measures and times."""
     details = race_details(spark, folder).where("schedule_number % 3 = 0")
     details = details.withColumn("conditions", F.transform("conditions", lambda c: c.withField("airTemperature", F.lit(99.0))))
-    _landing(details).json(f"{path}/competition_details")
+    compressed(details).json(f"{path}/competition_details")
     results = race_results(spark, folder).where(F.crc32("value") % 4 == 0)
-    _landing(results.withColumn("value", F.regexp_replace("value", ",5\"", ",9\""))).text(f"{path}/competition_results")
+    compressed(results.withColumn("value", F.regexp_replace("value", ",5\"", ",9\""))).text(f"{path}/competition_results")
     listed = race_competitions(spark, folder).withColumn(
         "competitions", F.transform("competitions", lambda c: c.withField("title", F.lit("500m Old")))
     )
-    _landing(listed).json(f"{path}/competitions")
-    _landing(event_details(spark, folder).withColumn("name", F.lit("Old"))).json(f"{path}/event_details")
+    compressed(listed).json(f"{path}/competitions")
+    compressed(event_details(spark, folder).withColumn("name", F.lit("Old"))).json(f"{path}/event_details")
 
 
 def landing_folder(spark, folder, path, again=False):
@@ -310,14 +310,14 @@ def landing_folder(spark, folder, path, again=False):
     )
     # Some events are listed twice.
     pages = pages.union(pages.where(F.crc32("value") % 3 == 0))
-    _landing(pages).text(f"{path}/event_pages")
-    _landing(race_results(spark, folder)).text(f"{path}/competition_results")
+    compressed(pages).text(f"{path}/event_pages")
+    compressed(race_results(spark, folder)).text(f"{path}/competition_results")
     for name, documents in (
         ("event_details", event_details), ("competitions", race_competitions),
         ("competition_details", race_details), ("skaters", race_skaters),
         ("season_bests", season_bests), ("weather", race_weather),
     ):
-        _landing(documents(spark, folder)).json(f"{path}/{name}")
+        compressed(documents(spark, folder)).json(f"{path}/{name}")
     return path
 
 

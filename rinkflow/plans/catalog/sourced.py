@@ -13,7 +13,7 @@ from rinkflow.sources import delimited, landed_json, tables
 
 def _landed(spark, documents):
     path = scratch_folder(spark)
-    landed_json.write_documents(documents, path)
+    landing.compressed(documents).json(path)
     return path
 
 
