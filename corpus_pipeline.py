@@ -106,10 +106,12 @@ def benchmark_decontamination(spark, docs, sf_dir):
 def byte_level_bpe(spark, docs, sf_dir):
     """doc_id, n_tokens, ids (little-endian unsigned 32-bit) and the digest of what they decode to.
 
-    A null text counts as empty; repeated rows come out repeated.
+    A null text counts as empty; repeated rows come out repeated. The ids are written before they
+    are decoded, so that a task keeps one Python worker, not two.
     """
     model = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
-    decoded = byte_bpe.decode_documents(byte_bpe.encode_documents(docs, *model), *model)
+    encoded = materialize(byte_bpe.encode_documents(docs, *model))
+    decoded = byte_bpe.decode_documents(encoded, *model)
     return decoded.select("doc_id", "n_tokens", "ids", F.sha2("decoded", 256).alias("decoded_sha256"))
 
 

@@ -9,11 +9,11 @@ import pyarrow as pa
 import regex
 import sentencepiece
 
-from rinkflow.llm.workers import ship
+from rinkflow.llm.workers import release, ship
 
 #: Texts handled together in a task, in bytes, and words remembered by a worker.
 BATCH_BYTES = 2 << 20
-MEMORY_WORDS = 600_000
+MEMORY_WORDS = 300_000
 
 _coders = {}
 
@@ -172,6 +172,7 @@ def encode_documents(docs, path, pattern, id_column="doc_id", text_column="text"
                     [batch.column(0).slice(a, b - a), counts, pa.array(ids, pa.binary())],
                     names=[id_column, "n_tokens", "ids"],
                 )
+        release()
 
     ship(docs.sparkSession)
     kind = docs.schema[id_column].dataType.simpleString()
@@ -195,6 +196,7 @@ def decode_documents(encoded, path, pattern, id_column="doc_id"):
                     [*part.columns, pa.array(texts, pa.binary())],
                     names=[id_column, "n_tokens", "ids", "decoded"],
                 )
+        release()
 
     ship(encoded.sparkSession)
     kind = encoded.schema[id_column].dataType.simpleString()

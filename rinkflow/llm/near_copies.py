@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from rinkflow.llm import words as W
 from rinkflow.llm.components import components
-from rinkflow.llm.workers import ship
+from rinkflow.llm.workers import release, ship
 from rinkflow.session import materialize
 
 #: Minima per tree, of which candidates share the first MIN_DEPTH at least.
@@ -45,6 +45,8 @@ MISS = 1e-5
 DEVIATIONS = 5.5
 #: Ids of candidates up to this number are broadcast (8 bytes each), more are joined by a shuffle.
 FEW_IDS = 4_000_000
+#: Bytes of text whose words and shingles a worker holds at a time: some forty bytes for each.
+CHUNK_BYTES = 1 << 20
 #: Rows of a region that are compared with as many others in one task of the exact search.
 BLOCK = 512
 
@@ -60,6 +62,12 @@ def sets_of(column, shingle):
     return W.distinct_per_row(*W.shingle_hashes(hashes, at, shingle))
 
 
+def _sets_by_chunk(column, shingle):
+    """(from, to, hashes, offsets): ``sets_of`` runs of rows with about CHUNK_BYTES of text."""
+    for a, b in W.chunks(column, CHUNK_BYTES):
+        yield a, b, *sets_of(column.slice(a, b - a), shingle)
+
+
 def _minima(hashes, offsets, functions):
     """16 bits of the minimum of each hash function over each set; zeros for empty sets."""
     filled = np.flatnonzero(np.diff(offsets))
@@ -90,8 +98,7 @@ def sketch(docs, shingle, trees, id_column="doc_id", text_column="text"):
 
     def run(batches):
         for batch in batches:
-            for a, b in W.chunks(batch.column(2)):
-                hashes, offsets = sets_of(batch.column(2).slice(a, b - a), shingle)
+            for a, b, hashes, offsets in _sets_by_chunk(batch.column(2), shingle):
                 signatures = _minima(hashes, offsets, trees * DEPTH)
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -104,6 +111,7 @@ def sketch(docs, shingle, trees, id_column="doc_id", text_column="text"):
                     ],
                     names=["doc_id", "text_key", "n_shingles", "set_a", "set_b", "signature"],
                 )
+        release()
 
     text = F.col(text_column)
     rows = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.xxhash64(text).alias("text_key"), text.alias("text"))
@@ -171,6 +179,7 @@ def _scan(nodes, trees, window, percent, in_wide=True):
             held = [x[-(window + 1) :] for x in all_]
         if held:
             yield _rows(EDGE, [x[-window:] for x in held], part)
+        release()
 
     return materialize(rows.mapInArrow(run, _SCAN))
 
@@ -215,6 +224,7 @@ def _within_wide(scanned, nodes, window, percent):
                 a, b = ids[at], ids[at + g]
                 yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
             held = [x[-window:] for x in all_]
+        release()
 
     return rows.mapInArrow(run, "a long, b long")
 
@@ -270,12 +280,12 @@ def _sets(docs, wanted, shingle, id_column, text_column):
 
     def run(batches):
         for batch in batches:
-            for a, b in W.chunks(batch.column(0)):
-                hashes, offsets = sets_of(batch.column(0).slice(a, b - a), shingle)
+            for a, b, hashes, offsets in _sets_by_chunk(batch.column(0), shingle):
                 sets = [hashes[i:j].tobytes() for i, j in zip(offsets, offsets[1:])]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(_stands_for(hashes, offsets, 0)), pa.array(sets, pa.binary())], names=["id", "set"]
                 )
+        release()
 
     found = texts.select("text").mapInArrow(run, "id long, set binary")
     return materialize(found.join(_few(wanted.select("id")), "id", "left_semi").dropDuplicates(["id"]))
@@ -297,6 +307,7 @@ def _alike(pairs, nodes, percent):
             if batch.num_rows:
                 a, b = (np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint16).reshape(batch.num_rows, -1) for i in (2, 3))
                 yield batch.select([0, 1]).filter(pa.array(_signatures_fit(a, b, percent)))
+        release()
 
     return _both(pairs, nodes, "signature").mapInArrow(run, "a long, b long")
 
@@ -312,6 +323,7 @@ def _linked(pairs, sets, percent):
                 both = len(np.intersect1d(a, b, assume_unique=True))
                 fit.append(100 * both >= percent * (len(a) + len(b) - both))
             yield batch.select([0, 1]).filter(pa.array(fit, pa.bool_()))
+        release()
 
     return _both(pairs, sets, "set").mapInArrow(run, "a long, b long")
 

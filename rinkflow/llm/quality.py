@@ -206,6 +206,8 @@ def text_score(text, model):
 
     @F.arrow_udf("double")
     def run(texts: pa.Array) -> pa.Array:
-        return pa.array(model.score(statistics(texts)), pa.float64())
+        found = pa.array(model.score(statistics(texts)), pa.float64())
+        release()
+        return found
 
     return run(text)

@@ -1,6 +1,7 @@
 """Near copies, licenses, decontamination and components against brute force."""
 
 import random
+import tracemalloc
 from collections import Counter
 
 import pyarrow as pa
@@ -255,3 +256,18 @@ def test_blocks_find_all_fingerprints_within_the_radius(spark):
     probes = decontamination._probes(spark.createDataFrame(rows, "k int, f0 long, f1 long"), decontamination.WINDOW_FLIPS)
     sought = decontamination._probes(spark.createDataFrame([(signed(one & mask), signed(one >> 64))], "f0 long, f1 long"), decontamination.ITEM_FLIPS)
     assert probes.join(sought, ["block", "value"]).select("k").distinct().count() == 40
+
+
+def test_sets_take_bounded_memory_beside_the_text():
+    """A worker holds the words and shingles of a part of its texts at a time."""
+    text = pa.array([" ".join(f"w{i * 7 + j}" for j in range(300)) for i in range(4000)])
+    assert text.nbytes > 5 << 20
+    tracemalloc.start()
+    try:
+        parts = [(a, b, len(offsets)) for a, b, _, offsets in near_copies._sets_by_chunk(text, 5)]
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert [b for _, b, _ in parts[:-1]] == [a for a, _, _ in parts[1:]]
+    assert parts[-1][1] == 4000
+    assert peak < 150 << 20
