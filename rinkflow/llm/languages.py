@@ -29,6 +29,9 @@ MAX_ENTRIES = 2_000_000
 BLOCK_BYTES = 20 << 20
 BLOCK_WORDS = 350_000
 ORDERS = (5, 4, 3, 2, 1)
+_KNOWN = pa.schema(
+    {"lang": pa.string(), "size": pa.int32(), "place": pa.int32(), "least": pa.float64(), "total": pa.float64()}.items()
+)
 #: Count, in the language with the most text, that any language gets for what only others have.
 FLOOR = 0.05
 #: Entries that a worker holds before it flushes counts.
@@ -99,8 +102,12 @@ def _weights(counts, totals, order):
     for (_, o), n in totals.items():
         most[o] = max(most[o], n)
     spark = counts.sparkSession
-    known = [(lang, o, langs.index(lang), math.log(FLOOR / (most[o] + 1)), float(n + 1)) for (lang, o), n in totals.items()]
-    known = spark.createDataFrame(known, "lang string, size int, place int, least double, total double")
+    known = [
+        {"lang": lang, "size": o, "place": langs.index(lang), "least": math.log(FLOOR / (most[o] + 1)), "total": float(n + 1)}
+        for (lang, o), n in totals.items()
+    ]
+    # As Arrow: from plain rows Spark makes a table in Python workers of another kind, which then stay.
+    known = spark.createDataFrame(pa.Table.from_pylist(known, schema=_KNOWN))
     weight = F.log((F.col("n") + F.lit(FLOOR)) / F.col("total")) - F.col("least")
     rows = counts.withColumn("size", order)
     return rows.join(F.broadcast(known), ["lang", "size"]).select("item", "place", weight.alias("weight"))

@@ -4,9 +4,10 @@ import corpus_pipeline
 import pytest
 import tiktoken
 from check_queries import cell, duck, normalized
+from pyspark.sql import functions as F
 from test_copies import groups
 
-from rinkflow.llm import byte_bpe, decontamination, queries
+from rinkflow.llm import byte_bpe, decontamination, languages, queries
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -86,3 +87,27 @@ def test_an_id_with_several_texts_keeps_one_row_of_a_group(spark):
     kept = sorted((r.doc_id, r.text) for r in corpus_pipeline.near_dedup(spark, docs, FOLDER).collect())
     assert len(kept) == 3 and (3, "") in kept
     assert sum(k[0] == 1 and k[1].startswith("w0") for k in kept) == 1 and (1, rows[2][1]) in kept
+
+
+def test_language_id_brings_no_text_back_from_python(spark, monkeypatch):
+    """Ids and text hashes come back; rows that share an id, or have none, go or stay by their own texts."""
+    asked, identify = [], languages.identify
+
+    def noted(docs, model, columns, *names):
+        asked.extend(columns)
+        return identify(docs, model, columns, *names)
+
+    monkeypatch.setattr(languages, "identify", noted)
+    rows = [(1, "the words of the text"), (1, "12 34"), (None, "the words"), (None, "56"), (2, None), (3, "the text"), (3, "the text"), (4, "")]
+    docs = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    kept = [(r.doc_id, r.text) for r in corpus_pipeline.language_id(spark, docs, FOLDER).collect()]
+    assert sorted(kept, key=str) == sorted([rows[0], rows[2], rows[5], rows[6]], key=str)
+    assert asked and "text" not in asked and len(asked) == 2
+
+
+def test_weights_start_no_python_workers(spark):
+    counts = spark.createDataFrame([("en", "the", 3), ("de", "der", 2)], "lang string, item string, n long")
+    weights = languages._weights(counts.coalesce(1), {("en", 0): 3, ("de", 0): 2}, F.lit(0))
+    assert {(r.item, r.place) for r in weights.collect()} == {("the", 1), ("der", 0)}
+    assert weights._jdf.queryExecution().optimizedPlan().toString().count("LogicalRDD") == 1  # counts, made above
+    assert languages._weights(counts, {}, F.lit(0)).isEmpty()
