@@ -9,14 +9,12 @@ import pyarrow as pa
 import regex
 import sentencepiece
 
-from rinkflow.llm.workers import release, ship
+from rinkflow.llm.workers import keep, release, ship
 
 #: Texts handled together in a task, in bytes, and words remembered by a worker.
 BATCH_BYTES = 2 << 20
 MEMORY_WORDS = 300_000
 
-_coders = {}
-
 
 def byte_characters():
     """A printable character for each byte: itself where printable, else from U+0100 on."""
@@ -131,12 +129,8 @@ class Coder:
 
 
 def coder(path, pattern):
-    """The worker's coder for this file, made once."""
-    key = (path, os.path.getmtime(path), pattern)
-    if key not in _coders:
-        _coders.clear()
-        _coders[key] = Coder(path, pattern)
-    return _coders[key]
+    """The worker's coder for this file, made once and kept until a task of another operator ends."""
+    return keep((path, os.path.getmtime(path), pattern), lambda: Coder(path, pattern))
 
 
 def _runs(sizes, most):
@@ -172,7 +166,7 @@ def encode_documents(docs, path, pattern, id_column="doc_id", text_column="text"
                     [batch.column(0).slice(a, b - a), counts, pa.array(ids, pa.binary())],
                     names=[id_column, "n_tokens", "ids"],
                 )
-        release()
+        release(kept=True)
 
     ship(docs.sparkSession)
     kind = docs.schema[id_column].dataType.simpleString()
@@ -196,7 +190,7 @@ def decode_documents(encoded, path, pattern, id_column="doc_id"):
                     [*part.columns, pa.array(texts, pa.binary())],
                     names=[id_column, "n_tokens", "ids", "decoded"],
                 )
-        release()
+        release(kept=True)
 
     ship(encoded.sparkSession)
     kind = encoded.schema[id_column].dataType.simpleString()

@@ -10,6 +10,7 @@ import pyarrow as pa
 import rinkflow
 
 _shipped = set()
+_kept = {}
 
 
 def ship(spark):
@@ -26,8 +27,21 @@ def ship(spark):
     _shipped.add(context.applicationId)
 
 
-def release():
-    """Give the memory that a worker has freed back to the system: workers outlive their tasks."""
+def keep(key, make):
+    """What ``make`` returns, kept for the worker's next tasks of the same operator."""
+    if key not in _kept:
+        _kept.clear()
+        _kept[key] = make()
+    return _kept[key]
+
+
+def release(kept=False):
+    """Give the memory that a worker has freed back to the system: workers outlive their tasks.
+
+    What the tasks of another operator ``keep`` is freed first, unless ``kept``.
+    """
+    if not kept:
+        _kept.clear()
     pa.default_memory_pool().release_unused()
     trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
     if trim:

@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import weakref
 import zlib
 
 import numpy as np
@@ -10,7 +11,7 @@ import pytest
 import tiktoken
 import tokenizers
 
-from rinkflow.llm import byte_bpe, queries, token_files
+from rinkflow.llm import byte_bpe, queries, token_files, workers
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 WORDS = public_tokenizers.path("word_bpe_49k.json")
@@ -130,3 +131,15 @@ def test_op5_over_the_table(spark, documents, word_library):
         ids = [*word_library.encode(text or "", add_special_tokens=False).ids, 1]
         assert got[doc_id] == (start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
         start += len(ids)
+
+
+def test_a_coder_stays_for_its_own_tasks_only():
+    """Later tasks of other operators in the same worker do not carry it along."""
+    model = RANKS, public_tokenizers.PATTERN
+    one = byte_bpe.coder(*model)
+    workers.release(kept=True)
+    assert byte_bpe.coder(*model) is one
+    gone = weakref.ref(one)
+    del one
+    workers.release()
+    assert gone() is None
