@@ -11,9 +11,9 @@ from rinkflow.session import scratch_folder
 from rinkflow.sources import delimited, landed_json, tables
 
 
-def _landed(spark, documents):
+def _landed(spark, documents, **options):
     path = scratch_folder(spark)
-    landed_json.write_documents(documents, path)
+    landed_json.write_documents(documents, path, **options)
     return path
 
 
@@ -55,7 +55,7 @@ SELECT 'E' || l_orderkey AS event_id, l_partkey AS schedule_number, l_linenumber
   -l_tax AS "IceTemperature", l_discount AS "Humidity"
 FROM lineitem, (VALUES (0), (1)) v(p)""")
 def s4_explode_conditions(spark, folder):
-    path = _landed(spark, landing.competition_details(spark, folder))
+    path = _landed(spark, landing.competition_details(spark, folder), **landing.SMALL)
     rows = landed_json.explode_conditions(landed_json.read_competition_details(spark, path))
     return plain(rows.drop("time_stamp"))
 

@@ -349,6 +349,6 @@ def read_skater_registry(spark, path, whole=False) -> DataFrame:
 # --- sink of the same form ---------------------------------------------------
 
 
-def write_documents(df: DataFrame, path, mode="errorifexists"):
-    """Each row as one JSON line."""
-    df.write.mode(mode).json(path)
+def write_documents(df: DataFrame, path, mode="errorifexists", **options):
+    """Each row as one JSON line; ``options`` are those of Spark's writer."""
+    df.write.mode(mode).options(**options).json(path)

@@ -1,4 +1,5 @@
 import json
+import os
 import time
 
 import pytest
@@ -197,3 +198,36 @@ def test_landed_documents_are_compressed(spark, tmp_path):
     landing.landing_folder(spark, "/root/testdata/sf0.001", str(tmp_path / "all"))
     files = [p for p in (tmp_path / "all").rglob("part-*")]
     assert files and all(p.name.endswith(".snappy") for p in files)
+
+
+def entries(spark, folder, n):
+    """``n`` lineitem rows in one file, the last without keys."""
+    spark.range(n, numPartitions=1).selectExpr(
+        f"if(id < {n - 1}, id * 7919 % 1000003, NULL) AS l_orderkey", f"if(id < {n - 1}, id, NULL) AS l_partkey",
+        "id * 31 % 977 AS l_suppkey", "int(id % 7 + 1) AS l_linenumber", "double(id * 17 % 50 + 1) AS l_quantity",
+        "id * 13 % 11 / 100D AS l_discount", "id * 5 % 9 / 100D AS l_tax", "if(id % 3 = 0, 'A', 'N') AS l_returnflag",
+        "'O' AS l_linestatus", "CAST(date_add(date'1995-01-01', int(id * 37 % 2500)) AS timestamp_ntz) AS l_shipdate",
+    ).write.parquet(f"{folder}/lineitem.parquet")
+    return str(folder)
+
+
+def landed_small(spark, rows, documents):
+    """Are the documents that ``rows`` are read from ``documents`` in all, few to a file and a fifth of their text or less?"""
+    files = rows.inputFiles()
+    sizes = [spark.read.text(f).selectExpr("count(*) AS n", "sum(octet_length(value) + 1) AS text").first() for f in files]
+    disk = sum(os.path.getsize(f.removeprefix("file://")) for f in files)
+    return sum(s.n for s in sizes) == documents and max(s.n for s in sizes) <= 1 << 14 and disk * 5 <= sum(s.text for s in sizes)
+
+
+def test_conditions_land_on_little_disk(spark, tmp_path):
+    from rinkflow.plans.catalog.sourced import s4_explode_conditions
+
+    rows = s4_explode_conditions(spark, entries(spark, tmp_path, 20_000))
+    assert landed_small(spark, rows, 20_000)
+    assert rows.count() == 2 * 19_999
+    out = {r.position: r.asDict() for r in rows.where("schedule_number = 10").collect()}
+    both = {"event_id": "E79190", "schedule_number": 10, "Distance": 4, "IceTemperature": -0.05, "Humidity": 0.09}
+    assert {k: str(v) for k, v in out[0].items()} == {k: str(v) for k, v in {
+        **both, "position": 0, "Date": "1996-01-06", "Time": "10:11:12", "Occasion": "start", "TempIndoors": None}.items()}
+    assert {k: str(v) for k, v in out[1].items()} == {k: str(v) for k, v in {
+        **both, "position": 1, "Date": "1996-01-06", "Time": None, "Occasion": "end", "TempIndoors": 22.0}.items()}
