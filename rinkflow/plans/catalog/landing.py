@@ -335,7 +335,7 @@ def landed_results(spark, folder):
     """The path of the results documents."""
     return once(
         spark, folder, "results",
-        lambda: write_text_documents(competition_results(spark, folder), scratch_folder(spark)),
+        lambda: write_text_documents(competition_results(spark, folder), scratch_folder(spark), **SMALL),
     )
 
 

@@ -231,3 +231,18 @@ def test_conditions_land_on_little_disk(spark, tmp_path):
         **both, "position": 0, "Date": "1996-01-06", "Time": "10:11:12", "Occasion": "start", "TempIndoors": None}.items()}
     assert {k: str(v) for k, v in out[1].items()} == {k: str(v) for k, v in {
         **both, "position": 1, "Date": "1996-01-06", "Time": None, "Occasion": "end", "TempIndoors": 22.0}.items()}
+
+
+def test_results_land_on_little_disk(spark, tmp_path):
+    from rinkflow.plans.catalog.sourced import s5_explode_results
+
+    rows = s5_explode_results(spark, entries(spark, tmp_path, 20_000))
+    assert landed_small(spark, rows, 20_000)
+    # Where the number of the race divides by three the document holds one result.
+    assert rows.count() == 2 * 19_999 - 6_667
+    out = [list(r.asDict().values()) for r in rows.where("schedule_number IN (10, 12)").orderBy("schedule_number", "Rank").collect()]
+    assert out == [
+        ["E79190", 10, 1, "310", "Ann Lee_van_Dam", "O", 4, "I", "21,5", None, "Men"],
+        ["E79190", 10, 2, "310", "Jörg_van_Dam", "O", 4, "I", "21,5", None, "Men"],
+        ["E95028", 12, 1, "372", "Ann Lee_van_Dam", "O", 6, "I", "5,5", None, "Women"],
+    ]
